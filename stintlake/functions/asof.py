@@ -101,14 +101,14 @@ def interval_stats(
     # at equal times: starts, then samples, then ends, which closes the interval on both sides
     left = edges.select(
         *keys,
-        F.struct(*span_id).alias("_id"),
+        *span_id,
         F.explode(
             F.array(
                 F.struct(F.col(start).cast("double").alias("_t"), F.lit(0).alias("_kind")),
                 F.struct(F.col(end).cast("double").alias("_t"), F.lit(2).alias("_kind")),
             )
         ).alias("_edge"),
-    ).select(*keys, "_id", "_edge.*")
+    ).select(*keys, *span_id, "_edge.*")
     right = samples.where(F.col(sample_time).isNotNull()).select(
         *keys,
         F.col(sample_time).cast("double").alias("_t"),
@@ -117,7 +117,7 @@ def interval_stats(
         *([F.col(sample_tie).alias("_tie")] if sample_tie else []),
     )
     both = left.unionByName(right, allowMissingColumns=True)
-    order = ["_t", "_kind", *(["_tie"] if sample_tie else []), "_id"]
+    order = ["_t", "_kind", *(["_tie"] if sample_tie else []), *span_id]
     sums = {"_n": F.when(F.col("_kind") == 1, F.lit(1).cast("long"))}
     for c in means:
         sums[f"_sum_{c}"] = F.col(f"_sample.{c}").cast(_EXACT)
@@ -133,7 +133,7 @@ def interval_stats(
     def span(c: str) -> Column:
         return F.max(F.when(at_end, F.col(c))) - F.max(F.when(at_start, F.col(c)))
 
-    per_span = rows.groupBy(*keys, "_id").agg(
+    per_span = rows.groupBy(*keys, *span_id).agg(
         *[span(c).alias(c) for c in sums],
         F.max(F.when(at_end, F.col("_back"))).alias("_tail"),
         F.max(F.when(at_start, F.col("_back"))).alias("before"),
@@ -142,7 +142,7 @@ def interval_stats(
     inside = F.col("_n") > 0
     return per_span.select(
         *keys,
-        "_id.*",
+        *span_id,
         F.col("_n").alias("n"),
         *[
             F.try_divide(F.col(f"_sum_{c}").cast("double"), F.col(f"_cnt_{c}")).alias(f"{c}_mean")
