@@ -102,8 +102,8 @@ def prj_encode_map(spark, sf):
 @query(
     "prj_ids",
     """SELECT Year || '_' || upper(replace(GranPrix, ' ', '_')) AS RaceID,
-        Year || '_' || upper(replace(GranPrix, ' ', '_')) || '_' || DriverNumber AS DriverRaceID,
-        Year || '_' || upper(replace(GranPrix, ' ', '_')) || '_' || DriverNumber || '_' || LapNumber AS GlobalLapID
+        Year || '_' || DriverNumber || '_' || upper(replace(GranPrix, ' ', '_')) AS DriverRaceID,
+        Year || '_' || DriverNumber || '_' || upper(replace(GranPrix, ' ', '_')) || '_' || LapNumber AS GlobalLapID
     FROM laps""",
 )
 def prj_ids(spark, sf):

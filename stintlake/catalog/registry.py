@@ -54,7 +54,7 @@ def with_roles(sql: str, roles: tuple[str, ...]) -> str:
 
     for r in roles:
         need(r)
-    ctes = [f"{r} AS ({ROLE_SQL[r][1]})" for r in wanted]
+    ctes = [f"{r} AS MATERIALIZED ({ROLE_SQL[r][1]})" for r in wanted]
     body = sql.strip()
     if not ctes:
         return body if body.upper().startswith("SELECT") else f"WITH {body}"

@@ -8,6 +8,8 @@ exchange and one sort, whatever the length of the intervals.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,61 +18,77 @@ from stintlake.functions.ordered import OrderedGroups, SplitPolicy
 _EXACT = "decimal(38,10)"
 
 
-def _samples(df: DataFrame, keys: list[str], time: str, values: list[str], tie: str | None) -> DataFrame:
-    """Samples with a time; with ``tie``, the first of those at one time."""
-    picked = df.where(F.col(time).isNotNull()).select(
-        *keys,
-        F.col(time).cast("double").alias("_t"),
-        F.struct(F.col(time).cast("double").alias("sample_time"), *values).alias("_sample"),
-        *([F.col(tie).alias("_tie")] if tie else []),
-    )
-    if not tie:
-        return picked
-    return picked.groupBy(*keys, "_t").agg(F.min_by("_sample", "_tie").alias("_sample"))
+@dataclass(frozen=True)
+class Samples:
+    """A table to look values up in: its time column, the values, and what orders samples at one time.
 
+    With ``tie``, the first of the samples at one time counts.
+    """
 
-def asof(
+    df: DataFrame
+    time: str
+    values: list[str]
+    tie: str | None = None
+
+    def packed(self, keys: list[str]) -> DataFrame:
+        time = F.col(self.time).cast("double")
+        picked = self.df.where(time.isNotNull()).select(
+            *keys,
+            time.alias("_t"),
+            F.struct(time.alias("sample_time"), *self.values).alias("_sample"),
+            *([F.col(self.tie).alias("_tie")] if self.tie else []),
+        )
+        if not self.tie:
+            return picked
+        return picked.groupBy(*keys, "_t").agg(F.min_by("_sample", "_tie").alias("_sample"))
+
+
+def align(
     points: DataFrame,
-    samples: DataFrame,
     keys: list[str],
-    point_time: str,
+    time: str,
     point_id: list[str],
-    sample_time: str,
-    values: list[str],
-    how: str = "backward",
-    sample_tie: str | None = None,
+    samples: dict[str, Samples],
+    how: dict[str, str] | str = "nearest",
     policy: SplitPolicy | None = None,
 ) -> DataFrame:
-    """``points`` with a struct ``sample`` of the matching sample, null when none.
+    """``points`` with one struct column per entry of ``samples``, null when nothing matches.
 
     ``backward`` takes the last sample at or before the point, ``forward`` the
     first at or after it, ``nearest`` the closer of the two and the earlier on
-    equal distance. ``point_id`` orders points at the same time. Points with a
-    null time keep a null sample.
+    equal distance. ``point_id`` orders points at the same time. All tables
+    share one exchange on ``keys``; points with a null time keep nulls.
     """
-    left = points.select(
+    hows = {n: how if isinstance(how, str) else how[n] for n in samples}
+    both = points.select(
         *keys,
-        F.col(point_time).cast("double").alias("_t"),
+        F.col(time).cast("double").alias("_t"),
         F.lit(1).alias("_kind"),
         F.struct(*[F.col(c) for c in point_id]).alias("_id"),
         F.struct(*points.columns).alias("_point"),
     )
-    right = _samples(samples, keys, sample_time, values, sample_tie).withColumn("_kind", F.lit(0))
-    both = left.unionByName(right, allowMissingColumns=True)
+    for n, s in samples.items():
+        packed = s.packed(keys).withColumnRenamed("_sample", f"_s_{n}").withColumn("_kind", F.lit(0))
+        both = both.unionByName(packed, allowMissingColumns=True)
     # a sample at the very time of a point sorts before it, so "forward" looks back as well
-    lasts = {"_back": F.col("_sample")}
-    nexts = {"_ahead": F.col("_sample")} if how != "backward" else {}
-    g = OrderedGroups(both, keys, ["_t", "_kind", "_id"], policy).running(lasts=lasts, nexts=nexts)
-    rows = g.result().where(F.col("_kind") == 1)
+    g = OrderedGroups(both, keys, ["_t", "_kind", "_id"], policy).running(
+        lasts={f"_back_{n}": F.col(f"_s_{n}") for n in samples},
+        nexts={f"_ahead_{n}": F.col(f"_s_{n}") for n in samples if hows[n] != "backward"},
+    )
     t = F.col("_t")
-    if how == "backward":
-        sample = F.col("_back")
-    elif how == "forward":
-        sample = F.when(F.col("_back.sample_time") == t, F.col("_back")).otherwise(F.col("_ahead"))
-    else:
-        behind, ahead = t - F.col("_back.sample_time"), F.col("_ahead.sample_time") - t
-        sample = F.when(behind.isNull() | (ahead < behind), F.col("_ahead")).otherwise(F.col("_back"))
-    return rows.select("_point.*", F.when(t.isNotNull(), sample).alias("sample"))
+
+    def match(n: str) -> Column:
+        back, ahead = F.col(f"_back_{n}"), F.col(f"_ahead_{n}")
+        if hows[n] == "backward":
+            found = back
+        elif hows[n] == "forward":
+            found = F.when(back["sample_time"] == t, back).otherwise(ahead)
+        else:
+            behind, before = t - back["sample_time"], ahead["sample_time"] - t
+            found = F.when(behind.isNull() | (before < behind), ahead).otherwise(back)
+        return F.when(t.isNotNull(), found).alias(n)
+
+    return g.result().where(F.col("_kind") == 1).select("_point.*", *[match(n) for n in samples])
 
 
 def interval_stats(

@@ -290,6 +290,18 @@ class OrderedGroups:
         done = self.running(sums={name: F.lit(1).cast("long")})
         return done._with(done.df.withColumn(name, F.col(name).cast("int")))
 
+    def regroup(self, keys: list[str], order: list[str]) -> OrderedGroups:
+        """The same rows in other groups.
+
+        Groups of more keys are no larger than these, so when nothing was cut
+        here they need no look at the data.
+        """
+        if self.split or not set(self.keys) <= set(keys):
+            return OrderedGroups(self.result(), keys, order, self.policy)
+        other = self._with(self.df)
+        other.keys, other.order = list(keys), list(order)
+        return other
+
     def add(self, columns: dict[str, Column]) -> OrderedGroups:
         return self._with(self.df.withColumns(columns))
 

@@ -28,8 +28,8 @@ FIXED_MAXIMA = {
 # -- projections -----------------------------------------------------------
 
 
-def lap_record(laps: DataFrame) -> DataFrame:
-    """The base row of a race table from a raw lap row with times in seconds."""
+def lap_record(laps: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The base row of a race table from a raw lap row with times in seconds, and the columns to ``keep``."""
     return laps.select(
         *RACE,
         "Location",
@@ -46,6 +46,7 @@ def lap_record(laps: DataFrame) -> DataFrame:
         F.coalesce("FreshTyre", F.lit(False)).alias("IsFreshTire"),
         F.col("PitInTime").isNotNull().alias("PitInTime"),
         F.col("PitOutTime").isNotNull().alias("PitOutTime"),
+        *keep,
     )
 
 
@@ -107,11 +108,14 @@ def encode_map(df: DataFrame, column: str, codes: DataFrame, key: str, code: str
 
 
 def with_ids(laps: DataFrame, driver: str = "DriverID") -> DataFrame:
-    race = F.concat_ws("_", F.col("Year").cast("string"), C.id_token("GranPrix"))
-    return (
-        laps.withColumn("RaceID", race)
-        .withColumn("DriverRaceID", F.concat_ws("_", "RaceID", F.col(driver).cast("string")))
-        .withColumn("GlobalLapID", F.concat_ws("_", "DriverRaceID", F.col("LapNumber").cast("string")))
+    year, race = F.col("Year").cast("string"), C.id_token("GranPrix")
+    car = F.concat_ws("_", year, F.col(driver).cast("string"), race)
+    return laps.withColumns(
+        {
+            "RaceID": F.concat_ws("_", year, race),
+            "DriverRaceID": car,
+            "GlobalLapID": F.concat_ws("_", car, F.col("LapNumber").cast("string")),
+        }
     )
 
 

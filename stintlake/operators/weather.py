@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.functions.asof import asof, interval_stats, nearest_of
+from stintlake.functions.asof import Samples, align, interval_stats, nearest_of
 from stintlake.operators.laps import RACE
 
 MEASURES = ["AirTemp", "Humidity", "TrackTemp", "Pressure", "WindSpeed", "WindDirection"]
@@ -94,9 +94,8 @@ def join_lap_weather_nearest(
     tie: str | None = None,
 ) -> DataFrame:
     """Rain (0/1) and track temperature from the sample nearest to the lap's start."""
-    found = asof(
-        laps, weather, RACE, start, [car, "LapNumber"], "Time", [RAIN, "TrackTemp"], "nearest", tie
-    )
+    samples = Samples(weather, "Time", [RAIN, "TrackTemp"], tie)
+    found = align(laps, RACE, start, [car, "LapNumber"], {"sample": samples})
     return found.withColumns(
         {RAIN: F.col(f"sample.{RAIN}").cast("int"), "TrackTemp": F.col("sample.TrackTemp")}
     ).drop("sample")
