@@ -39,11 +39,8 @@ def prj_telemetry_trace(spark, sf):
 
 @query(
     "agg_peak_instants",
-    f"""SELECT {DRIVEN}, (SELECT min(Time) FROM telemetry i WHERE i.Year = t.Year AND i.GranPrix = t.GranPrix AND i.Driver = t.Driver
-            AND i.LapNumber = t.LapNumber AND i.Brake = max(t.Brake)) AS Brake_peak_time,
-        (SELECT min(Time) FROM telemetry i WHERE i.Year = t.Year AND i.GranPrix = t.GranPrix AND i.Driver = t.Driver
-            AND i.LapNumber = t.LapNumber AND i.Throttle = max(t.Throttle)) AS Throttle_peak_time
-    FROM telemetry t GROUP BY ALL""",
+    f"""SELECT {DRIVEN}, arg_min(Time, struct_pack(v := -Brake, t := Time)) AS Brake_peak_time,
+        arg_min(Time, struct_pack(v := -Throttle, t := Time)) AS Throttle_peak_time FROM telemetry GROUP BY ALL""",
     ("telemetry",),
 )
 def agg_peak_instants(spark, sf):
