@@ -177,9 +177,10 @@ class OrderedGroups:
         other.df = df
         return other
 
-    def _window(self) -> WindowSpec:
+    def _window(self, backward: bool = False) -> WindowSpec:
         keys = self.keys + [BLOCK] if self.split else self.keys
-        return (Window.partitionBy(*keys) if keys else Window).orderBy(*self.order)
+        order = [F.desc(c) for c in self.order] if backward else self.order
+        return (Window.partitionBy(*keys) if keys else Window).orderBy(*order)
 
     def _summary(self, aggs: dict[str, Column]) -> DataFrame:
         """One row per block of the groups that were cut."""
@@ -189,8 +190,9 @@ class OrderedGroups:
             .agg(*[c.alias(n) for n, c in aggs.items()])
         )
 
-    def _block_window(self) -> WindowSpec:
-        return (Window.partitionBy(*self.keys) if self.keys else Window).orderBy(BLOCK)
+    def _block_window(self, backward: bool = False) -> WindowSpec:
+        order = F.desc(BLOCK) if backward else F.asc(BLOCK)
+        return (Window.partitionBy(*self.keys) if self.keys else Window).orderBy(order)
 
     def frames(
         self, exprs: dict[str, Callable[[WindowSpec], Column]], before: int = 0, after: int = 0
@@ -250,12 +252,14 @@ class OrderedGroups:
         ``own=False`` leaves the row itself out of every frame. An empty total is 0.
         """
         sums, lasts, nexts, maxes = sums or {}, lasts or {}, nexts or {}, maxes or {}
-        w = self._window()
-        back = w.rowsBetween(Window.unboundedPreceding, 0 if own else -1)
-        ahead = w.rowsBetween(0 if own else 1, Window.unboundedFollowing)
+        # a frame that ends at UNBOUNDED FOLLOWING is computed anew for every row,
+        # so "next" is "last" in the opposite order
+        to = 0 if own else -1
+        back = self._window().rowsBetween(Window.unboundedPreceding, to)
+        ahead = self._window(backward=True).rowsBetween(Window.unboundedPreceding, to)
         local = {n: F.sum(c).over(back) for n, c in sums.items()}
         local |= {n: F.last(c, ignorenulls=True).over(back) for n, c in lasts.items()}
-        local |= {n: F.first(c, ignorenulls=True).over(ahead) for n, c in nexts.items()}
+        local |= {n: F.last(c, ignorenulls=True).over(ahead) for n, c in nexts.items()}
         local |= {n: F.max(c).over(back) for n, c in maxes.items()}
         zero = F.lit(0)
         if not self.split:
@@ -269,13 +273,12 @@ class OrderedGroups:
             | {f"_c_{n}": F.min_by(c, F.when(c.isNotNull(), here)) for n, c in nexts.items()}
             | {f"_c_{n}": F.max(c) for n, c in maxes.items()}
         )
-        bw = self._block_window()
-        prior = bw.rowsBetween(Window.unboundedPreceding, -1)
-        later = bw.rowsBetween(1, Window.unboundedFollowing)
+        prior = self._block_window().rowsBetween(Window.unboundedPreceding, -1)
+        later = self._block_window(backward=True).rowsBetween(Window.unboundedPreceding, -1)
         carry = carry.withColumns(
             {f"_c_{n}": F.sum(f"_c_{n}").over(prior) for n in sums}
             | {f"_c_{n}": F.last(f"_c_{n}", ignorenulls=True).over(prior) for n in lasts}
-            | {f"_c_{n}": F.first(f"_c_{n}", ignorenulls=True).over(later) for n in nexts}
+            | {f"_c_{n}": F.last(f"_c_{n}", ignorenulls=True).over(later) for n in nexts}
             | {f"_c_{n}": F.max(f"_c_{n}").over(prior) for n in maxes}
         )
         carried = [f"_c_{n}" for n in (*sums, *lasts, *nexts, *maxes)]

@@ -93,7 +93,14 @@ def main(argv):
     import __spark_entry__ as entry
     from stintlake.session import build_session
 
+    from stintlake.functions.ordered import SplitPolicy, set_default_policy
+
     sf = argv[0]
+    if "--tight" in argv:
+        # cut every group above this size, to run the cut paths on small data
+        at = argv.index("--tight")
+        set_default_policy(SplitPolicy(max_rows=int(argv[at + 1]), sample_every=1, points_per_block=4))
+        argv = argv[:at] + argv[at + 2 :]
     wanted = argv[1:]
     spark = build_session(
         "compare",
