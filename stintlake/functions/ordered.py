@@ -92,6 +92,7 @@ class OrderedGroups:
         cuts = self._find_cuts(df)
         self.split = cuts is not None
         self.df = stage(self._assign_blocks(df, cuts), "blocks") if self.split else df
+        self._staged = self.split
 
     # -- where to cut ------------------------------------------------------
 
@@ -174,7 +175,15 @@ class OrderedGroups:
     def _with(self, df: DataFrame) -> OrderedGroups:
         other = object.__new__(OrderedGroups)
         other.__dict__.update(self.__dict__)
-        other.df = df
+        other.df, other._staged = df, False
+        return other
+
+    def _settled(self) -> OrderedGroups:
+        """Cut groups are read several times per step; a chain of steps is staged in between."""
+        if not self.split or self._staged:
+            return self
+        other = self._with(stage(self.df, "blocks"))
+        other._staged = True
         return other
 
     def _window(self, backward: bool = False) -> WindowSpec:
@@ -198,6 +207,7 @@ class OrderedGroups:
         self, exprs: dict[str, Callable[[WindowSpec], Column]], before: int = 0, after: int = 0
     ) -> OrderedGroups:
         """Add window columns that look at most ``before`` rows back and ``after`` rows ahead."""
+        self = self._settled()
         w = self._window()
         columns = {n: f(w) for n, f in exprs.items()}
         if not self.split:
@@ -251,6 +261,7 @@ class OrderedGroups:
 
         ``own=False`` leaves the row itself out of every frame. An empty total is 0.
         """
+        self = self._settled()
         sums, lasts, nexts, maxes = sums or {}, lasts or {}, nexts or {}, maxes or {}
         # a frame that ends at UNBOUNDED FOLLOWING is computed anew for every row,
         # so "next" is "last" in the opposite order

@@ -13,12 +13,14 @@ def join_circuit(
     length: str = "length_m",
     similar: bool = True,
     ignore_case: bool = False,
+    places: DataFrame | None = None,
 ) -> DataFrame:
     """Laps with the length of their circuit, null where it is unknown.
 
     A location without an entry of its own takes the first circuit, by
     ``file_order``, whose name contains it or is contained in it. Names are
-    matched on the distinct locations; laps meet the result in an equi-join.
+    matched on the distinct locations, taken from ``places`` when ``laps`` is
+    costly to read twice; laps meet the result in an equi-join.
     """
     exact = circuits.select(F.col("Location").alias("_loc"), F.col(length).alias("_exact"))
     if not similar:
@@ -27,7 +29,8 @@ def join_circuit(
             .withColumn(length, F.col("_exact"))
             .drop("_loc", "_exact")
         )
-    places = laps.where(F.col(location).isNotNull()).select(F.col(location).alias("_place")).distinct()
+    rows = laps if places is None else places
+    places = rows.where(F.col(location).isNotNull()).select(F.col(location).alias("_place")).distinct()
     missing = places.join(exact, F.col("_place") == F.col("_loc"), "left_anti")
     fold = F.lower if ignore_case else F.col
     near = circuits.select(fold("Location").alias("_name"), F.col(length).alias("_len"), "file_order")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stintlake.functions.ordered import OrderedGroups, with_group_stats
 from stintlake.functions.quantiles import column_quantiles, quantile_struct
 from stintlake.operators.features import CAR_ID, NO_CHANGE
+from stintlake.session import stage
 
 # Seasons of the splits.
 SPLIT_YEARS = {"train": [2018, 2019, 2020, 2021], "val": [2023], "test": [2024]}
@@ -226,7 +227,8 @@ def clean_tensor(seq: DataFrame, column: str = "X") -> DataFrame:
             .otherwise(x.cast("double"))
         )
 
-    cleaned = seq.withColumn(column, F.transform(column, lambda r: F.transform(r, finite)))
+    # the quantiles take several passes; the windows that made the tensor run once
+    cleaned = stage(seq.withColumn(column, F.transform(column, lambda r: F.transform(r, finite))), "tensor")
     bounds = column_quantiles(_flat(cleaned, column), ["v"], [0.01, 0.99])
     row = bounds.select(F.struct((F.col("q0") * 10).alias("lo"), (F.col("q1") * 10).alias("hi")))
     clipped = cleaned.withColumn("_b", row.scalar())

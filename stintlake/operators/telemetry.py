@@ -12,6 +12,7 @@ from stintlake.functions.asof import Samples, align
 from stintlake.functions.columns import lap_percentage, minutes_seconds, rotated
 from stintlake.functions.ordered import OrderedGroups, with_group_stats
 from stintlake.operators.laps import RACE
+from stintlake.session import stage
 
 DRIVEN = [*RACE, "Driver", "LapNumber"]
 CHANNELS = ["Speed", "Throttle", "Brake", "RPM", "nGear", "Steering"]
@@ -109,9 +110,10 @@ def grid_view(
 def gap_metres(view: DataFrame, by: str = "Position", length: Column | None = None) -> DataFrame:
     """Distance to the cars one place ahead and behind at the same grid time, 0 without one.
 
-    Cars sharing a place count as the first of them by name.
+    ``view`` is joined with itself, so it is staged first. Cars sharing a place count as the first of them by name.
     """
     keys = [*RACE, "t"]
+    view = stage(view, "grid")
     at = view.where(F.col(by).isNotNull()).groupBy(*keys, F.col(by).alias("_at")).agg(
         F.min(F.struct("Driver", "Distance")).alias("_row")
     )

@@ -38,14 +38,16 @@ def join_weather_avg(
     nearest: bool = True,
     rain_unknown: bool | None = None,
     tie: str | None = None,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of every measure and any rain over the samples taken during the lap.
 
     A lap without samples takes the sample nearest to its start (the earlier of
     two) unless ``nearest`` is off. Laps without times, and races without
-    weather, get nulls; their rain flag is ``rain_unknown``.
+    weather, get nulls; their rain flag is ``rain_unknown``. ``spans`` may be an
+    earlier form of ``laps`` to take the lap times from.
     """
-    stats = _stats(laps, weather, car, lap, start, end, tie)
+    stats = _stats(laps if spans is None else spans, weather, car, lap, start, end, tie)
     out = laps.join(stats, [*RACE, car, lap], "left")
     inside = F.col("n") > 0
 

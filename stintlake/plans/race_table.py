@@ -45,8 +45,12 @@ COLUMNS = [
 def race_table(
     laps: DataFrame, weather: DataFrame, circuits: DataFrame, weather_tie: str | None = None
 ) -> DataFrame:
-    """All laps of all races with distance, weather and gaps."""
+    """All laps of all races with distance, weather and gaps.
+
+    Every step reads the raw laps rather than the output of the step before
+    where it can, so that looking at the keys of one step never runs another.
+    """
     base = L.lap_record(laps, keep=("LapStartTime",))
-    base = L.with_meters(join_circuit(base, circuits))
-    base = join_weather_avg(base, weather, car="DriverID", tie=weather_tie)
-    return time_deltas(base, car="DriverID").select(*COLUMNS)
+    gaps = time_deltas(base, car="DriverID")
+    weathered = join_weather_avg(gaps, weather, car="DriverID", tie=weather_tie, spans=base)
+    return L.with_meters(join_circuit(weathered, circuits, places=base)).select(*COLUMNS)

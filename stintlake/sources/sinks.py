@@ -9,8 +9,12 @@ from stintlake.functions.columns import sanitize_event
 
 
 def write_consolidated(df: DataFrame, path: str) -> None:
-    """One table partitioned by year; rows of a year come from many tasks, so no year is one task."""
-    df.write.mode("overwrite").option("compression", "snappy").partitionBy("Year").parquet(path)
+    """One table partitioned by year.
+
+    Rows are brought together by year before they are written, so that not
+    every task leaves a file in every folder; AQE splits a large year again.
+    """
+    df.hint("rebalance", "Year").write.mode("overwrite").option("compression", "snappy").partitionBy("Year").parquet(path)
 
 
 def write_race_files(df: DataFrame, path: str, event: str = "EventName") -> None:
@@ -22,7 +26,8 @@ def write_race_files(df: DataFrame, path: str, event: str = "EventName") -> None
     name = F.concat_ws(
         "_", F.col("Year").cast("string"), F.lpad(F.col("RoundNumber").cast("string"), 2, "0"), sanitize_event(event)
     )
-    df.withColumn("race_file", name).write.mode("overwrite").partitionBy("Year", "RoundNumber").parquet(path)
+    races = df.withColumn("race_file", name).hint("rebalance", "Year", "RoundNumber")
+    races.write.mode("overwrite").partitionBy("Year", "RoundNumber").parquet(path)
 
 
 def write_driver_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
@@ -44,7 +49,7 @@ def write_driver_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> Non
 
 def write_splits(split: DataFrame, path: str, features: list[str] | None = None) -> None:
     """Train, validation and test rows in one write, with the list of feature columns beside them."""
-    split.write.mode("overwrite").partitionBy("split").parquet(f"{path}/data")
+    split.hint("rebalance", "split").write.mode("overwrite").partitionBy("split").parquet(f"{path}/data")
     if features is not None:
         names = split.sparkSession.createDataFrame([(n, i) for i, n in enumerate(features)], "name string, place int")
         names.coalesce(1).write.mode("overwrite").parquet(f"{path}/feature_columns")
