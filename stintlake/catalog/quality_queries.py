@@ -7,7 +7,13 @@ from stintlake.catalog.roles import role, table
 from stintlake.operators import laps as L
 from stintlake.operators import quality as Q
 
-FILE = F.concat(F.col("Year").cast("string"), F.lit("_"), F.lpad(F.col("RoundNumber").cast("string"), 2, "0"))
+
+
+def file_name():
+    """``{year}_{round}`` of a lap, standing for the file it came from."""
+    return F.concat(F.col("Year").cast("string"), F.lit("_"), F.lpad(F.col("RoundNumber").cast("string"), 2, "0"))
+
+
 FILE_SQL = "Year || '_' || lpad(CAST(RoundNumber AS VARCHAR), 2, '0')"
 PROFILED = ["Position", "LapTime", "LapStartTime", "PitInTime", "PitOutTime", "Stint", "TyreLife", "Compound", "FreshTyre", "Sector3Time", "Driver"]
 
@@ -16,7 +22,7 @@ def filed(spark, sf):
     """Laps as the files of their races."""
     laps = role(spark, sf, "laps")
     return laps.select(
-        FILE.alias("file"), "Year", "GranPrix", F.col("DriverNumber").alias("DriverID"), "LapNumber", "Position", "LapTime"
+        file_name().alias("file"), "Year", "GranPrix", F.col("DriverNumber").alias("DriverID"), "LapNumber", "Position", "LapTime"
     )
 
 
@@ -204,7 +210,7 @@ def flt_accepted_files(spark, sf):
     FROM f""",
 )
 def agg_consolidation(spark, sf):
-    failed = role(spark, sf, "laps").where("RoundNumber = 5").select(FILE.alias("file"))
+    failed = role(spark, sf, "laps").where("RoundNumber = 5").select(file_name().alias("file"))
     return Q.consolidation_stats(filed(spark, sf), failed=failed)
 
 
@@ -241,18 +247,21 @@ def dedupe_exact(spark, sf):
     return Q.dedupe_exact(table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus"))
 
 
-RULES = {
-    "no lap start": ("race", F.col("LapStartTime").isNull()),
-    "no lap time": ("lap", F.col("LapTime").isNull()),
-    "no position": ("driver", F.col("Position").isNull()),
-}
+def rules():
+    return {
+        "no lap start": ("race", F.col("LapStartTime").isNull()),
+        "no lap time": ("lap", F.col("LapTime").isNull()),
+        "no position": ("driver", F.col("Position").isNull()),
+    }
+
+
 _REASON = """CASE WHEN LapStartTime IS NULL THEN 'no lap start' WHEN LapTime IS NULL THEN 'no lap time'
     WHEN Position IS NULL THEN 'no position' END"""
 
 
 @query("src_quarantine", f"SELECT event_id, {_REASON} AS reason FROM laps")
 def src_quarantine(spark, sf):
-    good, bad = Q.split_valid(role(spark, sf, "laps"), RULES)
+    good, bad = Q.split_valid(role(spark, sf, "laps"), rules())
     return bad.select("event_id", "reason").unionByName(good.select("event_id", F.lit(None).cast("string").alias("reason")))
 
 
@@ -263,7 +272,7 @@ def src_quarantine(spark, sf):
         count(DISTINCT (Year, GranPrix)) AS races FROM b WHERE reason IS NOT NULL GROUP BY ALL""",
 )
 def src_quarantine_summary(spark, sf):
-    return Q.error_summary(Q.split_valid(role(spark, sf, "laps"), RULES)[1])
+    return Q.error_summary(Q.split_valid(role(spark, sf, "laps"), rules())[1])
 
 
 @query("set_distinct", "SELECT DISTINCT Driver, Compound, Team FROM laps")

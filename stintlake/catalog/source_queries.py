@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from stintlake.catalog.quality_queries import FILE, FILE_SQL
+from stintlake.catalog.quality_queries import FILE_SQL, file_name
 from stintlake.catalog.registry import query
 from stintlake.catalog.roles import role, table
 from stintlake.operators import mldata as M
@@ -135,7 +135,7 @@ def src_rosters(spark, sf):
 )
 def src_filename_cols(spark, sf):
     event = F.replace("GranPrix", F.lit(" "), F.lit("_"))
-    name = F.concat(FILE, F.lit("_"), event, F.lit(".parquet"))
+    name = F.concat(file_name(), F.lit("_"), event, F.lit(".parquet"))
     laps = role(spark, sf, "laps").select("event_id", name.alias("source_file"))
     return laps.withColumns(R.race_file_columns()).drop("source_file")
 
@@ -210,7 +210,7 @@ def src_incremental_progress(spark, sf):
 @query("src_incremental_stream", f"SELECT {LAP_LIST}, {FILE_SQL} AS race_file FROM laps")
 def src_incremental_stream(spark, sf):
     """Race files of the first seasons, then of all others, each taken up once by a streaming run."""
-    rows = _laps(spark, sf).withColumn("race_file", FILE)
+    rows = _laps(spark, sf).withColumn("race_file", file_name())
     landing, target, checkpoint = (_new(spark, n) for n in ("landing", "target", "checkpoint"))
     for part in ("Year < 2021", "Year >= 2021"):
         rows.where(part).write.mode("append").parquet(landing)

@@ -142,9 +142,14 @@ def interval_stats(
         sums[f"_cnt_{c}"] = F.col(f"_sample.{c}").isNotNull().cast("long")
     for c in any_true:
         sums[f"_any_{c}"] = F.coalesce(F.col(f"_sample.{c}"), F.lit(False)).cast("long")
-    g = OrderedGroups(both, keys, order, policy).running(
-        sums=sums, lasts={"_back": F.col("_sample")}, nexts={"_ahead": F.col("_sample")}
-    )
+    g = OrderedGroups(both, keys, order, policy)
+    near = F.col("_sample")
+    if sample_tie:
+        # of several samples at one time the first is the one before a start
+        g = g.frames({"_again": lambda w: F.lag(F.struct("_t", "_kind")).over(w) == F.struct("_t", "_kind")}, before=1)
+        near = F.when(~F.coalesce(F.col("_again"), F.lit(False)), F.col("_sample"))
+    tails = {"_tail": F.col("_sample")} if lasts else {}
+    g = g.running(sums=sums, lasts={"_back": near, **tails}, nexts={"_ahead": F.col("_sample")})
     rows = g.result().where(F.col("_kind") != 1)
     at_start, at_end = F.col("_kind") == 0, F.col("_kind") == 2
 
@@ -153,7 +158,7 @@ def interval_stats(
 
     per_span = rows.groupBy(*keys, *span_id).agg(
         *[span(c).alias(c) for c in sums],
-        F.max(F.when(at_end, F.col("_back"))).alias("_tail"),
+        *([F.max(F.when(at_end, F.col("_tail"))).alias("_tail")] if lasts else []),
         F.max(F.when(at_start, F.col("_back"))).alias("before"),
         F.max(F.when(at_start, F.col("_ahead"))).alias("after"),
     )
