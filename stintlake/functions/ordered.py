@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stintlake.functions.joins import join_checked
 from stintlake.session import stage
 
 BLOCK = "_block"
@@ -323,16 +324,20 @@ class OrderedGroups:
         return self.df.drop(BLOCK, _BLOCKS) if self.split else self.df
 
 
-def with_group_stats(df: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFrame:
+def with_group_stats(
+    df: DataFrame, keys: list[str], aggs: dict[str, Column], few: bool = True
+) -> DataFrame:
     """Whole-group aggregates on every row, by partial aggregation and a join back.
 
     Unlike an unbounded window this never gathers a group in one task: the
-    aggregate combines before its shuffle, and the join is broadcast by size or
-    split by AQE when one key is large. Rows with a null key get null statistics.
+    aggregate combines before its shuffle. Where ``few`` groups are expected
+    the join is broadcast after a check of their number; otherwise AQE splits
+    the rows of a large key. Rows with a null key get null statistics.
     """
     columns = [c.alias(n) for n, c in aggs.items()]
     if not keys:
         stats = df.agg(F.struct(*columns).alias("_stats"))
         done = df.withColumn("_stats", stats.scalar())
         return done.withColumns({n: F.col(f"_stats.{n}") for n in aggs}).drop("_stats")
-    return df.join(df.groupBy(*keys).agg(*columns), keys, "left")
+    stats = df.groupBy(*keys).agg(*columns)
+    return join_checked(df, stats, keys) if few else df.join(stats, keys, "left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stintlake.functions.joins import join_checked
+
 
 def join_circuit(
     laps: DataFrame,
@@ -25,7 +27,7 @@ def join_circuit(
     exact = circuits.select(F.col("Location").alias("_loc"), F.col(length).alias("_exact"))
     if not similar:
         return (
-            laps.join(exact, F.col(location) == F.col("_loc"), "left")
+            join_checked(laps, exact, F.col(location) == F.col("_loc"))
             .withColumn(length, F.col("_exact"))
             .drop("_loc", "_exact")
         )
@@ -45,7 +47,7 @@ def join_circuit(
         "_place", F.col("_exact").alias(length)
     )
     lengths = known.unionByName(matched)
-    return laps.join(lengths, F.col(location) == F.col("_place"), "left").drop("_place")
+    return join_checked(laps, lengths, F.col(location) == F.col("_place")).drop("_place")
 
 
 def substrings(name: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stintlake.functions.asof import Samples, align
 from stintlake.functions.columns import lap_percentage, minutes_seconds, rotated
+from stintlake.functions.joins import join_checked
 from stintlake.functions.ordered import OrderedGroups, with_group_stats
 from stintlake.operators.laps import RACE
 from stintlake.session import stage
@@ -63,7 +64,7 @@ def cumulative_distance(telemetry: DataFrame, keys: list[str] = DRIVEN, tie: str
 
 def time_grid(cars: DataFrame, ends: DataFrame, step: float = 0.5) -> DataFrame:
     """Every car at every ``step`` seconds from 0 to the end of its race."""
-    spans = cars.select(*RACE, "Driver").distinct().join(ends.select(*RACE, "end"), RACE)
+    spans = join_checked(cars.select(*RACE, "Driver").distinct(), ends.select(*RACE, "end"), RACE, "inner")
     ticks = F.sequence(F.lit(0).cast("long"), F.floor(F.col("end") / step).cast("long"))
     return spans.select(*RACE, "Driver", F.explode(ticks).alias("tick")).select(
         *RACE, "Driver", (F.col("tick") * step).alias("t")
@@ -190,7 +191,7 @@ def drs_zones(points: DataFrame) -> DataFrame:
 
 def segments(telemetry: DataFrame, tie: str = "event_id") -> DataFrame:
     """Pairs of consecutive track points with gear, speed and the speed scaled over the lap."""
-    scaled = with_group_stats(telemetry, DRIVEN, {"_lo": F.min("Speed"), "_hi": F.max("Speed")})
+    scaled = with_group_stats(telemetry, DRIVEN, {"_lo": F.min("Speed"), "_hi": F.max("Speed")}, few=False)
     g = OrderedGroups(scaled, DRIVEN, ["Time", tie]).frames(
         {"X_end": lambda w: F.lead("X").over(w), "Y_end": lambda w: F.lead("Y").over(w), "_more": lambda w: F.lead(F.lit(1)).over(w)},
         after=1,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.functions.asof import Samples, align, interval_stats, nearest_of
+from stintlake.functions.joins import join_checked
 from stintlake.operators.laps import RACE
 
 MEASURES = ["AirTemp", "Humidity", "TrackTemp", "Pressure", "WindSpeed", "WindDirection"]
@@ -109,7 +110,7 @@ def track_temp_series(weather: DataFrame, schedule: DataFrame) -> DataFrame:
         "Year", F.col("EventName").alias("GranPrix")
     )
     return (
-        weather.join(events, RACE, "left_semi")
+        join_checked(weather, events, RACE, "left_semi")
         .select(*RACE, "Time", "TrackTemp")
         .orderBy(*RACE, "Time")
     )
