@@ -115,8 +115,34 @@ def interval_stats(
     """
     lasts = lasts or []
     values = list(dict.fromkeys(means + any_true + lasts))
-    edges = spans.where(F.col(start).isNotNull() & F.col(end).isNotNull())
+    sample = F.struct(F.col(sample_time).cast("double").alias("sample_time"), *values)
+    # totals run over the samples alone; the spans only look them up
+    totals = {"n": F.lit(1).cast("long")}
+    for c in means:
+        totals[f"sum_{c}"] = F.col(c).cast(_EXACT)
+        totals[f"cnt_{c}"] = F.col(c).isNotNull().cast("long")
+    for c in any_true:
+        totals[f"any_{c}"] = F.coalesce(F.col(c), F.lit(False)).cast("long")
+    tie = [sample_tie] if sample_tie else []
+    seen = samples.where(F.col(sample_time).isNotNull()).select(
+        *keys, *dict.fromkeys([sample_time, *tie, *values]), sample.alias("_sample")
+    )
+    g = OrderedGroups(seen, keys, [sample_time, *tie], policy)
+    # of several samples at one time the first is the one before a start
+    g = g.frames({"_again": lambda w: F.lag(sample_time).over(w) == F.col(sample_time)}, before=1)
+    first = F.when(~F.coalesce(F.col("_again"), F.lit(False)), F.col("_sample"))
+    g = g.running(sums={f"_t_{n}": c for n, c in totals.items()}, lasts={"_first": first})
+    right = g.result().select(
+        *keys,
+        F.col(sample_time).cast("double").alias("_t"),
+        F.lit(1).alias("_kind"),
+        *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie)],
+        F.struct(
+            "_sample", "_first", F.struct(*[F.col(f"_t_{n}").alias(n) for n in totals]).alias("total")
+        ).alias("_seen"),
+    )
     # at equal times: starts, then samples, then ends, which closes the interval on both sides
+    edges = spans.where(F.col(start).isNotNull() & F.col(end).isNotNull())
     left = edges.select(
         *keys,
         *span_id,
@@ -127,54 +153,34 @@ def interval_stats(
             )
         ).alias("_edge"),
     ).select(*keys, *span_id, "_edge.*")
-    right = samples.where(F.col(sample_time).isNotNull()).select(
-        *keys,
-        F.col(sample_time).cast("double").alias("_t"),
-        F.lit(1).alias("_kind"),
-        F.struct(F.col(sample_time).cast("double").alias("sample_time"), *values).alias("_sample"),
-        *([F.col(sample_tie).alias("_tie")] if sample_tie else []),
-    )
     both = left.unionByName(right, allowMissingColumns=True)
-    order = ["_t", "_kind", *(["_tie"] if sample_tie else []), *span_id]
-    sums = {"_n": F.when(F.col("_kind") == 1, F.lit(1).cast("long"))}
-    for c in means:
-        sums[f"_sum_{c}"] = F.col(f"_sample.{c}").cast(_EXACT)
-        sums[f"_cnt_{c}"] = F.col(f"_sample.{c}").isNotNull().cast("long")
-    for c in any_true:
-        sums[f"_any_{c}"] = F.coalesce(F.col(f"_sample.{c}"), F.lit(False)).cast("long")
-    g = OrderedGroups(both, keys, order, policy)
-    near = F.col("_sample")
-    if sample_tie:
-        # of several samples at one time the first is the one before a start
-        g = g.frames({"_again": lambda w: F.lag(F.struct("_t", "_kind")).over(w) == F.struct("_t", "_kind")}, before=1)
-        near = F.when(~F.coalesce(F.col("_again"), F.lit(False)), F.col("_sample"))
-    tails = {"_tail": F.col("_sample")} if lasts else {}
-    g = g.running(sums=sums, lasts={"_back": near, **tails}, nexts={"_ahead": F.col("_sample")})
-    rows = g.result().where(F.col("_kind") != 1)
-    at_start, at_end = F.col("_kind") == 0, F.col("_kind") == 2
-
-    def span(c: str) -> Column:
-        return F.max(F.when(at_end, F.col(c))) - F.max(F.when(at_start, F.col(c)))
-
-    per_span = rows.groupBy(*keys, *span_id).agg(
-        *[span(c).alias(c) for c in sums],
-        *([F.max(F.when(at_end, F.col("_tail"))).alias("_tail")] if lasts else []),
-        F.max(F.when(at_start, F.col("_back"))).alias("before"),
-        F.max(F.when(at_start, F.col("_ahead"))).alias("after"),
+    order = ["_t", "_kind", *[f"_tie{i}" for i in range(len(tie))], *span_id]
+    rows = (
+        OrderedGroups(both, keys, order, policy)
+        .running(lasts={"_back": F.col("_seen")}, nexts={"_ahead": F.col("_seen")})
+        .result()
+        .where(F.col("_kind") != 1)
     )
-    inside = F.col("_n") > 0
+    at_start = F.when(F.col("_kind") == 0, F.struct("_back", "_ahead"))
+    at_end = F.when(F.col("_kind") == 2, F.struct("_back"))
+    per_span = rows.groupBy(*keys, *span_id).agg(F.max(at_start).alias("_s"), F.max(at_end).alias("_e"))
+
+    def span(name: str) -> Column:
+        until, before = F.col(f"_e._back.total.{name}"), F.col(f"_s._back.total.{name}")
+        return F.coalesce(until, F.lit(0)) - F.coalesce(before, F.lit(0))
+
     return per_span.select(
         *keys,
         *span_id,
-        F.col("_n").alias("n"),
+        span("n").alias("n"),
         *[
-            F.try_divide(F.col(f"_sum_{c}").cast("double"), F.col(f"_cnt_{c}")).alias(f"{c}_mean")
+            F.try_divide(span(f"sum_{c}").cast("double"), span(f"cnt_{c}")).alias(f"{c}_mean")
             for c in means
         ],
-        *[F.when(inside, F.col(f"_any_{c}") > 0).alias(f"{c}_any") for c in any_true],
-        *[F.when(inside, F.col(f"_tail.{c}")).alias(f"{c}_last") for c in lasts],
-        "before",
-        "after",
+        *[F.when(span("n") > 0, span(f"any_{c}") > 0).alias(f"{c}_any") for c in any_true],
+        *[F.when(span("n") > 0, F.col(f"_e._back._sample.{c}")).alias(f"{c}_last") for c in lasts],
+        F.col("_s._back._first").alias("before"),
+        F.col("_s._ahead._sample").alias("after"),
     )
 
 

@@ -15,12 +15,16 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Static: only a new session can have it. Without it every column expression built
+# in Python looks up its place in the source, which takes longer than small queries.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(name: str = "stintlake", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
