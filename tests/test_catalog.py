@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from stintlake import catalog
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.load().QUERIES, catalog.load().ORACLES
 # needs files of 250 rows, which the smallest tables do not have
 EMPTY_HERE = {"flt_accepted_files"}
 ROWS_ONLY = {"ml_augment", "ml_weighted_sample", "feature_table", "ml_train_baseline", "ml_score"}
