@@ -51,13 +51,14 @@ def staging_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a table that outlives lost executors and, unlike a
-    checkpointed RDD, still prunes columns and pushes filters down.
+    checkpointed RDD, still prunes columns and pushes filters down. ``options`` go to
+    the Parquet writer.
     """
     spark = df.sparkSession
     path = os.path.join(staging_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
