@@ -8,18 +8,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stintlake.llm import simhash
+from stintlake.llm import decontaminate, language_id, packing, quality, simhash
+from stintlake.llm.common import bpe_path, table
 from stintlake.session import staging_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    return language_id.keep_identified(docs)
+
+
+def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality.keep_good(docs)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies, the one with the smallest id."""
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", one_of_each_group)]
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences, with their token ids."""
+    return packing.pack(docs, bpe_path(), length=2048)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", with_language),
+    ("quality_rules", of_quality),
+    ("near_dedup", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("packing", packed),
+]
 
 #: Models, hashes and a tokenizer are beyond SQL; the tests hold the stages against brute force instead.
 ORACLE_SQL = None

@@ -28,3 +28,10 @@ def fold(key: Column | str, folds: int = 5) -> Column:
 def held_out(key: Column | str) -> Column:
     """Whether a row belongs to the part that nothing is learnt from; a null key does, as nothing may be learnt from it."""
     return F.coalesce(fold(key) == 0, F.lit(True))
+
+
+def bpe_path() -> str:
+    """The byte-level BPE tokenizer file of the public tokenizers on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stintlake.llm import simhash
-from stintlake.llm.common import table
+from stintlake.llm import decontaminate, language_id, packing, quality, simhash
+from stintlake.llm.common import bpe_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,4 +18,27 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "item_ids", F.array_min("hits.distance").alias("least_distance"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), bpe_path(), length=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.drop("class_distance", "word_distance")
+
+
+QUERIES["op3_language_id"] = op3_language_id
+QUERIES["op4_decontamination"] = op4_decontamination
+QUERIES["op5_packing"] = op5_packing
+QUERIES["op6_quality_rules"] = op6_quality_rules
 QUERIES["op7_simhash_near_dedup"] = op7_simhash_near_dedup
