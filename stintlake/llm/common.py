@@ -35,3 +35,10 @@ def bpe_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def piece_path() -> str:
+    """The piece vocabulary file of the public tokenizers on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlake.llm import decontaminate, language_id, packing, quality, simhash
-from stintlake.llm.common import bpe_path, table
+from stintlake.llm import decontaminate, html_blocks, language_id, packing, quality, seekable_warc, simhash, token_counts
+from stintlake.llm.common import bpe_path, piece_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +18,14 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op1_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seekable_warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -37,8 +45,29 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("class_distance", "word_distance")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), piece_path())
+
+
+QUERIES["op1_seekable_warc"] = op1_seekable_warc
+QUERIES["op2_html_extraction"] = op2_html_extraction
 QUERIES["op3_language_id"] = op3_language_id
 QUERIES["op4_decontamination"] = op4_decontamination
 QUERIES["op5_packing"] = op5_packing
 QUERIES["op6_quality_rules"] = op6_quality_rules
 QUERIES["op7_simhash_near_dedup"] = op7_simhash_near_dedup
+QUERIES["op10_token_counts"] = op10_token_counts
+
+# What was written and read again has the digests and repeats of the pages themselves.
+ORACLES["op1_seekable_warc"] = """
+    WITH p AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), f AS (
+        SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM f
+"""
