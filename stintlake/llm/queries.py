@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlake.llm import chat, decontaminate, html_blocks, language_id, packing, quality, seekable_warc, simhash, token_counts
+from stintlake.llm import chat, decontaminate, html_blocks, language_id, packing, quality, seekable_warc, simhash, token_counts, toxicity
 from stintlake.llm.common import bpe_path, piece_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("class_distance", "word_distance")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     added = spark.sql(f"SELECT -1L AS conv_id, t.* FROM VALUES (0L, 'user', '{said}'), (1L, 'assistant', '{said}') AS t(turn, role, text)")
@@ -63,6 +67,7 @@ QUERIES["op4_decontamination"] = op4_decontamination
 QUERIES["op5_packing"] = op5_packing
 QUERIES["op6_quality_rules"] = op6_quality_rules
 QUERIES["op7_simhash_near_dedup"] = op7_simhash_near_dedup
+QUERIES["op8_toxicity"] = op8_toxicity
 QUERIES["op9_chat_formatting"] = op9_chat_formatting
 QUERIES["op10_token_counts"] = op10_token_counts
 
