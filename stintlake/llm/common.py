@@ -16,6 +16,13 @@ def small_batches(spark: SparkSession, rows: int = 256, megabytes: int = 8) -> N
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes for no column of ``df`` to begin with it."""
+    while any(c.lower().startswith(name) for c in df.columns):
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.llm.common import held_out, small_batches
+from stintlake.llm.common import free_name, held_out, small_batches
 
 BUCKET_BITS = 15
 MAX_ORDER = 3
@@ -158,5 +158,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` whose language is known with a posterior of ``least`` or more, with all their columns."""
     model = train(docs.where(~held_out(id_col)), text_col, label_col, id_col, **options)
     small_batches(docs.sparkSession)
-    found = docs.withColumn("_found", predicted(model, F.col(text_col), docs.sparkSession))
-    return found.where((F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.score") >= least)).select(*[docs[c] for c in docs.columns])
+    name = free_name(docs, "_found")
+    found = docs.withColumn(name, predicted(model, F.col(text_col), docs.sparkSession))
+    known = (F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= least)
+    return found.where(known).select(*docs.columns)

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.llm.common import SPACE_CLASS, WORD_CLASS
+from stintlake.llm.common import SPACE_CLASS, WORD_CLASS, free_name
 from stintlake.session import stage
 
 RESULTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept class_distance word_distance".split()
@@ -218,9 +218,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
     Texts are measured twice, once for the references and once for the verdict, so that they need not be moved.
     """
-    mark = "q_"
-    while any(c.lower().startswith(mark) for c in docs.columns):
-        mark += "_"
+    mark = free_name(docs, "q_")
     refs = references(_measured(docs, text_col, mark), lang_col, mark)
     rows = _judged(_measured(docs, text_col, mark), refs, mark)
     return rows.where(F.col(f"{mark}kept") & (F.col(f"{mark}row") >= 0)).select(*docs.columns)

@@ -25,8 +25,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.llm.common import small_batches
+from stintlake.llm.common import free_name, small_batches
 from stintlake.llm.components import components
+from stintlake.session import stage
 
 BITS = 64
 SEED = 42
@@ -120,8 +121,6 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     small_batches(spark)
-    from stintlake.session import stage
-
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     marked = stage(rows.select("doc_id", fingerprint("text", shingle).alias("fp")), "fingerprints")
     prints = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
@@ -144,9 +143,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """
     found = near_duplicates(docs, id_col, **options)
     kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = kept.select(F.col("doc_id").alias("_kept"), F.col("n").alias("_times"))
+    mark = free_name(docs, "_kept")
+    kept = kept.select(F.col("doc_id").alias(mark), F.col("n").alias(f"{mark}_n"))
     whole = docs.where(F.col(id_col).isNull())
-    joined = docs.join(kept, F.col(id_col) == F.col("_kept"))
-    single = joined.where("_times = 1").drop("_kept", "_times")
-    several = joined.where("_times > 1").drop("_kept", "_times").dropDuplicates([id_col])
+    joined = docs.join(kept, F.col(id_col) == F.col(mark))
+    single = joined.where(F.col(f"{mark}_n") == 1).select(*docs.columns)
+    several = joined.where(F.col(f"{mark}_n") > 1).select(*docs.columns).dropDuplicates([id_col])
     return reduce(DataFrame.unionByName, [single, several, whole])
