@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from stintlake.session import stage
 
-MAX_BROADCAST_ROWS = 200_000
 
+def join_small(left: DataFrame, right: DataFrame, on: list[str] | Column, how: str = "left") -> DataFrame:
+    """Join with ``right`` staged, so that the planner broadcasts it only if its bytes allow.
 
-def join_checked(
-    left: DataFrame, right: DataFrame, on: list[str] | Column, how: str = "left", max_rows: int | None = None
-) -> DataFrame:
-    """Broadcast ``right`` if it has at most ``max_rows`` rows, else leave the join to Spark.
-
-    The size of an aggregate is not known to the planner, which would then
-    shuffle the large side by what may be a handful of keys. ``right`` is
-    staged, so it is computed once for the check and the join.
+    The size of an aggregate is not known before it has run; Spark would then
+    shuffle the large side by what may be a handful of keys. A staged table has
+    a size.
     """
-    limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    right = stage(right, "small")
-    small = right.limit(limit + 1).count() <= limit
-    return left.join(F.broadcast(right) if small else right, on, how)
+    return left.join(stage(right, "small"), on, how)

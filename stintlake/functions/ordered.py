@@ -1,14 +1,16 @@
 """Ordered groups whose window functions survive a hot key.
 
 A Spark window puts a whole partition key into one task. Races, laps and even a
-single car can hold a large part of a table, so the helpers here first probe
-the key distribution on a hash sample. When no group is oversized, the plan is
-the plain window: one exchange on the key. An oversized group is cut into
-blocks of consecutive rows at sampled order values, and every block becomes its
-own window partition. Frames of a fixed number of rows get the few rows they
-miss from the neighbouring blocks; running totals and fills get a carry from a
-table of one row per block. Results are exact wherever the cuts fall; the
-sample decides only how even the blocks are.
+single car can hold a large part of a table, so the helpers here first look at
+the key distribution in a hash sample of the rows. When no group is oversized,
+the plan is the plain window: one exchange on the key. Otherwise the rows are
+dealt out by ranges of (keys, order) to partitions of about ``max_rows`` rows
+and staged; the part of a group that lies in one partition is a block, and every
+block is a window partition of its own. Frames of a fixed number of rows get the
+few rows they miss from the neighbouring blocks; running totals and fills get a
+carry from a table of one row per block. Only a partition's first and last group
+can be cut, so all such tables have a few rows for each partition, are staged,
+and are joined as the planner sees fit. Results are exact wherever the cuts fall.
 """
 
 from __future__ import annotations
@@ -20,32 +22,26 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 from stintlake.session import stage
 
 BLOCK = "_block"
 _BLOCKS = "_blocks"
 _HALO = "_halo"
-_FANOUT = 64
+_MARK = "_mark"
 
 
 @dataclass(frozen=True)
 class SplitPolicy:
-    """When and how finely a group is cut.
+    """When and how finely groups are cut.
 
-    ``max_rows`` rows are fine for one task. ``max_hot`` bounds the number of
-    groups looked at: a group that is not among the ``max_hot`` largest holds
-    less than ``1 / max_hot`` of the rows. ``max_blocks`` bounds the number of
-    cuts over all groups, and with it everything collected or broadcast here.
+    ``max_rows`` rows are fine for one task, whatever the size of the table;
+    one row in ``sample_every`` is looked at, chosen by a hash of the whole row.
     """
 
     max_rows: int = 2_000_000
     sample_every: int = 512
-    max_hot: int = 2048
-    max_blocks: int = 8192
-    points_per_block: int = 16
 
 
 DEFAULT_POLICY = SplitPolicy()
@@ -59,10 +55,7 @@ def set_default_policy(policy: SplitPolicy) -> SplitPolicy:
 
 
 def _join_same(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> DataFrame:
-    """Null-safe join on equally named columns, keeping one copy of them.
-
-    The right side is always a table of blocks or hot groups, bounded by the policy.
-    """
+    """Null-safe join on equally named columns, keeping one copy of them."""
     names = {c: f"_r{i}" for i, c in enumerate(cols)}
     right = right.withColumnsRenamed(names)
     on = reduce(
@@ -70,7 +63,13 @@ def _join_same(left: DataFrame, right: DataFrame, cols: list[str], how: str) ->
         [F.col(c).eqNullSafe(F.col(r)) for c, r in names.items()],
         F.lit(True),
     )
-    return left.join(F.broadcast(right), on, how).drop(*names.values())
+    return left.join(right, on, how).drop(*names.values())
+
+
+def _row_mark(df: DataFrame) -> Column:
+    """Hash of a whole row; equal only for rows that are equal, or nearly never."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
 
 
 class OrderedGroups:
@@ -90,86 +89,40 @@ class OrderedGroups:
     ):
         self.keys, self.order = list(keys), list(order)
         self.policy = policy or DEFAULT_POLICY
-        cuts = self._find_cuts(df)
-        self.split = cuts is not None
-        self.df = stage(self._assign_blocks(df, cuts), "blocks") if self.split else df
+        parts = self._parts(df)
+        self.split = parts > 0
+        self.df = self._cut(df, parts) if self.split else df
         self._staged = self.split
 
     # -- where to cut ------------------------------------------------------
 
-    def _find_cuts(self, df: DataFrame) -> list | None:
+    def _parts(self, df: DataFrame) -> int:
+        """Partitions to deal the rows to; 0 when every group fits into a task."""
         p = self.policy
-        spark = df.sparkSession
-        mark = F.xxhash64(*self.keys, *self.order)
-        sample = df.select(*dict.fromkeys(self.keys + self.order), mark.alias("_mark")).where(
-            F.pmod("_mark", F.lit(p.sample_every)) == 0
-        )
-        hot = (
-            sample.groupBy(*self.keys)
-            .agg(F.count("*").alias("_n"))
-            .where(F.col("_n") * p.sample_every > p.max_rows)
-            .orderBy(F.desc("_n"))
-            .limit(p.max_hot)
-            .collect()
-        )
-        if not hot:
-            return None
-        total = sample.count()
-        per_block = max(p.max_rows / p.sample_every, total / p.max_blocks)
-        plan = []
-        for row in hot:
-            blocks = math.ceil(row["_n"] / per_block)
-            thin = max(1, int(row["_n"] // (blocks * p.points_per_block)))
-            plan.append(tuple(row[k] for k in self.keys) + (thin, max(1, int(row["_n"] // thin // blocks))))
-        fields = [df.schema[k] for k in self.keys]
-        schema = T.StructType(
-            [T.StructField(f.name, f.dataType, True) for f in fields]
-            + [T.StructField("_thin", T.LongType()), T.StructField("_step", T.LongType())]
-        )
-        points = _join_same(sample, spark.createDataFrame(plan, schema), self.keys, "inner").where(
-            F.pmod("_mark", F.col("_thin") * p.sample_every) == 0
+        sample = df.select(*self.keys, _row_mark(df).alias(_MARK)).where(F.pmod(_MARK, F.lit(p.sample_every)) == 0)
+        oversized = sample.groupBy(*self.keys).agg(F.count("*").alias("_n")).where(F.col("_n") * p.sample_every > p.max_rows)
+        if oversized.isEmpty():
+            return 0
+        return math.ceil(sample.count() * p.sample_every / p.max_rows)
+
+    def _cut(self, df: DataFrame, parts: int) -> DataFrame:
+        """The rows, staged, with their block's number in the group and the group's blocks; 0 and null if not cut."""
+        part = F.spark_partition_id().alias("_part")
+        ranged = df.withColumn(_MARK, _row_mark(df)).repartitionByRange(parts, *self.keys, *self.order, _MARK)
+        rows = stage(ranged.select("*", part), "blocks")
+        group = F.struct(F.lit(0).alias("_all"), *self.keys)
+        ends = rows.groupBy("_part").agg(F.min(group).alias("_low"), F.max(group).alias("_high"))
+        ends = ends.select("_part", F.explode(F.array_distinct(F.array("_low", "_high"))).alias("_g"))
+        ends = ends.select("_part", *[F.col(f"_g.{k}").alias(k) for k in self.keys])
+        across = Window.partitionBy(*self.keys)
+        blocks = ends.select(
+            "*",
+            (F.row_number().over(across.orderBy("_part")) - 1).alias(BLOCK),
+            F.count("*").over(across).cast("int").alias(_BLOCKS),
         )
-        cuts = (
-            points.groupBy(*self.keys, "_step")
-            .agg(F.array_sort(F.collect_set(F.struct(*self.order))).alias("_points"))
-            .select(
-                *self.keys,
-                F.filter("_points", lambda x, i: F.pmod(i + 1, F.col("_step")) == 0).alias("_cuts"),
-            )
-            .where(F.size("_cuts") > 0)
-        )
-        rows = cuts.collect()
-        return [(cuts.schema, rows)] if rows else None
-
-    def _assign_blocks(self, df: DataFrame, cuts: list) -> DataFrame:
-        """Add the block number of every row; 0 in groups that are not cut."""
-        (schema, rows) = cuts[0]
-        point = schema["_cuts"].dataType
-        table = [
-            tuple(r[k] for k in self.keys)
-            + (
-                len(r["_cuts"]) + 1,
-                [r["_cuts"][i] for i in range(0, len(r["_cuts"]), _FANOUT)],
-                [r["_cuts"][i : i + _FANOUT] for i in range(0, len(r["_cuts"]), _FANOUT)],
-            )
-            for r in rows
-        ]
-        table_schema = T.StructType(
-            [T.StructField(f.name, f.dataType, True) for f in schema.fields[:-1]]
-            + [
-                T.StructField(_BLOCKS, T.IntegerType()),
-                T.StructField("_heads", point),
-                T.StructField("_runs", T.ArrayType(point)),
-            ]
-        )
-        small = df.sparkSession.createDataFrame(table, table_schema)
-        here = F.struct(*self.order)
-        joined = _join_same(df, small, self.keys, "left").withColumn(
-            "_run", F.size(F.filter("_heads", lambda s: s <= here))
-        )
-        inside = F.size(F.filter(F.get("_runs", F.col("_run") - 1), lambda s: s <= here))
-        block = F.when(F.col("_run") > 0, (F.col("_run") - 1) * _FANOUT + inside).otherwise(0)
-        return joined.withColumn(BLOCK, block.cast("int")).drop("_heads", "_runs", "_run")
+        blocks = stage(blocks.where(F.col(_BLOCKS) > 1), "cuts")
+        joined = _join_same(rows, blocks, [*self.keys, "_part"], "left").drop("_part")
+        return joined.withColumn(BLOCK, F.coalesce(BLOCK, F.lit(0)))
 
     # -- windows -----------------------------------------------------------
 
@@ -189,16 +142,14 @@ class OrderedGroups:
 
     def _window(self, backward: bool = False) -> WindowSpec:
         keys = self.keys + [BLOCK] if self.split else self.keys
-        order = [F.desc(c) for c in self.order] if backward else self.order
+        names = [*self.order, _MARK] if self.split else self.order
+        order = [F.desc(c) for c in names] if backward else names
         return (Window.partitionBy(*keys) if keys else Window).orderBy(*order)
 
     def _summary(self, aggs: dict[str, Column]) -> DataFrame:
         """One row per block of the groups that were cut."""
-        return (
-            self.df.where(F.col(_BLOCKS).isNotNull())
-            .groupBy(*self.keys, BLOCK)
-            .agg(*[c.alias(n) for n, c in aggs.items()])
-        )
+        whole = self.df.where(F.col(_BLOCKS).isNotNull()).groupBy(*self.keys, BLOCK)
+        return whole.agg(*[c.alias(n) for n, c in aggs.items()])
 
     def _block_window(self, backward: bool = False) -> WindowSpec:
         order = F.desc(BLOCK) if backward else F.asc(BLOCK)
@@ -230,7 +181,8 @@ class OrderedGroups:
             "_end", F.sum("_n").over(self._block_window().rowsBetween(Window.unboundedPreceding, 0))
         ).withColumn("_start", F.col("_end") - F.col("_n")).drop("_n")
         keys = self.keys + [BLOCK]
-        order = [F.desc(c) if forward else F.asc(c) for c in self.order]
+        order = [F.desc(c) if forward else F.asc(c) for c in (*self.order, _MARK)]
+        ends = stage(ends, "ends")
         edge = (
             self.df.where(F.col(_BLOCKS).isNotNull())
             .withColumn("_edge", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
@@ -278,7 +230,7 @@ class OrderedGroups:
             local |= {n: F.coalesce(local[n], zero) for n in sums}
             return self._with(self.df.withColumns(local))
 
-        here = F.struct(*self.order)
+        here = F.struct(*self.order, _MARK)
         carry = self._summary(
             {f"_c_{n}": F.sum(c) for n, c in sums.items()}
             | {f"_c_{n}": F.max_by(c, F.when(c.isNotNull(), here)) for n, c in lasts.items()}
@@ -294,7 +246,7 @@ class OrderedGroups:
             | {f"_c_{n}": F.max(f"_c_{n}").over(prior) for n in maxes}
         )
         carried = [f"_c_{n}" for n in (*sums, *lasts, *nexts, *maxes)]
-        df = _join_same(self.df.withColumns(local), carry, self.keys + [BLOCK], "left")
+        df = _join_same(self.df.withColumns(local), stage(carry, "carry"), self.keys + [BLOCK], "left")
         merged = {n: F.coalesce(F.col(n), zero) + F.coalesce(F.col(f"_c_{n}"), zero) for n in sums}
         merged |= {n: F.coalesce(F.col(n), F.col(f"_c_{n}")) for n in (*lasts, *nexts)}
         merged |= {n: F.greatest(F.col(n), F.col(f"_c_{n}")) for n in maxes}
@@ -321,7 +273,7 @@ class OrderedGroups:
         return self._with(self.df.withColumns(columns))
 
     def result(self) -> DataFrame:
-        return self.df.drop(BLOCK, _BLOCKS) if self.split else self.df
+        return self.df.drop(BLOCK, _BLOCKS, _MARK) if self.split else self.df
 
 
 def with_group_stats(
@@ -331,8 +283,8 @@ def with_group_stats(
 
     Unlike an unbounded window this never gathers a group in one task: the
     aggregate combines before its shuffle. Where ``few`` groups are expected
-    the join is broadcast after a check of their number; otherwise AQE splits
-    the rows of a large key. Rows with a null key get null statistics.
+    the statistics are staged, so that the planner knows their size; otherwise
+    AQE splits the rows of a large key. Rows with a null key get null statistics.
     """
     columns = [c.alias(n) for n, c in aggs.items()]
     if not keys:
@@ -340,4 +292,4 @@ def with_group_stats(
         done = df.withColumn("_stats", stats.scalar())
         return done.withColumns({n: F.col(f"_stats.{n}") for n in aggs}).drop("_stats")
     stats = df.groupBy(*keys).agg(*columns)
-    return join_checked(df, stats, keys) if few else df.join(stats, keys, "left")
+    return join_small(df, stats, keys) if few else df.join(stats, keys, "left")

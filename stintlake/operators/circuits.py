@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 
 
 def join_circuit(
@@ -27,7 +27,7 @@ def join_circuit(
     exact = circuits.select(F.col("Location").alias("_loc"), F.col(length).alias("_exact"))
     if not similar:
         return (
-            join_checked(laps, exact, F.col(location) == F.col("_loc"))
+            join_small(laps, exact, F.col(location) == F.col("_loc"))
             .withColumn(length, F.col("_exact"))
             .drop("_loc", "_exact")
         )
@@ -47,7 +47,7 @@ def join_circuit(
         "_place", F.col("_exact").alias(length)
     )
     lengths = known.unionByName(matched)
-    return join_checked(laps, lengths, F.col(location) == F.col("_place")).drop("_place")
+    return join_small(laps, lengths, F.col(location) == F.col("_place")).drop("_place")
 
 
 def substrings(name: str) -> Column:

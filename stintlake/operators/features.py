@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 from stintlake.functions.ordered import OrderedGroups, with_group_stats
 from stintlake.functions.quantiles import group_quantiles, quantile_struct
 from stintlake.operators import laps as L
@@ -76,7 +76,7 @@ def stint_progress(df: DataFrame, fit_years: list[int] | None = None) -> DataFra
     life, expected = F.col("TyreLife"), F.col("expected_stint_length")
     ratio = F.when((expected == 0) & (life > 0), 2.0).otherwise(F.try_divide(life, expected))
     clipped = F.when(ratio.isNotNull(), F.least(F.greatest(ratio, F.lit(0.0)), F.lit(2.0)))
-    return join_checked(df, q, ["Compound"]).withColumn("stint_progress", clipped)
+    return join_small(df, q, ["Compound"]).withColumn("stint_progress", clipped)
 
 
 # -- performance -----------------------------------------------------------
@@ -122,7 +122,7 @@ def compound_age_ratio(df: DataFrame) -> DataFrame:
     life = F.col("TyreLife").cast("double")
     ratio = F.when(F.col("_q90") > 0, life / F.col("_q90")).otherwise(life)
     known = F.when(F.col("Compound").isNotNull(), ratio)
-    return join_checked(df, q, keys).withColumn("compound_age_ratio", known).drop("_q90")
+    return join_small(df, q, keys).withColumn("compound_age_ratio", known).drop("_q90")
 
 
 # -- weather ---------------------------------------------------------------
@@ -219,7 +219,7 @@ def fill_mode(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
         counts = df.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count("*").alias("_n"))
         top = counts.groupBy(*keys).agg(F.min(F.struct(-F.col("_n"), F.col(c).alias("v"))).alias("_top"))
         df = (
-            join_checked(df, top, keys)
+            join_small(df, top, keys)
             .withColumn(c, F.coalesce(F.col(c), F.col("_top.v"), F.lit("Unknown")))
             .drop("_top")
         )

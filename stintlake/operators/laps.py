@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.functions import columns as C
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 from stintlake.functions.ordered import with_group_stats
 from stintlake.functions.quantiles import group_quantiles
 
@@ -102,7 +102,7 @@ def encode_map(df: DataFrame, column: str, codes: DataFrame, key: str, code: str
     """Codes looked up in a table, ``default`` where there is none."""
     table = codes.select(F.col(key).alias("_key"), F.col(code).alias("_code"))
     return (
-        join_checked(df, table, F.col(column) == F.col("_key"))
+        join_small(df, table, F.col(column) == F.col("_key"))
         .withColumn(name, F.coalesce("_code", F.lit(default)))
         .drop("_key", "_code")
     )
@@ -270,4 +270,4 @@ def quantile_trim(df: DataFrame, value: str, low: float = 0.01, high: float = 0.
 def winner_split(laps: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Laps of the race winners, and laps of everybody else."""
     winners = results.where(F.col("Position") == 1).select(*CAR)
-    return join_checked(laps, winners, CAR, "left_semi"), join_checked(laps, winners, CAR, "left_anti")
+    return join_small(laps, winners, CAR, "left_semi"), join_small(laps, winners, CAR, "left_anti")

@@ -211,11 +211,17 @@ def loss_report(
 ) -> DataFrame:
     """Mean weighted cross-entropy of the change, cross-entropy of the true compound on real changes, and their mix.
 
-    Means are over the whole table.
+    Means are over the whole table. A logarithm is never below -100, which a
+    probability of 0 for what was true counts as. Real changes without a known
+    compound (``type_prob`` null) have no part in the type loss.
     """
     y, p = F.col("y"), F.col("prob")
-    change = -(pos_weight * y * F.log(p) + (1 - y) * F.log(1 - p))
-    kind = F.when(y == 1, -F.log(type_prob))
+
+    def log(x: Column) -> Column:
+        return F.when(x <= 0, F.lit(-100.0)).when(x > 0, F.greatest(F.log(x), F.lit(-100.0)))
+
+    change = -(pos_weight * y * log(p) + (1 - y) * log(1 - p))
+    kind = F.when((y == 1) & F.col(type_prob).isNotNull(), -log(F.col(type_prob)))
     return scores.agg(F.avg(change).alias("change_loss"), _zero(F.avg(kind)).alias("type_loss")).withColumn(
         "total_loss", alpha * F.col("change_loss") + beta * F.col("type_loss")
     )

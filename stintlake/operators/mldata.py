@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 from stintlake.functions.ordered import OrderedGroups, with_group_stats
 from stintlake.functions.quantiles import column_quantiles, quantile_struct
 from stintlake.operators.features import CAR_ID, NO_CHANGE
@@ -91,7 +91,7 @@ def label_codes(train: DataFrame, column: str) -> DataFrame:
 def label_encode(df: DataFrame, column: str, codes: DataFrame, name: str | None = None) -> DataFrame:
     """Codes fitted elsewhere; a value that was not fitted gets null."""
     table = codes.withColumnsRenamed({"value": "_value", "code": name or f"{column}_encoded"})
-    return join_checked(df, table, _text(column) == F.col("_value")).drop("_value")
+    return join_small(df, table, _text(column) == F.col("_value")).drop("_value")
 
 
 def first_seen_codes(train: DataFrame, column: str, order: list[str]) -> DataFrame:
@@ -107,7 +107,7 @@ def label_encode_other(df: DataFrame, column: str, codes: DataFrame, name: str)
     """Codes with one for unseen values, and the one-hot array."""
     sizes = codes.where(F.col("value") == OTHER).agg(F.max("code").alias("_other"))
     table = codes.where(~F.col("value").eqNullSafe(OTHER)).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-    coded = join_checked(df, table, F.col(column).eqNullSafe(F.col("_value"))).withColumn(
+    coded = join_small(df, table, F.col(column).eqNullSafe(F.col("_value"))).withColumn(
         "_other", sizes.scalar()
     )
     code = F.coalesce("_code", "_other")

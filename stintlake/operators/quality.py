@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 
 ESSENTIAL = ["Year", "DriverID", "LapNumber", "Position", "LapTime"]
 
@@ -188,7 +188,7 @@ def quality_gate(df: DataFrame, file: str = "file", max_missing_pct: float = 30.
 
 
 def accepted_rows(df: DataFrame, gate: DataFrame, file: str = "file") -> DataFrame:
-    return join_checked(df, gate.where("accepted"), [file], "left_semi")
+    return join_small(df, gate.where("accepted"), [file], "left_semi")
 
 
 def consolidation_stats(df: DataFrame, file: str = "file", failed: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.functions import columns as C
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 from stintlake.functions.ordered import OrderedGroups, with_group_stats
 from stintlake.operators.laps import CAR, RACE
 
@@ -125,7 +125,7 @@ def compound_degradation(laps: DataFrame) -> DataFrame:
 def strategy_cost(strategies: DataFrame, compounds: DataFrame) -> DataFrame:
     """Total time of strategies of ``(compound, laps)`` stints; one with an unknown compound is left out."""
     known = compounds.select(F.col("Compound").alias("compound"), "avg_lap_time")
-    parts = join_checked(strategies.select("strategy_id", F.inline("stints")), known, ["compound"])
+    parts = join_small(strategies.select("strategy_id", F.inline("stints")), known, ["compound"])
     return (
         parts.groupBy("strategy_id")
         .agg(
@@ -140,7 +140,7 @@ def strategy_cost(strategies: DataFrame, compounds: DataFrame) -> DataFrame:
 def strategy_cost_default(strategies: DataFrame, compounds: DataFrame) -> DataFrame:
     """The same with default lap times for unknown compounds."""
     known = compounds.select(F.col("Compound").alias("compound"), "avg_lap_time")
-    parts = join_checked(strategies.select("strategy_id", F.inline("stints")), known, ["compound"])
+    parts = join_small(strategies.select("strategy_id", F.inline("stints")), known, ["compound"])
     default = C.lookup("compound", C.DEFAULT_LAP_TIME, C.DEFAULT_LAP_TIME_OTHER)
     time = F.coalesce("avg_lap_time", default)
     return parts.groupBy("strategy_id").agg(F.sum(time * F.col("laps")).alias("total_time"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stintlake.functions.asof import Samples, align
 from stintlake.functions.columns import lap_percentage, minutes_seconds, rotated
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 from stintlake.functions.ordered import OrderedGroups, with_group_stats
 from stintlake.operators.laps import RACE
 from stintlake.session import stage
@@ -55,8 +55,9 @@ def cumulative_distance(telemetry: DataFrame, keys: list[str] = DRIVEN, tie: str
     """Metres driven since the start of the group, by speed and time steps."""
     g = OrderedGroups(telemetry, keys, ["Time", tie]).frames({"_before": lambda w: F.lag("Time").over(w)}, before=1)
     step = F.col("Speed") / 3.6 * (F.col("Time") - F.coalesce("_before", F.lit(0.0)))
-    g = g.running(sums={"CumDistance": step})
-    return g.result().drop("_before")
+    # decimals add up alike in any order, so cuts in a group do not show in the last digits
+    rows = g.running(sums={"CumDistance": step.cast("decimal(24,9)")}).result()
+    return rows.drop("_before").withColumn("CumDistance", F.col("CumDistance").cast("double"))
 
 
 # -- alignment -------------------------------------------------------------
@@ -64,7 +65,7 @@ def cumulative_distance(telemetry: DataFrame, keys: list[str] = DRIVEN, tie: str
 
 def time_grid(cars: DataFrame, ends: DataFrame, step: float = 0.5) -> DataFrame:
     """Every car at every ``step`` seconds from 0 to the end of its race."""
-    spans = join_checked(cars.select(*RACE, "Driver").distinct(), ends.select(*RACE, "end"), RACE, "inner")
+    spans = join_small(cars.select(*RACE, "Driver").distinct(), ends.select(*RACE, "end"), RACE, "inner")
     ticks = F.sequence(F.lit(0).cast("long"), F.floor(F.col("end") / step).cast("long"))
     return spans.select(*RACE, "Driver", F.explode(ticks).alias("tick")).select(
         *RACE, "Driver", (F.col("tick") * step).alias("t")

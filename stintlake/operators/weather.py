@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.functions.asof import Samples, align, interval_stats, nearest_of
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 from stintlake.operators.laps import RACE
 
 MEASURES = ["AirTemp", "Humidity", "TrackTemp", "Pressure", "WindSpeed", "WindDirection"]
 RAIN = "Rainfall"
 
 
-def _stats(laps, weather, car, lap, start, end, tie, lasts=None):
+def _stats(laps, weather, car, lap, start, end, tie, means=MEASURES, lasts=None):
     return interval_stats(
         laps,
         weather,
@@ -22,7 +22,7 @@ def _stats(laps, weather, car, lap, start, end, tie, lasts=None):
         start,
         end,
         "Time",
-        MEASURES,
+        means,
         [RAIN],
         lasts,
         tie,
@@ -78,7 +78,7 @@ def join_weather_last_over_n(
 
     This is how the older per-driver tables were filled.
     """
-    stats = _stats(laps, weather, car, lap, start, end, tie, lasts=[*MEASURES, RAIN])
+    stats = _stats(laps, weather, car, lap, start, end, tie, means=[], lasts=[*MEASURES, RAIN])
     picked = stats.select(
         *RACE,
         car,
@@ -110,7 +110,7 @@ def track_temp_series(weather: DataFrame, schedule: DataFrame) -> DataFrame:
         "Year", F.col("EventName").alias("GranPrix")
     )
     return (
-        join_checked(weather, events, RACE, "left_semi")
+        join_small(weather, events, RACE, "left_semi")
         .select(*RACE, "Time", "TrackTemp")
         .orderBy(*RACE, "Time")
     )

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.functions.joins import join_checked
+from stintlake.functions.joins import join_small
 from stintlake.functions.ordered import OrderedGroups
 from stintlake.operators.mldata import CAR_ID, class_weights
 
@@ -41,7 +41,7 @@ def train_change(train: DataFrame, names: list[str], iterations: int = 20) -> Pi
     """Logistic regression of the change, rows weighted against the class imbalance."""
     weights = class_weights(train, TARGET).select(F.col("class").alias(TARGET), "weight")
     params = dict(labelCol=TARGET, weightCol="weight", probabilityCol="_p", predictionCol="_said", maxIter=iterations)
-    return Pipeline(stages=_stages(names, **params)).fit(join_checked(train, weights, [TARGET], "inner"))
+    return Pipeline(stages=_stages(names, **params)).fit(join_small(train, weights, [TARGET], "inner"))
 
 
 def train_type(train: DataFrame, names: list[str], label: str, iterations: int = 20) -> PipelineModel:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,18 +40,24 @@ def ingest_available(
 ) -> StreamingQuery:
     """Process what is there and stop.
 
-    With ``rules`` bad rows go to ``rejects`` with level and reason. A batch
-    that is run again after a failure overwrites its own folder only.
+    With ``rules`` bad rows go to ``rejects`` with level and reason, which must
+    then be given. A batch is read and checked once, and one that is run again
+    after a failure overwrites its own folders only.
     """
+    if rules and not rejects:
+        raise ValueError("rules need a folder for the rows they reject")
 
     def write(batch: DataFrame, epoch: int) -> None:
         rows = transform(batch) if transform else batch
         if rules:
+            rows = rows.persist(StorageLevel.DISK_ONLY_2)
             good, bad = split_valid(rows, rules)
             bad.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
         else:
             good = rows
         good.write.mode("overwrite").parquet(f"{target}/batch={epoch}")
+        if rules:
+            rows.unpersist()
 
     return (
         stream.writeStream.foreachBatch(write)

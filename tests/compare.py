@@ -99,7 +99,7 @@ def main(argv):
     if "--tight" in argv:
         # cut every group above this size, to run the cut paths on small data
         at = argv.index("--tight")
-        set_default_policy(SplitPolicy(max_rows=int(argv[at + 1]), sample_every=1, points_per_block=4))
+        set_default_policy(SplitPolicy(max_rows=int(argv[at + 1]), sample_every=1))
         argv = argv[:at] + argv[at + 2 :]
     wanted = argv[1:]
     spark = build_session(

@@ -29,7 +29,7 @@ def spark():
 @pytest.fixture
 def tight():
     """A policy under which even small groups are cut."""
-    policy = SplitPolicy(max_rows=20, sample_every=1, points_per_block=2)
+    policy = SplitPolicy(max_rows=20, sample_every=1)
     previous = set_default_policy(policy)
     yield policy
     set_default_policy(previous)

@@ -45,7 +45,7 @@ def _add(df, keys, policy):
 @pytest.mark.parametrize("keys, max_rows", [(["k"], 4), (["k"], 100), ([], 25)])
 def test_cut_equals_plain(spark, keys, max_rows):
     df = _rows(spark)
-    cut = _add(df, keys, SplitPolicy(max_rows=max_rows, sample_every=1, points_per_block=1))
+    cut = _add(df, keys, SplitPolicy(max_rows=max_rows, sample_every=1))
     assert cut.split
     plain = _add(df, keys, PLAIN)
     assert not plain.split
@@ -57,7 +57,7 @@ def test_cut_equals_plain(spark, keys, max_rows):
 
 def test_many_blocks_use_two_levels(spark):
     df = spark.range(2000).select(F.col("id").cast("int").alias("t"))
-    g = OrderedGroups(df, [], ["t"], SplitPolicy(max_rows=5, sample_every=1, points_per_block=1))
+    g = OrderedGroups(df, [], ["t"], SplitPolicy(max_rows=5, sample_every=1))
     assert g.df.select("_block").distinct().count() > 200
     assert g.numbered("rn").result().where("rn <> t + 1").count() == 0
 
