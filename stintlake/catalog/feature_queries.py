@@ -315,6 +315,20 @@ def agg_mode_fill(spark, sf):
 
 # -- splits, encodings, scaling --------------------------------------------
 
+@query(
+    "prj_fixed_norm",
+    f"""SELECT GlobalLapID, {R("TireMeters / 30466")} AS NormalizedTireMeters, {R("DriverMeters / 470884")} AS NormalizedDriverMeters,
+        {R("AirTemp / 61")} AS NormalizedAirTemp, {R("Humidity / 90")} AS NormalizedHumidity,
+        {R("TrackTemp / 61")} AS NormalizedTrackTemp, {R("Pressure / 1013")} AS NormalizedPressure,
+        {R("WindSpeed / 80")} AS NormalizedWindSpeed, {R("WindDirection / 360")} AS NormalizedWindDirection
+    FROM dataset""",
+    ("dataset",),
+)
+def prj_fixed_norm(spark, sf):
+    done = L.fixed_norm(role(spark, sf, "dataset"))
+    return done.select("GlobalLapID", *[r6(c).alias(c) for c in done.columns if c.startswith("Normalized")])
+
+
 SPLIT_SQL = """split AS (SELECT *, CASE WHEN Year IN (2018, 2019, 2020, 2021) THEN 'train' WHEN Year = 2023 THEN 'val'
     ELSE 'test' END AS split FROM targeted WHERE Year IN (2018, 2019, 2020, 2021, 2023, 2024))"""
 
@@ -333,17 +347,26 @@ def ml_split_years(spark, sf):
     return M.split_balance(_split(spark, sf)).withColumn("positive_pct", r6("positive_pct"))
 
 
+ENCODED = ["Driver", "Team", "GranPrix", "Location"]
+
+
 @query(
     "ml_label_encode",
-    f"""{SPLIT_SQL}, codes AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code
-        FROM (SELECT DISTINCT Driver AS value FROM split WHERE split = 'train' UNION SELECT 'NO_CHANGE'))
-    SELECT GlobalLapID, split, code AS Driver_encoded FROM split LEFT JOIN codes ON value = Driver""",
+    f"{SPLIT_SQL}, "
+    + ", ".join(
+        f"""c{i} AS (SELECT value AS v{i}, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS {c}_encoded
+        FROM (SELECT DISTINCT {c} AS value FROM split WHERE split = 'train' AND {c} IS NOT NULL UNION SELECT 'NO_CHANGE'))"""
+        for i, c in enumerate(ENCODED)
+    )
+    + f" SELECT GlobalLapID, split, {', '.join(f'{c}_encoded' for c in ENCODED)} FROM split "
+    + " ".join(f"LEFT JOIN c{i} ON v{i} = {c}" for i, c in enumerate(ENCODED)),
     ("targeted",),
 )
 def ml_label_encode(spark, sf):
-    split = _split(spark, sf)
-    codes = M.label_codes(split.where("split = 'train'"), "Driver")
-    return M.label_encode(split, "Driver", codes).select(*LAP, "split", "Driver_encoded")
+    done = split = _split(spark, sf)
+    for c in ENCODED:
+        done = M.label_encode(done, c, M.label_codes(split.where("split = 'train'"), c))
+    return done.select(*LAP, "split", *[f"{c}_encoded" for c in ENCODED])
 
 
 @query(
@@ -376,7 +399,10 @@ def ml_frequency_encode(spark, sf):
     return M.frequency_encode(rows).select(*LAP, "compound_strategy", "compound_strategy_freq")
 
 
-SCALED = ["LapTime", "TyreLife", "TireMeters", "AirTemp", "Humidity", "TimeDeltaToDriverAhead"]
+SCALED = (
+    "LapTime Time TyreLife TireMeters DriverMeters AirTemp Humidity TrackTemp Pressure WindSpeed WindDirection TimeDeltaToDriverAhead "
+    "TimeDeltaToDriverTwoAhead TimeDeltaToDriverBehind TimeDeltaToDriverTwoBehind"
+).split()
 
 
 def _scale_expr(c: str) -> str:
@@ -391,39 +417,45 @@ def _scale_expr(c: str) -> str:
 )
 def ml_robust_scale(spark, sf):
     split = _split(spark, sf)
-    fit = M.robust_fit(split.where("split = 'train'"), SCALED)
-    return M.robust_scale(split, SCALED, fit).select(*LAP, *[r6(c).alias(c) for c in SCALED])
+    columns = M.scaled_columns(split)
+    fit = M.robust_fit(split.where("split = 'train'"), columns)
+    return M.robust_scale(split, columns, fit).select(*LAP, *[r6(c).alias(c) for c in SCALED])
 
 
 # -- sequences -------------------------------------------------------------
 
 SEQ = ["LapTime", "TyreLife", "TrackTemp", "Position"]
+SEQ_ALL = [*SCALED, "Position", "Stint"]
 _CODES = "CASE next_tire_type WHEN 'SOFT' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'HARD' THEN 3 ELSE 0 END"
 
 
-def sequences(spark, sf):
+def sequences(spark, sf, features=SEQ):
     """Ten-lap sequences with null features as they are."""
     rows = role(spark, sf, "targeted")
     code = F.when(F.col("next_tire_type") == "SOFT", 1).when(F.col("next_tire_type") == "MEDIUM", 2)
     code = code.when(F.col("next_tire_type") == "HARD", 3).otherwise(0)
-    return M.sequences(rows.withColumn("_type", code), SEQ, 10, "_type")
+    return M.sequences(rows.withColumn("_type", code), features, 10, "_type")
 
 
-SEQ_SQL = f"""n AS (SELECT *, row_number() OVER (PARTITION BY DriverRaceID ORDER BY LapNumber) AS i,
+def sequence_sql(features=SEQ):
+    return f"""n AS (SELECT *, row_number() OVER (PARTITION BY DriverRaceID ORDER BY LapNumber) AS i,
         {_CODES} AS y_type FROM targeted),
     seq AS (SELECT e.DriverRaceID, e.LapNumber, CAST(s.i - e.i + 9 AS INTEGER) AS step,
-        {", ".join(f"CAST(s.{c} AS FLOAT) AS {c}" for c in SEQ)}, e.tire_change_next_lap AS y_change, e.y_type
+        {", ".join(f"CAST(s.{c} AS FLOAT) AS {c}" for c in features)}, e.tire_change_next_lap AS y_change, e.y_type
     FROM n e JOIN n s ON s.DriverRaceID = e.DriverRaceID AND s.i BETWEEN e.i - 9 AND e.i WHERE e.i >= 10)"""
 
 
+SEQ_SQL = sequence_sql()
+
+
 @query(
     "win_sequences",
-    f"""{SEQ_SQL} SELECT DriverRaceID, LapNumber, step, {", ".join(R(c) + f" AS {c}" for c in SEQ)}, y_change, y_type FROM seq""",
+    f"""{sequence_sql(SEQ_ALL)} SELECT DriverRaceID, LapNumber, step, {", ".join(R(c) + f" AS {c}" for c in SEQ_ALL)}, y_change, y_type FROM seq""",
     ("targeted",),
 )
 def win_sequences(spark, sf):
-    rows = sequences(spark, sf).select("*", F.posexplode("X").alias("step", "row"))
-    cols = [r6(F.get("row", F.lit(i))).alias(c) for i, c in enumerate(SEQ)]
+    rows = sequences(spark, sf, SEQ_ALL).select("*", F.posexplode("X").alias("step", "row"))
+    cols = [r6(F.get("row", F.lit(i))).alias(c) for i, c in enumerate(SEQ_ALL)]
     return rows.select("DriverRaceID", "LapNumber", "step", *cols, "y_change", "y_type")
 
 

@@ -203,19 +203,6 @@ def prj_likely_stops(spark, sf):
     return laps.select(*ID, loose.alias("likely_one_stop_15"), "likely_one_stop", "likely_two_stop")
 
 
-@query(
-    "prj_fixed_norm",
-    f"""SELECT event_id, {R("AirTemp / 61")} AS NormalizedAirTemp, {R("Humidity / 90")} AS NormalizedHumidity,
-        {R("TrackTemp / 61")} AS NormalizedTrackTemp, {R("Pressure / 1013")} AS NormalizedPressure,
-        {R("WindSpeed / 80")} AS NormalizedWindSpeed, {R("WindDirection / 360")} AS NormalizedWindDirection
-    FROM weather""",
-    ("weather",),
-)
-def prj_fixed_norm(spark, sf):
-    done = L.fixed_norm(role(spark, sf, "weather"))
-    return done.select("event_id", *[r6(c).alias(c) for c in done.columns if c.startswith("Normalized")])
-
-
 @query(
     "prj_lap_pct",
     f"""SELECT event_id, {R("fmod(Distance, 4321.0) / 4321.0 * 100")} AS pct FROM telemetry""",

@@ -15,10 +15,11 @@ def _build_scores(spark, sf):
     return role(spark, sf, "laps").select(
         "event_id",
         y.alias("y"),
-        ((e * 7919 % 1009 + 300 * y + 1) / 1400).alias("prob"),
+        # certain and impossible ones among them, right and wrong
+        F.when(e % 503 == 0, 0.0).when(e % 499 == 0, 1.0).otherwise((e * 7919 % 1009 + 300 * y + 1) / 1400).alias("prob"),
         (F.col("LapNumber") % 5).cast("int").alias("type_true"),
         (e % 6).cast("int").alias("type_pred"),
-        ((1 + e % 97) / 100).alias("type_prob"),
+        F.when(e % 211 == 0, 0.0).when(e % 7 != 0, (1 + e % 97) / 100).alias("type_prob"),
     )
 
 
@@ -26,9 +27,10 @@ BUILDERS["scores"] = _build_scores
 ROLE_SQL["scores"] = (
     ("laps",),
     """SELECT event_id, CAST(PitInTime IS NOT NULL AS INTEGER) AS y,
-        (event_id * 7919 % 1009 + 300 * CAST(PitInTime IS NOT NULL AS INTEGER) + 1) / 1400 AS prob,
+        CASE WHEN event_id % 503 = 0 THEN 0.0::DOUBLE WHEN event_id % 499 = 0 THEN 1.0::DOUBLE
+            ELSE (event_id * 7919 % 1009 + 300 * CAST(PitInTime IS NOT NULL AS INTEGER) + 1) / 1400 END AS prob,
         CAST(LapNumber % 5 AS INTEGER) AS type_true, CAST(event_id % 6 AS INTEGER) AS type_pred,
-        (1 + event_id % 97) / 100 AS type_prob FROM laps""",
+        CASE WHEN event_id % 211 = 0 THEN 0.0::DOUBLE WHEN event_id % 7 <> 0 THEN (1 + event_id % 97) / 100 END AS type_prob FROM laps""",
 )
 
 _RATE_SQL = f"""{R("coalesce((tp + tn) / nullif(tp + tn + fp + fn, 0), 0)")} AS accuracy,
@@ -154,7 +156,9 @@ def ml_type_report(spark, sf):
 
 @query(
     "ml_loss_report",
-    f"""l AS (SELECT avg(-(29 * y * ln(prob) + (1 - y) * ln(1 - prob))) AS c, avg(-ln(type_prob)) FILTER (y = 1) AS t FROM scores)
+    f"""g AS (SELECT y, CASE WHEN prob <= 0 THEN -100 ELSE ln(prob) END AS yes, CASE WHEN prob >= 1 THEN -100 ELSE ln(1 - prob) END AS no,
+        CASE WHEN type_prob <= 0 THEN -100 WHEN type_prob > 0 THEN ln(type_prob) END AS kind FROM scores),
+    l AS (SELECT avg(-(29 * y * yes + (1 - y) * no)) AS c, avg(-kind) FILTER (y = 1) AS t FROM g)
     SELECT {R("c")} AS change_loss, {R("t")} AS type_loss, {R("0.92 * c + 0.08 * t")} AS total_loss FROM l""",
     ("scores",),
 )

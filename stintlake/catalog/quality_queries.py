@@ -15,7 +15,10 @@ def file_name():
 
 
 FILE_SQL = "Year || '_' || lpad(CAST(RoundNumber AS VARCHAR), 2, '0')"
-PROFILED = ["Position", "LapTime", "LapStartTime", "PitInTime", "PitOutTime", "Stint", "TyreLife", "Compound", "FreshTyre", "Sector3Time", "Driver"]
+PROFILED = (
+    "Year GranPrix RoundNumber Location DriverNumber Driver Team LapNumber event_id Time LapStartTime LapTime PitInTime PitOutTime Stint "
+    "TyreLife Compound FreshTyre IsPersonalBest IsAccurate Sector1Time Sector2Time Sector3Time Position"
+).split()
 
 
 def filed(spark, sf):
@@ -49,19 +52,28 @@ def agg_missing_profile(spark, sf):
     return Q.missing_profile(role(spark, sf, "laps").select(*PROFILED))
 
 
-@query("topk_missing", f"SELECT * FROM ({_MISSING}) WHERE missing > 0 ORDER BY missing DESC, \"column\" LIMIT 5")
+@query("topk_missing", f"SELECT * FROM ({_MISSING}) WHERE missing > 0 ORDER BY missing DESC, \"column\" LIMIT 10")
 def topk_missing(spark, sf):
-    return Q.top_missing(role(spark, sf, "laps").select(*PROFILED), 5)
+    return Q.top_missing(role(spark, sf, "laps").select(*PROFILED), 10)
+
+
+REPEATED = "SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 7 = 0"
+
+
+def repeated(spark, sf):
+    """Order lines, some of them twice in full."""
+    rows = table(spark, sf, "lineitem")
+    return rows.unionByName(rows.where("l_orderkey % 7 = 0"))
 
 
 @query(
     "agg_duplicates",
-    """SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates, CAST(sum(n) AS BIGINT) AS rows FROM
-    (SELECT count(*) AS n FROM (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem) GROUP BY l_orderkey, l_linenumber, l_quantity)""",
+    f"""SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates, CAST(sum(n) AS BIGINT) AS rows FROM
+    (SELECT *, count(*) AS n FROM ({REPEATED}) GROUP BY ALL)""",
     (),
 )
 def agg_duplicates(spark, sf):
-    return Q.duplicates(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
+    return Q.duplicates(repeated(spark, sf))
 
 
 RANGED = ["LapNumber", "Position", "LapTime", "TyreLife"]
@@ -240,11 +252,11 @@ def agg_unify_stats(spark, sf):
 
 @query(
     "dedupe_exact",
-    "SELECT DISTINCT l_orderkey, l_returnflag, l_linestatus FROM lineitem",
+    f"SELECT DISTINCT * FROM ({REPEATED})",
     (),
 )
 def dedupe_exact(spark, sf):
-    return Q.dedupe_exact(table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus"))
+    return Q.dedupe_exact(repeated(spark, sf))
 
 
 def rules():

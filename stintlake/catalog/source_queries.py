@@ -266,12 +266,12 @@ def sink_race_files(spark, sf):
 
 @query(
     "sink_driver_csv",
-    "SELECT CAST(DriverNumber % 10 AS INTEGER) AS DriverID, GranPrix, Year, LapNumber, LapTime FROM laps",
+    "SELECT CAST(DriverNumber AS INTEGER) AS DriverID, GranPrix, Year, LapNumber, LapTime FROM laps",
 )
 def sink_driver_csv(spark, sf):
-    """One folder per (car, race, season); the cars are the ten team numbers here."""
+    """One folder per (car, race, season)."""
     path = _new(spark, "drivers")
-    rows = _laps(spark, sf).select((F.col("DriverNumber") % 10).cast("int").alias("DriverID"), "GranPrix", "Year", "LapNumber", "LapTime")
+    rows = _laps(spark, sf).select(F.col("DriverNumber").cast("int").alias("DriverID"), "GranPrix", "Year", "LapNumber", "LapTime")
     W.write_driver_csv(rows, path)
     read = spark.read.option("header", True).schema("LapNumber int, LapTime double, DriverID int, GranPrix string, Year int").csv(path)
     return read.select("DriverID", "GranPrix", "Year", "LapNumber", "LapTime")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.functions.ordered import OrderedGroups, SplitPolicy
+from stintlake.session import stage
 
 
 def group_quantiles(
@@ -74,7 +75,7 @@ def column_quantiles(
             ]
         ).alias("_sketch")
     )
-    bracketed = doubles.withColumn("_sketch", sketch.scalar())
+    bracketed = doubles.withColumn("_sketch", stage(sketch, "sketch").scalar())
     ranges = [F.col(f"_sketch.{c}") for c in cols]
 
     below = bracketed.agg(
@@ -101,32 +102,20 @@ def column_quantiles(
         ).alias("_s")
     ).select("_s.*")
 
-    inside = (
-        bracketed.select(
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("column"),
-                            F.lit(i).alias("_i"),
-                            F.when(
-                                F.col(c).between(
-                                    F.get(ranges[j], F.lit(2 * i)), F.get(ranges[j], F.lit(2 * i + 1))
-                                ),
-                                F.col(c),
-                            ).alias("_v"),
-                        )
-                        for j, c in enumerate(cols)
-                        for i in range(len(quantiles))
-                    ]
-                )
-            ).alias("_s")
-        )
-        .select("_s.*")
-        .where(F.col("_v").isNotNull())
-        .groupBy("column", "_i", "_v")
-        .agg(F.count("*").alias("_n"))
+    # only values inside a bracket become rows of their own
+    held = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.lit(i).alias("_i"),
+                F.when(F.col(c).between(F.get(ranges[j], F.lit(2 * i)), F.get(ranges[j], F.lit(2 * i + 1))), F.col(c)).alias("_v"),
+            )
+            for j, c in enumerate(cols)
+            for i in range(len(quantiles))
+        ]
     )
+    inside = bracketed.select(F.inline(F.filter(held, lambda x: x["_v"].isNotNull())))
+    inside = inside.groupBy("column", "_i", "_v").agg(F.count("*").alias("_n"))
     ranked = OrderedGroups(inside, ["column", "_i"], ["_v"]).running(sums={"_in": F.col("_n")}).result()
     q_of = F.get(F.array(*[F.lit(float(q)) for q in quantiles]), F.col("_i"))
     target = (F.col("_size") - 1) * q_of

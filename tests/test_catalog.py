@@ -29,6 +29,19 @@ def test_query_equals_sql(spark, con, name):
     assert found is None or (found == "EMPTY" and name in EMPTY_HERE), found
 
 
+CUT = [
+    "win_time_deltas", "win_tire_change", "win_lap_progress", "win_laptime_trend3", "win_degradation_rate", "win_weather_stability",
+    "win_ffill", "win_interpolate", "win_stint_offset", "win_laptime_diff", "win_sector_rank", "win_stint_last", "win_drs_zones",
+    "win_cum_distance", "win_sequences", "join_weather_avg", "join_weather_last_over_n", "join_lap_weather_nearest",
+    "join_asof_backward", "join_sector_neighbours", "flt_quantile_trim", "agg_compound_q75", "ml_robust_scale", "ml_roc_auc",
+]
+
+
+@pytest.mark.parametrize("name", CUT)
+def test_query_equals_sql_with_cut_groups(spark, con, tight, name):
+    assert difference(QUERIES[name](spark, SF), con, ORACLES[name]) is None
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 1000
