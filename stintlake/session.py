@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,11 +38,39 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_RUN: dict[str, str] = {}  # folder of the run that is open, by application
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[str]:
+    """A job whose staged tables are removed at its end.
+
+    Everything staged inside goes to a folder of the run. What the job returns
+    must have been written or collected before the block ends. Outside of such a
+    block staged tables stay until the application's owner removes them.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _RUN:
+        raise RuntimeError("a run is open already")
+    _RUN[app] = os.path.join(staging_dir(spark), f"run-{uuid.uuid4().hex}")
+    try:
+        yield _RUN[app]
+    finally:
+        _drop(spark, _RUN.pop(app))
+
+
 def staging_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or that of the open run in it.
 
     Only a local session may go without the setting; it gets a folder of its own.
     """
+    if spark.sparkContext.applicationId in _RUN:
+        return _RUN[spark.sparkContext.applicationId]
     context = spark.sparkContext
     shared = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if shared:

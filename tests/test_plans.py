@@ -1,10 +1,13 @@
 """The learning-data plan from the race table to sequences."""
 
+import os
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from stintlake.catalog.roles import role
 from stintlake.plans import lap_dataset
+from stintlake.session import stage, staged_run, staging_dir
 
 
 def test_prepare_keeps_rows_and_makes_full_sequences(spark):
@@ -20,3 +23,11 @@ def test_prepare_keeps_rows_and_makes_full_sequences(spark):
     train = prepared.rows.where("split = 'train'")
     centre = train.agg(F.percentile("LapTime", 0.5), F.percentile("AirTemp", 0.5)).first()
     assert all(abs(c) < 1e-9 for c in centre)
+
+
+def test_a_run_removes_what_it_staged(spark):
+    with staged_run(spark) as folder:
+        assert stage(spark.range(5)).count() == 5
+        assert os.listdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert not staging_dir(spark).endswith(os.path.basename(folder))
