@@ -110,3 +110,58 @@ ORACLES["op9_chat_formatting"] = f"""
            CAST(formatted_chars AS BIGINT) AS formatted_chars
     FROM c
 """
+
+
+def _quality_sql() -> str:
+    """The base rules by windows as rows; histograms, references and distances by bins as rows."""
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    written = quoted(quality.COMMON + [w.capitalize() for w in quality.COMMON])
+    counted = [f"length(regexp_replace(t, '[^{p.strip('[]').replace(chr(39), chr(39) * 2)}]', '', 'g'))" for p in quality.CLASSES.values()]
+    part = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / ({0} + {1})) ELSE 0 END"
+    return rf"""
+    WITH w AS (
+        SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+        FROM (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents)
+    ), m AS (
+        SELECT doc_id, lang, words, len(words) AS n_words, length(t) AS n_chars, length(array_to_string(words, '')) AS word_chars,
+               length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, {counted[0]} AS c0, {counted[1]} AS c1, {counted[2]} AS c2,
+               list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+               list_transform(list_filter(words, lambda x: list_contains({written}, x)), lambda x: lower(x)) AS hits
+        FROM w
+    ), spans AS (
+        SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, n_words - 6)) AS i FROM m)
+    ), again AS (
+        SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS c FROM spans) WHERE c > 1
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range(8) AS r(k) GROUP BY doc_id
+    ), base AS (
+        SELECT m.*, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+               n_words < 20 OR 100 * coalesce(covered.n, 0) > 30 * n_words AS base_failed,
+               n_words >= {quality.GUARD_WORDS} AND n_chars >= {quality.GUARD_CHARS} AS long
+        FROM m LEFT JOIN covered USING (doc_id)
+    ), bins AS (
+        SELECT doc_id, lang, 'class' AS kind, unnest(v) / n_chars AS p, unnest(range(len(v))) AS bin
+        FROM (SELECT *, [c0, c1, c2, n_chars - word_chars, n_symbols,
+                         greatest(n_chars - (c0 + c1 + c2 + n_chars - word_chars + n_symbols), 0)] AS v FROM base WHERE long)
+        UNION ALL
+        SELECT doc_id, lang, 'word', unnest(v) / n_words, unnest(range(len(v)))
+        FROM (SELECT *, list_append(list_transform({quoted(quality.COMMON)}, lambda c: len(list_filter(hits, lambda h: h = c))), n_words - len(hits)) AS v
+              FROM base WHERE long)
+    ), known AS (
+        SELECT lang FROM (SELECT lang, count(*) AS n FROM base WHERE long AND lang IS NOT NULL GROUP BY lang)
+        QUALIFY n >= {quality.LEAST_LANGUAGE_SHARE} * sum(n) OVER ()
+    ), refs AS (
+        SELECT lang AS ref, kind, bin, avg(p) AS q FROM bins SEMI JOIN known USING (lang) GROUP BY ALL
+    ), far AS (
+        SELECT doc_id, kind, min(d) AS d FROM (
+            SELECT doc_id, kind, ref, greatest(sum({part.format("p", "q")} + {part.format("q", "p")}) / 2, 0) AS d
+            FROM bins JOIN refs USING (kind, bin) GROUP BY ALL)
+        GROUP BY ALL
+    ), total AS (SELECT doc_id, sqrt(sum(d)) AS d FROM far GROUP BY doc_id)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND NOT coalesce(total.d > {quality.MOST_DISTANCE} + {quality.SAMPLING_DISTANCE} / sqrt(n_words), false) AS kept
+    FROM base LEFT JOIN total USING (doc_id)
+    """
+
+
+ORACLES["op6_quality_rules"] = _quality_sql()
