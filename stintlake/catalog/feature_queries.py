@@ -540,17 +540,47 @@ def agg_class_weights_augmented(spark, sf):
     return done.withColumn("weight", r6("weight"))
 
 
-@query("ml_augment")
+def _uniform_sql(*parts: str) -> str:
+    text = " || '|' || ".join(["'7'", *parts])
+    return f"((('0x' || substr(md5({text}), 1, 8))::BIGINT + 0.5) / 4294967296.0)"
+
+
+def _noisy_sql(c: str, place: int) -> str:
+    at = ["DriverRaceID", "LapNumber", "copy", "step", f"'{place}'"]
+    size, turn = _uniform_sql("'size'", *at), _uniform_sql("'turn'", *at)
+    value = f"CAST({c} + 0.01 * sqrt(-2 * ln({size})) * cos(2 * pi() * {turn}) AS FLOAT)"
+    return f"{R(f'CASE WHEN copy = 0 THEN {c} ELSE {value} END')} AS {c}"
+
+
+@query(
+    "ml_augment",
+    f"""{SEQ_SQL} SELECT DriverRaceID, LapNumber, step, copy, {", ".join(_noisy_sql(c, j) for j, c in enumerate(SEQ))}, y_change
+    FROM seq, (SELECT CAST(unnest(range(3)) AS INTEGER) AS copy) WHERE copy = 0 OR y_change = 1""",
+    ("targeted",),
+)
 def ml_augment(spark, sf):
-    return M.augment(sequences(spark, sf)).groupBy("y_change", "copy").agg(F.count("*").alias("n"))
+    done = M.augment(sequences(spark, sf), ["DriverRaceID", "LapNumber"]).select("*", F.posexplode("X").alias("step", "row"))
+    cols = [r6(F.get("row", F.lit(i))).alias(c) for i, c in enumerate(SEQ)]
+    return done.select("DriverRaceID", "LapNumber", "step", "copy", *cols, "y_change")
 
 
-@query("ml_weighted_sample")
+@query(
+    "ml_weighted_sample",
+    f"""c AS (SELECT tire_change_next_lap AS class, count(*) AS n FROM targeted GROUP BY ALL),
+    w AS (SELECT class, n, sum(n) OVER () / (n * 2.0) AS weight FROM c),
+    r AS (SELECT class, sum(n) OVER () * weight / sum(n * weight) OVER () AS rate FROM w),
+    f AS (SELECT class, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY class ORDER BY k) AS cdf
+        FROM r, (SELECT unnest(range(400)) AS k) WHERE k < ceil(rate + 12 * sqrt(rate + 1) + 12)),
+    u AS (SELECT GlobalLapID, tire_change_next_lap AS class, {_uniform_sql("'size'", "GlobalLapID")} AS u FROM targeted),
+    t AS (SELECT GlobalLapID, class, (SELECT count(*) FROM f WHERE f.class = u.class AND cdf < u.u) AS times FROM u)
+    SELECT GlobalLapID, class AS tire_change_next_lap, CAST(unnest(range(1, times + 1)) AS INTEGER) AS draw FROM t""",
+    ("targeted",),
+)
 def ml_weighted_sample(spark, sf):
     rows = role(spark, sf, "targeted")
     weights = M.class_weights(rows, "tire_change_next_lap")
-    drawn = M.weighted_sample(rows, weights, rows.count(), "tire_change_next_lap")
-    return drawn.groupBy("tire_change_next_lap").agg(F.count("*").alias("n"))
+    drawn = M.weighted_sample(rows, ["GlobalLapID"], weights, rows.count(), "tire_change_next_lap")
+    return drawn.select("GlobalLapID", "tire_change_next_lap", "draw")
 
 
 @query("feature_table")

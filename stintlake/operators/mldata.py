@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -253,29 +254,59 @@ def class_weights(df: DataFrame, y: str = "y_change", factor: int = 1) -> DataFr
     return counts.withColumn("weight", total.scalar() / (F.col("n") * 2.0))
 
 
-def augment(seq: DataFrame, factor: int = 3, noise: float = 0.01, seed: int = 7, column: str = "X") -> DataFrame:
-    """Positives repeated to ``factor`` copies in total, the added ones with Gaussian noise."""
+def uniform(seed: int, *parts: Column) -> Column:
+    """A number in (0, 1) from a hash of the seed and the parts: the same for the same row, wherever it is worked out."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts])
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") + 0.5) / 2.0**32
+
+
+def augment(
+    seq: DataFrame, row_id: list[str], factor: int = 3, noise: float = 0.01, seed: int = 7, column: str = "X"
+) -> DataFrame:
+    """Positives repeated to ``factor`` copies in total, the added ones with Gaussian noise.
+
+    The noise of a value hangs on its row's ``row_id``, the copy and its place,
+    so a task that runs again gives the same values.
+    """
     copies = seq.where(F.col("y_change") == 1).withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.lit(factor - 1)))
     )
-    noisy = copies.withColumn(
-        column,
-        F.transform(
-            column, lambda r: F.transform(r, lambda x: (x + F.randn(seed) * noise).cast("float"))
-        ),
+
+    def noisy(x: Column, step: Column, place: Column) -> Column:
+        at = [*[F.col(c) for c in row_id], F.col("copy"), step, place]
+        size = F.sqrt(-2 * F.log(uniform(seed, F.lit("size"), *at)))
+        return (x + noise * size * F.cos(2 * math.pi * uniform(seed, F.lit("turn"), *at))).cast("float")
+
+    added = copies.withColumn(
+        column, F.transform(column, lambda r, i: F.transform(r, lambda x, j: noisy(x, i, j)))
     )
-    return seq.withColumn("copy", F.lit(0)).unionByName(noisy)
+    return seq.withColumn("copy", F.lit(0)).unionByName(added)
 
 
-def weighted_sample(df: DataFrame, weights: DataFrame, rows: int, y: str = "y_change", seed: int = 7) -> DataFrame:
-    """About ``rows`` rows drawn with replacement, each class by its weight.
+def weighted_sample(
+    df: DataFrame, row_id: list[str], weights: DataFrame, rows: int, y: str = "y_change", seed: int = 7
+) -> DataFrame:
+    """About ``rows`` rows drawn with replacement, each class by its weight, with the number of the ``draw``.
 
-    A row is drawn a Poisson number of times; the two classes' rates are the
-    only values the driver reads.
+    A row is drawn a Poisson number of times: the distribution function of its
+    class's rate is inverted at a hash of its ``row_id``. Rates above 500, where
+    the first probability vanishes, take the normal approximation.
     """
-    rates = {r["class"]: (r["n"], r["weight"]) for r in weights.where(F.col("class").isin(0, 1)).collect()}
-    mass = sum(n * w for n, w in rates.values())
-    parts = [
-        df.where(F.col(y) == c).sample(True, rows * w / mass, seed + c) for c, (_, w) in sorted(rates.items())
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    classes = weights.where(F.col("class").isin(0, 1))
+    mass = classes.agg(F.sum(F.col("n") * F.col("weight"))).scalar()
+    rates = classes.select(F.col("class").alias("_class"), (rows * F.col("weight") / mass).alias("_rate"))
+    rate, u = F.col("_rate"), F.col("_u")
+    most = F.ceil(rate + 12 * F.sqrt(rate + 1) + 12)
+    start = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("cdf"), F.lit(0).alias("n"))
+
+    def further(seen: Column, k: Column) -> Column:
+        p = seen["p"] * rate / k
+        return F.struct(p.alias("p"), (seen["cdf"] + p).alias("cdf"), (seen["n"] + F.when(seen["cdf"] < u, 1).otherwise(0)).alias("n"))
+
+    drawn = F.aggregate(F.sequence(F.lit(1).cast("long"), most), start, further, lambda seen: seen["n"])
+    normal = F.sqrt(-2 * F.log(u)) * F.cos(2 * math.pi * uniform(seed, F.lit("turn"), *[F.col(c) for c in row_id]))
+    many = F.greatest(F.round(rate + F.sqrt(rate) * normal), F.lit(0.0)).cast("int")
+    chosen = join_small(df, rates, F.col(y) == F.col("_class"), "inner")
+    chosen = chosen.withColumn("_u", uniform(seed, F.lit("size"), *[F.col(c) for c in row_id]))
+    times = chosen.withColumn("_times", F.when(rate > 500, many).otherwise(drawn)).where("_times > 0")
+    return times.withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_class", "_rate", "_u", "_times")

@@ -216,7 +216,7 @@ def test_constant_column_is_only_centred(spark):
 
 def test_augment_keeps_originals_and_counts(spark):
     df = spark.createDataFrame([(1, [[1.0, 2.0]]), (0, [[3.0, 4.0]])], "y_change int, X array<array<float>>")
-    done = ML.augment(df, factor=3, noise=0.01)
+    done = ML.augment(df, ["y_change"], factor=3, noise=0.01)
     assert done.count() == 4
     assert done.where("copy = 0").drop("copy").exceptAll(df).count() == 0
     noisy = [r.X[0] for r in done.where("copy > 0").collect()]
@@ -224,8 +224,8 @@ def test_augment_keeps_originals_and_counts(spark):
 
 
 def test_weighted_sample_balances_classes(spark):
-    df = spark.range(20_000).select((F.col("id") % 20 == 0).cast("int").alias("y_change"))
-    drawn = ML.weighted_sample(df, ML.class_weights(df), 20_000).groupBy("y_change").count().collect()
+    df = spark.range(20_000).select("id", (F.col("id") % 20 == 0).cast("int").alias("y_change"))
+    drawn = ML.weighted_sample(df, ["id"], ML.class_weights(df), 20_000).groupBy("y_change").count().collect()
     assert all(8_500 < r["count"] < 11_500 for r in drawn) and len(drawn) == 2
 
 
