@@ -10,7 +10,7 @@ from stintlake.catalog.roles import role, table
 from stintlake.operators import mldata as M
 from stintlake.operators import neighbours as N
 from stintlake.operators import stints as S
-from stintlake.plans import tyre_model
+from stintlake.plans import tyre_model, unify
 from stintlake.session import staging_dir
 from stintlake.sources import calendar as C
 from stintlake.sources import incremental as I
@@ -180,6 +180,38 @@ def src_union_sources(spark, sf):
     return R.union_sources({"laps": laps, "weather": weather})
 
 
+def _landed_sources(spark, sf):
+    """Two folders of race files, one of them with a file that is none and one without rows; a third is not there."""
+    path, laps = _new(spark, "sources"), role(spark, sf, "laps").select(*LAP_COLUMNS, "Driver")
+    for name, rule in (("early", "Year < 2021"), ("late", "Year >= 2020")):
+        laps.where(rule).write.parquet(f"{path}/{name}")
+    laps.where("false").coalesce(1).write.parquet(f"{path}/late/none")
+    spark.createDataFrame([("no table",)], "value string").coalesce(1).write.text(f"{path}/late/broken")
+    return {"early": (f"{path}/early", "*.parquet"), "late": (f"{path}/late", "part-*"), "lost": (f"{path}/lost", "*")}, laps.schema
+
+
+@query(
+    "src_rejected_files",
+    "SELECT 'late' AS source, 'empty' AS reason, CAST(1 AS BIGINT) AS files UNION ALL SELECT 'late', 'unreadable', 1 "
+    "UNION ALL SELECT 'lost', 'missing', 1",
+)
+def src_rejected_files(spark, sf):
+    sources, schema = _landed_sources(spark, sf)
+    rejects = R.read_sources(spark, sources, schema)[1]
+    return rejects.groupBy("source", "reason").agg(F.count("*").alias("files"))
+
+
+@query(
+    "unify_sources",
+    """SELECT Year, GranPrix, DriverNumber, LapNumber, LapTime, CASE WHEN Year < 2021 THEN 'early' ELSE 'late' END AS source FROM laps""",
+)
+def unify_sources(spark, sf):
+    """Laps of both sources once, the season that both have from the first."""
+    sources, schema = _landed_sources(spark, sf)
+    done = unify.unify(spark, sources, schema, ["Year", "GranPrix", "DriverNumber", "LapNumber"], min_rows=1)
+    return done.rows.select("Year", "GranPrix", "DriverNumber", "LapNumber", "LapTime", "source")
+
+
 # -- incremental -----------------------------------------------------------
 
 _RACES = "r AS (SELECT DISTINCT Year, RoundNumber, GranPrix AS EventName FROM laps)"
@@ -226,15 +258,11 @@ def src_incremental_stream(spark, sf):
     (),
 )
 def src_event_log(spark, sf):
-    """Lines that mention one of two words, on the lines of whole texts."""
+    """Lines that mention one of two words, in log files by source."""
+    path = _new(spark, "logs")
     lines = table(spark, sf, "documents").select("source", F.explode(F.split("text", "\n")).alias("value"))
-    return R.log_events(lines.withColumn("value", _words("value")), keys=["source"])
-
-
-def _words(column):
-    """The texts' own frequent syllables stand for the two words a log is searched for."""
-    low = F.lower(column)
-    return F.regexp_replace(F.regexp_replace(low, "tion", "warning"), "ment", "error")
+    lines.write.partitionBy("source").option("lineSep", "\n").text(path)
+    return R.log_events(R.read_log(spark, path), keys=["source"], words=("tion", "ment"))
 
 
 @query(

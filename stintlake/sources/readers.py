@@ -125,14 +125,83 @@ def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+FILES = "source string, path string, length long"
+
+
+def discover(spark: SparkSession, sources: dict[str, tuple[str, str]]) -> DataFrame:
+    """Files by source: ``sources`` maps a name to a folder and a pattern of file names.
+
+    Only names and lengths are listed. A folder that does not exist gives one
+    row with a null length.
+    """
+    found = []
+    for name, (folder, pattern) in sources.items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            found.append(spark.createDataFrame([(name, folder, None)], FILES))
+            continue
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+        found.append(listed.select(F.lit(name).alias("source"), "path", "length"))
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], FILES)
+
+
+def read_sources(
+    spark: SparkSession, sources: dict[str, tuple[str, str]], schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of all Parquet files that can be read, and the other files with the reason.
+
+    Rows come under standard names, tagged with ``source`` and ``source_file``.
+    A file that gives no row is looked at again, its two ends only: without the
+    format's mark there it is ``unreadable``, else ``empty``; folders that are
+    not there are ``missing``.
+    """
+    files = discover(spark, sources)
+    parts = []
+    for name, (folder, pattern) in sources.items():
+        if files.where((F.col("source") == name) & F.col("length").isNotNull()).isEmpty():
+            continue
+        reader = spark.read.schema(schema).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+        rows = reader.option("ignoreCorruptFiles", True).parquet(folder)
+        parts.append(
+            standard_names(rows.withColumns({"source_file": F.col("_metadata.file_name"), "_path": F.col("_metadata.file_path")})).withColumn(
+                "source", F.lit(name)
+            )
+        )
+    plain = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in ("source_file", "_path", "source")]])
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else standard_names(spark.createDataFrame([], plain))
+    local = F.regexp_replace("path", "^file:/+", "/")
+    read = rows.select(F.regexp_replace("_path", "^file:/+", "/").alias("_read")).distinct()
+    silent = files.join(read, local == F.col("_read"), "left_anti")
+    marks = []
+    for _, (folder, pattern) in sources.items():
+        if not files.where(F.col("path") == folder).isEmpty():
+            continue
+        content = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+        ends = F.concat(F.substring("content", 1, 4), F.substring(F.col("content"), -4, 4))
+        marks.append(content.select(F.col("path").alias("_p"), (ends == F.lit(b"PAR1PAR1")).alias("_whole")))
+    rejects = silent.withColumn("_whole", F.lit(None).cast("boolean"))
+    if marks:
+        rejects = silent.join(reduce(DataFrame.unionByName, marks), F.col("path") == F.col("_p"), "left").drop("_p")
+    reason = F.when(F.col("length").isNull(), "missing").when(F.col("_whole"), "empty").otherwise("unreadable")
+    return rows.drop("_path"), rejects.select("source", "path", reason.alias("reason"))
+
+
 def session_rows(table: DataFrame, year: int, event: str) -> DataFrame:
     """One session's rows of a landed table; prunes the scan on a table partitioned by year."""
     return table.where((F.col("Year") == year) & (F.col("GranPrix") == event))
 
 
-def log_events(lines: DataFrame, line: str = "value", keys: list[str] | None = None) -> DataFrame:
-    """Lines that mention a warning or an error, counted per event."""
-    hits = lines.where(F.lower(line).rlike("warning|error"))
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files, with the columns their folders are named by."""
+    return spark.read.option("lineSep", "\n").text(path)
+
+
+def log_events(
+    lines: DataFrame, line: str = "value", keys: list[str] | None = None, words: tuple[str, ...] = ("warning", "error")
+) -> DataFrame:
+    """Lines that mention one of ``words``, in lower case, counted per event."""
+    low = F.lower(line)
+    hits = lines.where(reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words]))
     return hits.groupBy(*(keys or [])).agg(F.count("*").alias("lines"))
 
 
