@@ -347,7 +347,7 @@ def ml_split_years(spark, sf):
     return M.split_balance(_split(spark, sf)).withColumn("positive_pct", r6("positive_pct"))
 
 
-ENCODED = ["Driver", "Team", "GranPrix", "Location"]
+ENCODED = lap_dataset.CATEGORIES
 
 
 @query(
@@ -355,11 +355,11 @@ ENCODED = ["Driver", "Team", "GranPrix", "Location"]
     f"{SPLIT_SQL}, "
     + ", ".join(
         f"""c{i} AS (SELECT value AS v{i}, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS {c}_encoded
-        FROM (SELECT DISTINCT {c} AS value FROM split WHERE split = 'train' AND {c} IS NOT NULL UNION SELECT 'NO_CHANGE'))"""
+        FROM (SELECT DISTINCT coalesce({c}, 'nan') AS value FROM split WHERE split = 'train' UNION SELECT 'NO_CHANGE'))"""
         for i, c in enumerate(ENCODED)
     )
     + f" SELECT GlobalLapID, split, {', '.join(f'{c}_encoded' for c in ENCODED)} FROM split "
-    + " ".join(f"LEFT JOIN c{i} ON v{i} = {c}" for i, c in enumerate(ENCODED)),
+    + " ".join(f"LEFT JOIN c{i} ON v{i} = coalesce({c}, 'nan')" for i, c in enumerate(ENCODED)),
     ("targeted",),
 )
 def ml_label_encode(spark, sf):

@@ -16,7 +16,9 @@ and are joined as the planner sees fit. Results are exact wherever the cuts fall
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from functools import reduce
 
@@ -72,6 +74,33 @@ def _row_mark(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
 
 
+_FITTING: ContextVar[tuple[frozenset[str], ...]] = ContextVar("fitting", default=())
+
+
+@contextmanager
+def looked_at(df: DataFrame, *keys: list[str], policy: SplitPolicy | None = None) -> Iterator[None]:
+    """Look at the groups of ``df`` once for several steps.
+
+    Inside, steps that keep its rows or drop some need not look again at groups
+    of ``keys``, or of more keys, where none was oversized.
+    """
+    fit = [frozenset(k) for k in keys if not _oversized(df, k, policy or DEFAULT_POLICY)]
+    token = _FITTING.set((*_FITTING.get(), *fit))
+    try:
+        yield
+    finally:
+        _FITTING.reset(token)
+
+
+def _sample(df: DataFrame, keys: list[str], policy: SplitPolicy) -> DataFrame:
+    return df.select(*keys, _row_mark(df).alias(_MARK)).where(F.pmod(_MARK, F.lit(policy.sample_every)) == 0)
+
+
+def _oversized(df: DataFrame, keys: list[str], policy: SplitPolicy) -> bool:
+    sizes = _sample(df, keys, policy).groupBy(*keys).agg(F.count("*").alias("_n"))
+    return not sizes.where(F.col("_n") * policy.sample_every > policy.max_rows).isEmpty()
+
+
 class OrderedGroups:
     """``df`` seen as groups of ``keys``, each ordered by ``order`` (ascending, nulls first).
 
@@ -99,11 +128,9 @@ class OrderedGroups:
     def _parts(self, df: DataFrame) -> int:
         """Partitions to deal the rows to; 0 when every group fits into a task."""
         p = self.policy
-        sample = df.select(*self.keys, _row_mark(df).alias(_MARK)).where(F.pmod(_MARK, F.lit(p.sample_every)) == 0)
-        oversized = sample.groupBy(*self.keys).agg(F.count("*").alias("_n")).where(F.col("_n") * p.sample_every > p.max_rows)
-        if oversized.isEmpty():
+        if any(known <= set(self.keys) for known in _FITTING.get()) or not _oversized(df, self.keys, p):
             return 0
-        return math.ceil(sample.count() * p.sample_every / p.max_rows)
+        return math.ceil(_sample(df, self.keys, p).count() * p.sample_every / p.max_rows)
 
     def _cut(self, df: DataFrame, parts: int) -> DataFrame:
         """The rows, staged, with their block's number in the group and the group's blocks; 0 and null if not cut."""

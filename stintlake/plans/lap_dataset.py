@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stintlake.functions.ordered import looked_at
 from stintlake.operators import features as X
 from stintlake.operators import laps as L
 from stintlake.operators import mldata as M
@@ -32,10 +33,11 @@ def features(df: DataFrame) -> DataFrame:
     rows = X.degradation_rate(car).result()
     rows = X.domain_features(L.weather_flags(L.log_deltas(L.position_features(rows))))
     rows = stage(rows, "car-features")
-    rows = X.stint_progress(X.lap_progress(rows))
-    rows = X.compound_strategy(X.compound_age_ratio(rows))
-    rows = stage(X.weather_stability(rows), "race-features")
-    return fill(rows)
+    with looked_at(rows, X.RACE_ID, X.CAR_ID):
+        rows = X.stint_progress(X.lap_progress(rows))
+        rows = X.compound_strategy(X.compound_age_ratio(rows))
+        rows = stage(X.weather_stability(rows), "race-features")
+        return fill(rows)
 
 
 def fill(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from stintlake.functions import ordered
 from stintlake.functions.ordered import OrderedGroups, SplitPolicy, with_group_stats
 
 PLAIN = SplitPolicy(max_rows=10**9)
@@ -76,3 +77,15 @@ def test_group_stats(spark):
     assert one.where("k is null and n is not null").count() == 0
     every = with_group_stats(df, [], {"n": F.count("*"), "m": F.max("t")})
     assert every.where("n <> 400").count() == 0
+
+
+def test_groups_looked_at_once(spark, monkeypatch):
+    looks = []
+    monkeypatch.setattr(ordered, "_oversized", lambda df, keys, policy: looks.append(tuple(keys)) or False)
+    df = _rows(spark)
+    with ordered.looked_at(df, ["k"]):
+        OrderedGroups(df.where("t > 3"), ["k"], ["t"])
+        OrderedGroups(df, ["k", "v"], ["t"])
+        OrderedGroups(df, ["v"], ["t"])
+    OrderedGroups(df, ["k"], ["t"])
+    assert looks == [("k",), ("v",), ("k",)]
