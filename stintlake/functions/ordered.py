@@ -2,7 +2,7 @@
 
 A Spark window puts a whole partition key into one task. Races, laps and even a
 single car can hold a large part of a table, so the helpers here first look at
-the key distribution in a hash sample of the rows. When no group is oversized,
+the key distribution in a random sample of the rows. When no group is oversized,
 the plan is the plain window: one exchange on the key. Otherwise the rows are
 dealt out by ranges of (keys, order) to partitions of about ``max_rows`` rows
 and staged; the part of a group that lies in one partition is a block, and every
@@ -39,7 +39,7 @@ class SplitPolicy:
     """When and how finely groups are cut.
 
     ``max_rows`` rows are fine for one task, whatever the size of the table;
-    one row in ``sample_every`` is looked at, chosen by a hash of the whole row.
+    one row in ``sample_every`` is looked at, chosen at random.
     """
 
     max_rows: int = 2_000_000
@@ -93,7 +93,8 @@ def looked_at(df: DataFrame, *keys: list[str], policy: SplitPolicy | None = None
 
 
 def _sample(df: DataFrame, keys: list[str], policy: SplitPolicy) -> DataFrame:
-    return df.select(*keys, _row_mark(df).alias(_MARK)).where(F.pmod(_MARK, F.lit(policy.sample_every)) == 0)
+    """A random share of the rows, whatever their values; only the keys are read."""
+    return df.select(*keys).sample(1.0 / policy.sample_every, seed=7)
 
 
 def _oversized(df: DataFrame, keys: list[str], policy: SplitPolicy) -> bool:
