@@ -3,7 +3,8 @@
 A word's input is its own vector, from a hashed table, beside the mean vector of its hashed character trigrams, so that
 spellings never seen still mean something. Two gated recurrent units read a window of words in either direction,
 attention weighs the states, and a logistic unit gives the window's probability. All windows of a text, each overlapping
-the next by half, are scored; the text has the score of its worst window.
+the next by half, are scored; the text has the score of its worst window. A word that follows itself twice or more counts
+twice: no text teaches the network what a window of one strange word is.
 
 Training sees a bounded sample of labelled texts. Only texts are labelled, so it learns from several instances: first
 every window has its text's label; then, in each later epoch, of a toxic text only the window that now scores highest.
@@ -39,6 +40,13 @@ def words_of(text: str | None) -> list[str]:
     return [w for w in (x if x.isalnum() else _EDGE.sub("", x) for x in raw) if w]
 
 
+def without_runs(words: np.ndarray) -> np.ndarray:
+    """Words or ids without those that the two before are equal to: said over and over, a word means no more than twice."""
+    again = np.zeros(len(words), bool)
+    again[2:] = (words[2:] == words[1:-1]) & (words[1:-1] == words[:-2])
+    return words[~again]
+
+
 def windows_of(ids: np.ndarray) -> np.ndarray:
     """All windows over a text's word ids, padded with 0; a text without words is one empty window."""
     count = max(1, -(-(len(ids) - WINDOW) // STRIDE) + 1)
@@ -206,6 +214,7 @@ class Scorer:
     def _forget(self) -> None:
         pad = np.zeros((1, 2 * WIDTH), np.float32)
         self.place: dict[str, int] = {}
+        self.rows: dict[str, int] = {}
         self.size = 1
         self.gates = [np.repeat(_gates(self.p, side, pad), 1024, axis=0) for side in ("fore", "back")]
 
@@ -213,16 +222,17 @@ class Scorer:
         """Give words a row each; marks alone have row 0, which is no word."""
         fresh = sorted(raw)
         bare = [w if w.isalnum() else _EDGE.sub("", w) for w in fresh]
-        distinct = {w: i for i, w in enumerate(dict.fromkeys(w for w in bare if w), self.size)}
-        if distinct:
-            x, end = word_vectors(self.p, *features(list(distinct)))[1:], self.size + len(distinct)
+        new = list(dict.fromkeys(w for w in bare if w and w not in self.rows))
+        if new:
+            x, end = word_vectors(self.p, *features(new))[1:], self.size + len(new)
             for i, side in enumerate(("fore", "back")):
                 if end > len(self.gates[i]):
                     more = np.zeros((max(end, len(self.gates[i])), 3 * HIDDEN), np.float32)
                     self.gates[i] = np.concatenate((self.gates[i], more))
                 self.gates[i][self.size : end] = _gates(self.p, side, x)
+            self.rows.update(zip(new, range(self.size, end)))
             self.size = end
-        self.place.update((w, distinct.get(b, 0)) for w, b in zip(fresh, bare))
+        self.place.update((w, self.rows.get(b, 0)) for w, b in zip(fresh, bare))
 
     def texts(self, texts: list[str | None]) -> np.ndarray:
         """Score of each text: that of its highest window."""
@@ -241,7 +251,7 @@ class Scorer:
 
         for i, words in enumerate(raw):
             ids = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-            found = windows_of(ids[ids > 0])
+            found = windows_of(without_runs(ids[ids > 0]))
             for at in range(0, len(found), 4096):
                 held.append(found[at : at + 4096])
                 owners.append(np.full(len(held[-1]), i))
@@ -270,7 +280,7 @@ def sample_windows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
         for batch in batches:
             lines = []
             for text in batch["text"]:
-                words = words_of(text)
+                words = without_runs(np.array(words_of(text), dtype=object)).tolist()
                 begins = list(range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE))
                 if len(begins) > TEXT_WINDOWS:
                     begins = [begins[k * len(begins) // TEXT_WINDOWS] for k in range(TEXT_WINDOWS)]

@@ -273,6 +273,8 @@ def test_scores_do_not_depend_on_company():
     alone = np.array([toxicity.Scorer(toxicity.new_parameters()).texts([t])[0] for t in texts[:8]])
     assert np.allclose(together[:8], alone, atol=2e-6)
     assert together[1] == together[2] == together[3]
+    assert scorer.texts(["so so so so bad", "so, so so. SO bad"])[0] == scorer.texts(["so so bad"])[0]
+    assert scorer.texts(["so, so so. SO bad"])[0] == scorer.texts(["so so bad"])[0]
 
 
 def test_held_out_toxicity(spark):
