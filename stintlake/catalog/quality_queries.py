@@ -292,21 +292,6 @@ def set_distinct(spark, sf):
     return role(spark, sf, "laps").select("Driver", "Compound", "Team").distinct()
 
 
-@query(
-    "set_except",
-    """r AS (SELECT 'Year' AS required UNION ALL SELECT 'TrackStatus' UNION ALL SELECT 'LapTime'),
-    n AS (SELECT count(*) AS rows FROM laps)
-    SELECT required, rows FROM r, n WHERE required = 'TrackStatus'""",
-)
-def set_except(spark, sf):
-    """Required columns that the lap table lacks, with the rows concerned."""
-    laps = role(spark, sf, "laps")
-    missing = Q.missing_columns(laps, ["Year", "TrackStatus", "LapTime"])
-    return laps.agg(F.count("*").alias("rows")).select(
-        F.explode(F.array(*[F.lit(m) for m in missing])).alias("required"), "rows"
-    )
-
-
 @query("agg_laps_total", "SELECT Driver, count(*) AS laps FROM laps GROUP BY ROLLUP (Driver)")
 def agg_laps_total(spark, sf):
     return role(spark, sf, "laps").rollup("Driver").agg(F.count("*").alias("laps"))

@@ -228,6 +228,18 @@ def src_incremental(spark, sf):
     return I.pending(races, I.read_manifest(spark, path))
 
 
+@query(
+    "set_except",
+    f"SELECT DISTINCT {FILE_SQL} AS file FROM laps EXCEPT SELECT {FILE_SQL} FROM laps WHERE Year < 2021 AND RoundNumber <= 3",
+)
+def set_except(spark, sf):
+    """Files that are there minus those a manifest names."""
+    files = role(spark, sf, "laps").select("Year", "RoundNumber", F.col("GranPrix").alias("EventName"), file_name().alias("file"))
+    path = _new(spark, "manifest")
+    I.record(files.where("Year < 2021 and RoundNumber <= 3"), path)
+    return files.select("file").subtract(I.read_manifest(spark, path).select(file_name().alias("file")))
+
+
 @query(
     "src_incremental_progress",
     f"""{_RACES} SELECT count(*) AS planned, count(*) FILTER (Year < 2021) AS completed,
@@ -369,10 +381,24 @@ def ml_train_baseline(spark, sf):
     return scored.select("GlobalLapID", "split", "tire_change_next_lap", "prob")
 
 
-@query("ml_score")
+@query(
+    "ml_score",
+    """SELECT 'driver' AS asked, GlobalLapID, true AS in_range, true AS alike FROM targeted WHERE Year = 2024 AND Driver = 'D6'
+    UNION ALL SELECT 'circuit', GlobalLapID, true, true FROM targeted WHERE Year = 2024 AND Location = 'NATION_5'""",
+    ("targeted",),
+)
 def ml_score(spark, sf):
-    """A saved model on the laps of one season."""
+    """A saved model on a driver's season and on a circuit: probabilities in range and those of the live model."""
     model, split = _modelled(spark, sf)
     path = _new(spark, "model")
     model.save(path)
-    return tyre_model.score_session(path, split, year=2024).select("GlobalLapID", "prob")
+    live = tyre_model.score(model, split).select("GlobalLapID", F.col("prob").alias("live"))
+    asked = {"driver": {"driver": "D6"}, "circuit": {"location": "NATION_5"}}
+    parts = [
+        tyre_model.score_session(path, split, year=2024, **what).select(F.lit(name).alias("asked"), "GlobalLapID", "prob")
+        for name, what in asked.items()
+    ]
+    both = parts[0].unionByName(parts[1]).join(live, "GlobalLapID")
+    return both.select(
+        "asked", "GlobalLapID", F.col("prob").between(0, 1).alias("in_range"), (F.abs(F.col("prob") - F.col("live")) < 1e-12).alias("alike")
+    )

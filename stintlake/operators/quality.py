@@ -172,10 +172,6 @@ def validate(df: DataFrame, file: str = "file") -> DataFrame:
     return stats.withColumn("issues", issues).drop("_bad_lap", "_bad_position", "_repeated")
 
 
-def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
-    return sorted(set(required) - set(df.columns))
-
-
 def quality_gate(df: DataFrame, file: str = "file", max_missing_pct: float = 30.0, min_rows: int = 100) -> DataFrame:
     """Per file: rows, missing cells in percent, whether to warn and whether to accept it."""
     data = [c for c in df.columns if c != file]
