@@ -1,7 +1,8 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 A document is described by two histograms: code points by character class, and words by common word of some language
-(all other words in one bin). Each language's references are the mean histograms of its documents of sufficient length.
+(all other words in one bin). Each language's references are the mean histograms of its documents of sufficient length;
+documents of a language with too few of those for a reference are not judged by distance.
 A document's distances are the Jensen-Shannon distances (square roots of the divergences to base 2, 0 to 1) to the nearest
 reference, so that a wrong or missing language label costs nothing. The two divergences are added, and the root of the sum
 must not exceed a limit that allows for the sampling error of short texts. Texts too short for a histogram to mean anything
@@ -29,7 +30,9 @@ GUARD_CHARS = 240
 #: Largest distance to the nearest reference: a constant, and what the histogram of a sample of n words strays by, over sqrt(n).
 MOST_DISTANCE = 0.24
 SAMPLING_DISTANCE = 1.1
-#: Languages with a smaller share of the labelled documents give no reference; this bounds their number.
+#: A language of fewer documents past the guards gives no reference, and its documents are not compared with others'.
+LEAST_LANGUAGE_DOCS = 10
+#: Read by the SQL of the query only, which knows no rare languages; no document is left out by it here.
 LEAST_LANGUAGE_SHARE = 0.005
 
 # Frequent function words of the four languages.
@@ -168,16 +171,15 @@ def references(measured: DataFrame, lang: str, mark: str) -> DataFrame:
 
     n = F.count_if(_long(mark)).alias("n")
     means = measured.groupBy(F.col(lang).alias("lang")).agg(n, mean("classes", N_CLASSES), mean("common", len(COMMON) + 1))
-    means = stage(means.where("lang is not null and n > 0"), "references")
-    big = means.where(F.col("n") >= LEAST_LANGUAGE_SHARE * means.agg(F.sum("n")).scalar())
-    return big.agg(F.array_sort(F.collect_list(F.struct("lang", "classes", "common"))).alias("refs"))
+    means = stage(means.where(F.col("lang").isNotNull() & (F.col("n") >= LEAST_LANGUAGE_DOCS)), "references")
+    return means.agg(F.array_sort(F.collect_list(F.struct("lang", "classes", "common"))).alias("refs"))
 
 
 def _long(mark: str) -> Column:
     return (F.col(f"{mark}n_words") >= GUARD_WORDS) & (F.col(f"{mark}n_chars") >= GUARD_CHARS)
 
 
-def _judged(measured: DataFrame, refs: DataFrame, mark: str) -> DataFrame:
+def _judged(measured: DataFrame, refs: DataFrame, lang: str, mark: str) -> DataFrame:
     """``measured`` with distances and verdict, in columns whose names begin with ``mark``."""
     q = lambda name: F.col(f"{mark}{name}")
 
@@ -186,7 +188,8 @@ def _judged(measured: DataFrame, refs: DataFrame, mark: str) -> DataFrame:
 
     repeats = 100 * q("n_repeat_words") > MOST_REPEATED_PERCENT * q("n_words")
     rows = measured.withColumns({f"{mark}refs": refs.scalar(), f"{mark}base_failed": (q("n_words") < LEAST_WORDS) | repeats})
-    compared = ~q("base_failed") & _long(mark)
+    known = F.col(lang).isNull() | F.array_contains(F.transform(q("refs"), lambda r: r["lang"]), F.col(lang))
+    compared = ~q("base_failed") & _long(mark) & known
     rows = rows.withColumns(
         {
             f"{mark}class_distance": F.when(compared, nearest("classes")),
@@ -203,13 +206,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Per row: id, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``kept``, and the two distances (null where not compared).
 
-    A null text counts as empty; texts below ``LEAST_WORDS`` words fail. Texts below the guards, or without any reference,
-    are kept when the base rules pass. Rows without a language help no reference but are judged like any other. Repeated
+    A null text counts as empty; texts below ``LEAST_WORDS`` words fail. Texts below the guards, or of a language without
+    a reference, are kept when the base rules pass. Rows without a language help no reference but are judged like any other. Repeated
     rows are judged each; other columns are not looked at.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     measured = stage(_measured(rows, "text", "q_").drop("text", "q_text", "q_words"), "measured")
-    judged = _judged(measured, references(measured, "lang", "q_"), "q_")
+    judged = _judged(measured, references(measured, "lang", "q_"), "lang", "q_")
     return judged.select("doc_id", *[F.col(f"q_{n}").alias(n) for n in RESULTS])
 
 
@@ -220,5 +223,5 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     """
     mark = free_name(docs, "q_")
     refs = references(_measured(docs, text_col, mark), lang_col, mark)
-    rows = _judged(_measured(docs, text_col, mark), refs, mark)
+    rows = _judged(_measured(docs, text_col, mark), refs, lang_col, mark)
     return rows.where(F.col(f"{mark}kept") & (F.col(f"{mark}row") >= 0)).select(*docs.columns)

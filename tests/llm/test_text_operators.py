@@ -225,6 +225,19 @@ def test_junk_goes_and_prose_stays(spark):
     assert {r.doc_id for r in quality.keep_good(docs).collect()} == kept
 
 
+def test_rare_languages_are_held_against_themselves_or_not_at_all(spark):
+    """Clean texts without any common word: 12 of one language among 3,000 others, 2 of another."""
+    chance = random.Random(11)
+    english = [" ".join(chance.choices(quality.COMMON_WORDS["en"].split(), k=20) + chance.choices("house river stone cloud garden".split(), k=60)) for _ in range(40)]
+    strange = lambda: " ".join("".join(chance.choices("aeioukltnsh", k=6)) for _ in range(400))
+    texts = [(english[i % 40] + f" w{i}", "en") for i in range(3000)] + [(strange(), "fi") for _ in range(12)] + [(strange(), "qx") for _ in range(2)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string").repartition(8)
+    rare = quality.judge(docs).where("doc_id >= 3000").collect()
+    assert len(rare) == 14 and all(r.kept and not r.base_failed for r in rare)
+    assert all((r.word_distance is None) == (r.doc_id >= 3012) for r in rare)
+    assert quality.keep_good(docs).where("lang <> 'en'").count() == 14
+
+
 # -- toxicity ----------------------------------------------------------------
 
 
