@@ -29,7 +29,15 @@ INLINE = (
     "small source span strike strong sub sup time tt u var wbr"
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
-ARTICLE, ASIDE = ("article", "main"), ("nav", "header", "footer", "aside", "form", "fieldset", "dialog", "menu")
+ARTICLE, ASIDE = ("article", "main"), ("nav", "header", "footer", "aside", "dialog", "menu")
+# Parts that are beside the main text unless they are put around it.
+WRAPPER = ("form", "fieldset")
+CODE, FOREIGN = ("script", "style"), ("svg", "math")
+# Elements that end a paragraph; with html, head and body also what ends an element that is never closed.
+BREAKS = (
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
+    "h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul"
+).split()
 # Words in class, id and role that name parts beside the main text.
 ASIDE_NAMES = set(
     "ad ads adbox adsense advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs byline consent "
@@ -49,7 +57,9 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in CODE}
+_RAW_TAG = {t: re.compile(rf"<(/?){t}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.I) for t in RAW if t not in CODE}
+_BREAK = re.compile(rf"</?(?:{'|'.join([*BREAKS, 'html', 'head', 'body'])})(?=[\s/>])", re.I)
 
 
 @dataclass
@@ -65,17 +75,32 @@ def _names(rest: str) -> set[str]:
     return {part.lower() for m in _NAMED.finditer(rest) for part in _NAME_PART.findall(m[1] or m[2] or m[3] or "")}
 
 
+def _raw_ends(page: str, tag: str) -> dict[int, int]:
+    """Where the elements named ``tag`` end, by where they start; those that are never closed are left out."""
+    ends, opened = {}, []
+    for m in _RAW_TAG[tag].finditer(page):
+        if m[1]:
+            if opened:
+                ends[opened.pop()] = m.end()
+        elif tag in FOREIGN and m[2].endswith("/"):
+            ends[m.start()] = m.end()
+        else:
+            opened.append(m.start())
+    return ends
+
+
 def blocks(page: str | None) -> list[Block]:
     """All text blocks of a page in order; text of silent elements is no text.
 
-    Every open element keeps whether it stands in an article and how firmly it is something else: 1 by a name, which an
-    article inside overrules, 2 by its tag or as comments, 3 silent or hidden.
+    A silent element that is never closed ends at the next block, a script or style sheet at the end of the page. Every open element keeps whether it stands in an article and how firmly it is something else: 1 by a name or as a
+    form, which an article inside overrules, 2 by its tag or as comments, which only a main element overrules, 3 silent or hidden.
     """
     done: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, int]] = []
     in_article, aside, links = False, 0, 0
+    raw_ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         if parts:
@@ -88,7 +113,7 @@ def blocks(page: str | None) -> list[Block]:
     at, page = 0, page or ""
     while at < len(page):
         token = _TOKEN.match(page, at)
-        at = token.end()
+        start, at = at, token.end()
         if (text := token["text"]) is not None:
             if aside < 3:
                 parts.append(text)
@@ -115,23 +140,39 @@ def blocks(page: str | None) -> list[Block]:
                     break
             links = 0
             continue
-        if tag in RAW:
+        if tag in CODE:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
-        if tag in VOID or tag == "p" or rest.endswith("/"):
+        if tag in RAW:
+            if tag not in raw_ends:
+                raw_ends[tag] = _raw_ends(page, tag)
+            if (end := raw_ends[tag].get(start)) is None:
+                found = _BREAK.search(page, at)
+                end = found.start() if found else len(page)
+            at = end
+            continue
+        if tag in BREAKS:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == "p":
+                    _, in_article, aside = stack[i]
+                    del stack[i:]
+                    break
+                if stack[i][0] in BREAKS:
+                    break
+        if tag in VOID or rest.endswith("/"):
             continue
         if tag in ("li", "td", "th", "tr", "dt", "dd") and stack and stack[-1][0] == tag:
             _, in_article, aside = stack.pop()
         stack.append((tag, in_article, aside))
         names = _names(rest) if "=" in rest else set()
-        if tag in ARTICLE and aside < 2:
+        if tag in ARTICLE and (aside < 2 or tag == "main" and aside < 3):
             in_article, aside = True, 2 if names & COMMENT_NAMES else 0
         elif tag in SILENT or (rest and _HIDDEN.search(rest)):
             aside = 3
         elif tag in ASIDE or names & COMMENT_NAMES:
             aside = max(aside, 2)
-        elif tag not in ("html", "body") and names & ASIDE_NAMES:
+        elif tag in WRAPPER or tag not in ("html", "body") and names & ASIDE_NAMES:
             aside = max(aside, 1)
     flush()
     return done

@@ -73,6 +73,40 @@ def test_main_text_of_a_page_with_everything():
     assert html_blocks.main_text(page).split("\n\n") == ["Title", "Real text & more here.", "Short.", "Point one", "Point two"]
 
 
+SENTENCE = "The town council has met again and talked for hours about the new bridge over the river"
+
+
+@pytest.mark.parametrize(
+    "odd",
+    [
+        "<svg class=icon/>",
+        "<svg/><p>Between.</p><svg><text>no</text></svg>",
+        "<math display='block'/>",
+        "<object data=x>",
+        "<object data=x><p>Between.</p><object data=y>no</object>",
+        "<svg><svg>no</svg>no</svg>",
+        "<iframe src=x/>",
+    ],
+)
+def test_text_after_elements_without_an_end(odd):
+    page = f"<html><body><article><h1>Title</h1><p>{SENTENCE} one.</p>{odd}<p>{SENTENCE} two.</p></article></body></html>"
+    between = ["Between."] if "Between" in odd else []
+    assert html_blocks.main_text(page).split("\n\n") == ["Title", f"{SENTENCE} one.", *between, f"{SENTENCE} two."]
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_article_in_a_form_around_the_page(tag):
+    menu = "<nav><a href=x>Home</a></nav><div class=login><input> Your name and your password, please enter them here</div>"
+    page = f"<body><form id=aspnetForm>{menu}<{tag}><h1>Title</h1><p>{SENTENCE}.</p></{tag}><footer>&copy; x</footer></form></body>"
+    assert html_blocks.main_text(page) == f"Title\n\n{SENTENCE}."
+
+
+def test_marks_of_paragraphs():
+    page = f"""<article><p class="advert">{SENTENCE} ad.<p>{SENTENCE} one.</p><p hidden>{SENTENCE} no.</p><p class=promo>{SENTENCE} ad.
+    <div>{SENTENCE} two.</div><custom><p style="display:none">{SENTENCE} no.</p></custom><p class=lead>{SENTENCE} three.</article>"""
+    assert html_blocks.main_text(page).split("\n\n") == [f"{SENTENCE} {n}." for n in ("one", "two", "three")]
+
+
 def test_main_text_without_article():
     words = "plain words of a page that has no article element but a good deal of text in two paragraphs"
     page = f"<div class=menu><a>A</a><a>B</a></div><p>{words} one</p><p>{words} two</p><div><a>More</a> <a>Links</a></div>"
