@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stintlake.session import stage
+
 # Column names of other sources and the names used here.
 ALIASES = {
     "lap_number": "LapNumber",
@@ -148,42 +150,45 @@ def discover(spark: SparkSession, sources: dict[str, tuple[str, str]]) -> DataFr
 def read_sources(
     spark: SparkSession, sources: dict[str, tuple[str, str]], schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of all Parquet files that can be read, and the other files with the reason.
+    """Rows of all Parquet files that can be read to their end, and the other files with the reason.
 
-    Rows come under standard names, tagged with ``source`` and ``source_file``.
-    A file that gives no row is looked at again, its two ends only: without the
-    format's mark there it is ``unreadable``, else ``empty``; folders that are
-    not there are ``missing``.
+    Rows come under standard names, tagged with ``source`` and ``source_file``. They are read once and staged, with a
+    verdict on every file, so that rows and rejects agree. Each file's rows are compared with the count in its footer, which
+    a scan of no column gives: with fewer the whole file is ``incomplete``, with none of them ``unreadable``. A file without
+    rows in its footer is looked at again, its two ends only: without the format's mark there it is ``unreadable``, else
+    ``empty``; folders that are not there are ``missing``.
     """
     files = discover(spark, sources)
-    parts = []
+    parts, footers, listed = [], [], []
     for name, (folder, pattern) in sources.items():
         if files.where((F.col("source") == name) & F.col("length").isNotNull()).isEmpty():
             continue
         reader = spark.read.schema(schema).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
         rows = reader.option("ignoreCorruptFiles", True).parquet(folder)
+        path = F.col("_metadata.file_path").alias("_path")
         parts.append(
-            standard_names(rows.withColumns({"source_file": F.col("_metadata.file_name"), "_path": F.col("_metadata.file_path")})).withColumn(
-                "source", F.lit(name)
-            )
+            standard_names(rows.withColumns({"source_file": F.col("_metadata.file_name"), "_path": path})).withColumn("source", F.lit(name))
         )
-    plain = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in ("source_file", "_path", "source")]])
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else standard_names(spark.createDataFrame([], plain))
-    local = F.regexp_replace("path", "^file:/+", "/")
-    read = rows.select(F.regexp_replace("_path", "^file:/+", "/").alias("_read")).distinct()
-    silent = files.join(read, local == F.col("_read"), "left_anti")
-    marks = []
-    for _, (folder, pattern) in sources.items():
-        if not files.where(F.col("path") == folder).isEmpty():
-            continue
+        footers.append(rows.select(F.lit(name).alias("source"), path).groupBy("source", "_path").agg(F.count("*").alias("_rows")))
         content = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
         ends = F.concat(F.substring("content", 1, 4), F.substring(F.col("content"), -4, 4))
-        marks.append(content.select(F.col("path").alias("_p"), (ends == F.lit(b"PAR1PAR1")).alias("_whole")))
-    rejects = silent.withColumn("_whole", F.lit(None).cast("boolean"))
-    if marks:
-        rejects = silent.join(reduce(DataFrame.unionByName, marks), F.col("path") == F.col("_p"), "left").drop("_p")
-    reason = F.when(F.col("length").isNull(), "missing").when(F.col("_whole"), "empty").otherwise("unreadable")
-    return rows.drop("_path"), rejects.select("source", "path", reason.alias("reason"))
+        # a larger file cannot be one value, and one without rows is not that large
+        small = content.where(F.col("length") < 2**31 - 1)
+        marks = small.select(F.lit(name).alias("source"), path, (ends == F.lit(b"PAR1PAR1")).alias("_whole"))
+        listed.append(content.select(F.lit(name).alias("source"), "path", path).join(marks, ["source", "_path"], "left"))
+    plain = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in ("source_file", "_path", "source")]])
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else standard_names(spark.createDataFrame([], plain))
+    rows = stage(rows, "sources")
+    rejects = files.where("length is null").select("source", "path", F.lit(None).cast("string").alias("_path"), F.lit("missing").alias("reason"))
+    if listed:
+        read = rows.groupBy("source", "_path").agg(F.count("*").alias("_read"))
+        found = reduce(DataFrame.unionByName, listed).join(read, ["source", "_path"], "left")
+        found = found.join(reduce(DataFrame.unionByName, footers), ["source", "_path"], "left")
+        reason = F.when(F.col("_read") == F.col("_rows"), None).when(F.col("_read") > 0, "incomplete")
+        reason = reason.when(F.col("_rows").isNull() & F.col("_read").isNull() & F.col("_whole"), "empty").otherwise("unreadable")
+        rejects = rejects.unionByName(found.select("source", "path", "_path", reason.alias("reason")).where("reason is not null"))
+    rejects = stage(rejects, "rejects")
+    return rows.join(rejects, ["source", "_path"], "left_anti").select(*[c for c in rows.columns if c != "_path"]), rejects.drop("_path")
 
 
 def session_rows(table: DataFrame, year: int, event: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from stintlake.schemas import STINT_LIVES
@@ -74,3 +75,26 @@ def test_driver_csv_folders(spark, tmp_path):
 def test_dry_run_writes_nothing(spark, tmp_path):
     W.dry_run(spark.range(5))
     assert list(tmp_path.iterdir()) == []
+
+
+def test_files_that_end_early_are_rejected_whole(spark, tmp_path):
+    """A file damaged after its first row groups, one of other types, one without rows and one in a folder with a space."""
+    folder = tmp_path / "land ed"
+    rows = spark.range(100_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("lap_time"))
+    rows.coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(str(folder / "good"))
+    spark.range(50).select(F.col("id").cast("string").alias("id")).coalesce(1).write.parquet(str(folder / "types"))
+    rows.limit(0).coalesce(1).write.parquet(str(folder / "none"))
+    whole = next((folder / "good").glob("*.parquet"))
+    groups = pq.read_metadata(whole)
+    last = groups.row_group(groups.num_row_groups - 1).column(1).data_page_offset
+    content = bytearray(whole.read_bytes())
+    content[last : last + 4000] = b"\xff" * 4000
+    (folder / "damaged.parquet").write_bytes(content)
+
+    sources = {"a": (str(folder), "*.parquet"), "b": (str(tmp_path / "lost"), "*")}
+    read, rejects = R.read_sources(spark, sources, rows.schema)
+    assert {(r.source_file, r.n) for r in read.groupBy("source_file").agg(F.count("LapTime").alias("n")).collect()} == {(whole.name, 100_000)}
+    assert read.select("id").distinct().count() == 100_000 and "_path" not in read.columns
+    reasons = {(r.source, r.path.split("/")[-1 if "damaged" in r.path else -2], r.reason) for r in rejects.collect() if r.source == "a"}
+    assert reasons == {("a", "damaged.parquet", "incomplete"), ("a", "types", "unreadable"), ("a", "none", "empty")}
+    assert [(r.path, r.reason) for r in rejects.where("source = 'b'").collect()] == [(str(tmp_path / "lost"), "missing")]
