@@ -62,11 +62,16 @@ def cumulative_distance(telemetry: DataFrame, keys: list[str] = DRIVEN, tie: str
 
 # -- alignment -------------------------------------------------------------
 
+RUN = 7200  # points of one run of the grid, so that a long race is no single array
+
 
 def time_grid(cars: DataFrame, ends: DataFrame, step: float = 0.5) -> DataFrame:
-    """Every car at every ``step`` seconds from 0 to the end of its race."""
+    """Every car at every ``step`` seconds from 0 to the end of its race, made in runs of ``RUN`` points."""
     spans = join_small(cars.select(*RACE, "Driver").distinct(), ends.select(*RACE, "end"), RACE, "inner")
-    ticks = F.sequence(F.lit(0).cast("long"), F.floor(F.col("end") / step).cast("long"))
+    last = F.floor(F.col("end") / step).cast("long")
+    runs = F.sequence(F.lit(0).cast("long"), last, F.lit(RUN).cast("long"))
+    spans = spans.where("end >= 0").select(*RACE, "Driver", last.alias("last"), F.explode(runs).alias("run"))
+    ticks = F.sequence("run", F.least("last", F.col("run") + (RUN - 1)))
     return spans.select(*RACE, "Driver", F.explode(ticks).alias("tick")).select(
         *RACE, "Driver", (F.col("tick") * step).alias("t")
     )

@@ -14,6 +14,7 @@ from stintlake.operators import mldata as ML
 from stintlake.operators import neighbours as N
 from stintlake.operators import quality as Q
 from stintlake.operators import stints as S
+from stintlake.operators import telemetry as TE
 from stintlake.operators import weather as W
 
 def rows(df, *cols):
@@ -284,3 +285,21 @@ def test_validate_lists_issues(spark):
 def test_mode_fill_takes_the_smallest_of_several(spark):
     df = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", None), ("b", None)], "k string, c string")
     assert rows(X.fill_mode(df, ["k"], ["c"]), "k", "c") == [("a", "x"), ("a", "x"), ("a", "y"), ("b", "Unknown")]
+
+
+def test_grid_of_half_seconds_over_a_race(spark):
+    """Every sample of a race of two hours is the nearest one to some point, and a race of a week is made in short runs."""
+    race = "2024 AS Year, 'G' AS GranPrix"
+    laps = spark.sql(f"""SELECT {race}, 'A' AS Driver, int(id + 1) AS LapNumber, int(id % 20 + 1) AS Position, 'SOFT' AS Compound,
+        id * 90D AS LapStartTime, (id + 1) * 90D AS Time FROM range(80)""")
+    telemetry = spark.sql(f"SELECT {race}, 'A' AS Driver, id AS event_id, id * 0.5D AS Time, double(id) AS Speed, double(id) AS Distance FROM range(14401)")
+    weather = spark.sql(f"SELECT {race}, id AS event_id, id * 60D AS Time, double(id) AS TrackTemp, 20D AS AirTemp, id % 2 = 0 AS Rainfall FROM range(121)")
+    seen = TE.grid_view(laps, telemetry, weather, tie="event_id")
+    found = seen.agg(F.count("*").alias("n"), F.countDistinct("Speed").alias("t"), F.countDistinct("LapNumber").alias("l"), F.countDistinct("TrackTemp").alias("w"))
+    assert tuple(found.first()) == (14401, 14401, 80, 121)
+    assert seen.where("Speed <> 2 * t").count() == 0
+    week = spark.sql(f"SELECT {race}, 7 * 86400D AS end")
+    grid = TE.time_grid(laps, week)
+    assert tuple(grid.agg(F.count("*"), F.countDistinct("t"), F.max("t")).first()) == (1209601, 1209601, 604800.0)
+    plan = grid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2
