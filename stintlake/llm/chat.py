@@ -68,14 +68,16 @@ def fingerprint(paths: Column) -> Column:
 
 
 def json_paths(record: Column) -> Column:
-    """Field paths of a JSON record, per row; objects in arrays are known by the first."""
+    """Field paths of a JSON record, per row; those of an array are the paths of all its elements."""
 
     def below(key: Column) -> Column:
         place = F.concat(F.lit("$['"), key, F.lit("']"))
-        item = F.json_object_keys(_at(record, F.concat(place, F.lit("[0]"))))
+        items = F.from_json(_at(record, place), "array<string>")
+        # an element that is no object is a path of its own, which no layout has
+        item = F.flatten(F.transform(items, lambda x: F.coalesce(F.transform(F.json_object_keys(x), lambda k: F.concat(F.lit("."), k)), F.array(F.lit("")))))
         inner = F.json_object_keys(_at(record, place))
         return (
-            F.when(F.size(item) > 0, F.transform(item, lambda k: F.concat(key, F.lit("[]."), k)))
+            F.when(F.exists(item, lambda k: k != ""), F.transform(item, lambda k: F.concat(key, F.lit("[]"), k)))
             .when(F.size(inner) > 0, F.transform(inner, lambda k: F.concat(key, F.lit("."), k)))
             .otherwise(F.array(key))
         )
@@ -120,8 +122,10 @@ def canonical(records: DataFrame, id_col: str, fields: list[str] | None = None)
     names = fields or [c for c in records.columns if c != id_col]
     here = field_paths(records.select(*names).schema)
     with_id = [id_col, *here]
-    known = {tuple(sorted(x.paths)): x for x in LAYOUTS}
-    layout = known.get(tuple(sorted(set(here)))) or known.get(tuple(sorted(set(with_id))))
+    asked = [fingerprint(F.lit(paths)) for paths in (here, with_id)] + [fingerprint(F.lit(list(x.paths))) for x in LAYOUTS]
+    without, whole, *prints = records.sparkSession.range(1).select(F.array(*asked)).first()[0]
+    known = dict(zip(prints, LAYOUTS))
+    layout = known.get(without) or known.get(whole)
     if layout is None:
         raise ValueError(f"no mapping for the field paths {sorted(here)}")
     if not layout.rows:
@@ -152,6 +156,15 @@ def canonical_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
     return rows.select("id", "fingerprint", turns.alias("turns"))
 
 
+def split_json(records: DataFrame, id_col: str, json_col: str) -> tuple[DataFrame, DataFrame]:
+    """``canonical_json`` of the records with a mapping, and ``id``, ``fingerprint`` and ``json`` of all others."""
+    rows = records.select(F.col(id_col).alias("id"), F.col(json_col).alias("json"))
+    found = canonical_json(rows.withColumn("id", F.struct("id", "json")), "id", "json")
+    known = F.col("turns").isNotNull()
+    mapped = found.where(known).select(F.col("id.id").alias("id"), "fingerprint", "turns")
+    return mapped, found.where(~known).select(F.col("id.id").alias("id"), "fingerprint", F.col("id.json").alias("json"))
+
+
 def escaped(text: Column) -> Column:
     text = F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE * 2))
     return reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(c[0] + ESCAPE + c[1:])), CONTROLS, text)

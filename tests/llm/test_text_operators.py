@@ -366,6 +366,27 @@ def test_layouts_by_fingerprint(spark):
         chat.canonical(spark.createDataFrame([(1, "x")], "id long, unknown string"), "id")
 
 
+def test_arrays_by_all_their_elements_and_records_without_a_mapping(spark):
+    records = [
+        (1, '{"messages":[{"role":"user"},{"content":"yo","role":"assistant"}]}'),
+        (2, '{"messages":[{"role":"user","content":"hi"},{"content":"yo","role":"assistant","more":1}]}'),
+        (3, '{"messages":[{"role":"user","content":"hi"},"loose"]}'),
+        (4, '{"prompt":"a","response":"b","source":"web"}'),
+        (5, None),
+    ]
+    mapped, rejects = chat.split_json(spark.createDataFrame(records, "id long, j string"), "id", "j")
+    assert [(r.id, [(t.role, t.text) for t in r.turns]) for r in mapped.collect()] == [(1, [("user", ""), ("assistant", "yo")])]
+    assert {r.id: r.json for r in rejects.collect()} == dict(records[1:])
+
+
+def test_canonical_selects_by_fingerprint(spark, monkeypatch):
+    table = spark.createDataFrame([(1, "a", "b")], "id long, response string, prompt string")
+    assert [t.text for t in chat.canonical(table, "id").first().turns] == ["b", "a"]
+    monkeypatch.setattr(chat, "fingerprint", lambda paths: F.xxhash64(F.array_join(paths, "")) + F.rand())
+    with pytest.raises(ValueError, match="no mapping"):
+        chat.canonical(table, "id")
+
+
 # -- token counts ------------------------------------------------------------
 
 
