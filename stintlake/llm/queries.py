@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlake.llm import chat, decontaminate, html_blocks, language_id, packing, quality, seekable_warc, simhash, token_counts, toxicity
+from stintlake.llm import (
+    chat,
+    decontaminate,
+    html_blocks,
+    language_id,
+    packing,
+    prefix_trie,
+    quality,
+    seekable_warc,
+    simhash,
+    token_counts,
+    toxicity,
+    vector_codes,
+)
 from stintlake.llm.common import bpe_path, piece_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +73,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), piece_path())
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), every=100, most=6)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+
+
 QUERIES["op1_seekable_warc"] = op1_seekable_warc
 QUERIES["op2_html_extraction"] = op2_html_extraction
 QUERIES["op3_language_id"] = op3_language_id
@@ -70,6 +91,8 @@ QUERIES["op7_simhash_near_dedup"] = op7_simhash_near_dedup
 QUERIES["op8_toxicity"] = op8_toxicity
 QUERIES["op9_chat_formatting"] = op9_chat_formatting
 QUERIES["op10_token_counts"] = op10_token_counts
+QUERIES["op11_conversation_trie"] = op11_conversation_trie
+QUERIES["op13_vector_codes"] = op13_vector_codes
 
 # What was written and read again has the digests and repeats of the pages themselves.
 ORACLES["op1_seekable_warc"] = """
@@ -165,3 +188,86 @@ def _quality_sql() -> str:
 
 
 ORACLES["op6_quality_rules"] = _quality_sql()
+
+
+# crc32 bit by bit; prefixes as joined digests; a subtree's nodes by the paths of their smallest members.
+ORACLES["op11_conversation_trie"] = """
+    WITH t AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), c AS (
+        SELECT conv_id, conv_id - conv_id % 100 AS base,
+               xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+                   lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+                       lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 6 AS h
+        FROM (SELECT DISTINCT conv_id FROM t)
+    ), r AS (
+        SELECT c.conv_id, 0 AS part, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base WHERE t.pos < h
+        UNION ALL SELECT c.conv_id, 1, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.pos >= h
+    ), m AS (
+        SELECT conv_id, row_number() OVER w AS depth, length(text) AS weight,
+               string_agg(sha256(octet_length(encode(role)) || ':' || role || text), '') OVER w AS prefix
+        FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+        UNION ALL SELECT conv_id, 0, 0, '' FROM c
+    ), e AS (
+        SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM m
+    ), n AS (
+        SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(weight) AS saved,
+               bool_and(ends) AS leaf, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM e GROUP BY depth, prefix
+    ), below AS (
+        SELECT m.depth, m.prefix, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved_tokens
+        FROM n JOIN m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY ALL
+    ), up AS (
+        SELECT n.conv_id, n.depth, p.conv_id AS parent FROM n JOIN m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1
+        JOIN n AS p ON p.depth = m.depth AND p.prefix = m.prefix
+    ), kids AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM up GROUP BY ALL)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.parent AS parent_conv_id, n.n_convs, coalesce(kids.n_children, 0) AS n_children,
+           below.n_leaves, CAST(below.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM n JOIN below USING (depth, prefix) LEFT JOIN up ON up.conv_id = n.conv_id AND up.depth = n.depth
+    LEFT JOIN kids ON kids.parent = n.conv_id AND kids.depth = n.depth
+"""
+
+
+def _codes_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """Components as rows; every distance of every part to every entry of its codebook, round after round."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+    d{k} AS MATERIALIZED (
+        SELECT row, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+            SELECT v.row, part, b.entry, list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+            FROM v JOIN b{k} AS b USING (part))
+        GROUP BY row, part
+    )""")
+        if k < rounds:
+            steps.append(f"""
+    m{k} AS (
+        SELECT part, entry, list(q ORDER BY i) AS x FROM (
+            SELECT part, d.entry, i, floor(sum(v.x[i])::DECIMAL(38, 0) / count(*))::BIGINT AS q
+            FROM v JOIN d{k} AS d USING (row, part), range(1, width + 1) AS r(i) GROUP BY ALL)
+        GROUP BY part, entry
+    ), b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{k}.x, b.x) AS x FROM b{k} AS b LEFT JOIN m{k} USING (part, entry))""")
+    return f"""
+    WITH k AS (
+        SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS x FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), v AS MATERIALIZED (
+        SELECT row, p AS part, x[p * (len(x) // {parts}) + 1 : (p + 1) * (len(x) // {parts})] AS x, len(x) // {parts} AS width FROM k, range({parts}) AS r(p)
+    ), b0 AS MATERIALIZED (
+        SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, x
+        FROM v JOIN (SELECT vec_id, min_by(row, k.x) AS row FROM k WHERE vec_id IS NOT NULL GROUP BY vec_id ORDER BY vec_id LIMIT {entries}) USING (row)
+    ), {",".join(steps)},
+    coded AS (
+        SELECT vec_id, label, string_agg(lower(printf('%02x', d.entry::INTEGER)), '' ORDER BY part) AS code, sum(d.d)::BIGINT AS error
+        FROM k JOIN d{rounds} AS d USING (row) GROUP BY row, vec_id, label
+    ), line AS (
+        SELECT sha256(string_agg(CAST(x[i] AS VARCHAR), ',' ORDER BY part, entry, i)) AS digest
+        FROM b{rounds}, unnest(range(1, len(x) + 1)) AS r(i)
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, digest AS codebooks_sha256 FROM coded, line
+    """
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
