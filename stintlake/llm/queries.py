@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.llm import (
+    boosted_quality,
     chat,
     decontaminate,
     html_blocks,
@@ -77,6 +78,10 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), every=100, most=6)
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosted_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
 
@@ -92,6 +97,7 @@ QUERIES["op8_toxicity"] = op8_toxicity
 QUERIES["op9_chat_formatting"] = op9_chat_formatting
 QUERIES["op10_token_counts"] = op10_token_counts
 QUERIES["op11_conversation_trie"] = op11_conversation_trie
+QUERIES["op12_quality_classifier"] = op12_quality_classifier
 QUERIES["op13_vector_codes"] = op13_vector_codes
 
 # What was written and read again has the digests and repeats of the pages themselves.
