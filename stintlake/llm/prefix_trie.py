@@ -110,20 +110,18 @@ def _line_digests(ends: DataFrame) -> DataFrame:
     """
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held = None, []
-
-        def given() -> pd.DataFrame:
-            return pd.DataFrame({"node": [at[0]], "p": [at[1]], "first": [held[0]], "line": [",".join(map(str, held))]})
-
+        at, held, done = None, [], []
         for batch in batches:
             for node, p, conv in zip(batch["node"].tolist(), batch["p"].tolist(), batch["conv"].tolist()):
                 if held and ((node, p) != at or len(held) >= CHUNK):
-                    yield given()
+                    done.append((*at, held[0], ",".join(map(str, held))))
                     held = []
                 at = (node, p)
                 held.append(conv)
+            yield pd.DataFrame(done, columns=["node", "p", "first", "line"])
+            done = []
         if held:
-            yield given()
+            yield pd.DataFrame([(*at, held[0], ",".join(map(str, held)))], columns=["node", "p", "first", "line"])
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, state = None, None
