@@ -26,8 +26,8 @@ from stintlake.llm.common import small_batches
 from stintlake.session import stage
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
-#: Vectors handled at a time, and coefficients added between two looks at the bound.
-_ROWS, _STEP = 1024, 4
+#: Vectors handled at a time, coefficients added between two looks at the bound, and what part of all entries are few.
+_ROWS, _STEP, _FEW = 256, 4, 8
 #: Bits of a limb, where integers are too wide for sums of 64 bits.
 _LIMBS = 30
 
@@ -59,24 +59,33 @@ def transform(rows: np.ndarray) -> np.ndarray:
 def nearest(rows: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of each row's nearest entry, the lowest of equally near ones, and its squared distance."""
     index, distance = np.zeros(len(rows), np.int64), np.zeros(len(rows), rows.dtype)
-    e = transform(entries)
-    size = e.shape[1]
+    e, whole = transform(entries), transform(rows)
+    across, size = np.ascontiguousarray(e.T), e.shape[1]
     for begin in range(0, len(rows), _ROWS):
-        y = transform(rows[begin : begin + _ROWS])
-        part = np.zeros((len(y), len(e)), rows.dtype)
-        for k in range(min(_STEP, size)):
-            part += (y[:, k : k + 1] - e[:, k]) ** 2
-        bound = ((y - e[part.argmin(axis=1)]) ** 2).sum(axis=1)
-        at, entry = np.nonzero(part <= bound[:, None])
+        y = whole[begin : begin + _ROWS]
+        part, apart = np.zeros((len(y), len(e)), rows.dtype), np.empty((len(y), len(e)), rows.dtype)
+        bound, k = None, 0
+        while True:  # all entries at a time, until few are left
+            for k in range(k, min(k + _STEP, size)):
+                np.subtract(y[:, k : k + 1], across[k], out=apart)
+                part += np.multiply(apart, apart, out=apart)
+            k += 1
+            if bound is None:
+                bound = ((y - e[part.argmin(axis=1)]) ** 2).sum(axis=1)
+            near = part <= bound[:, None]
+            if k >= size or np.count_nonzero(near) * _FEW <= near.size:
+                break
+        at, entry = np.nonzero(near)
         so_far = part[at, entry]
-        for k in range(_STEP, size, _STEP):
+        for k in range(k, size, _STEP):
             so_far = so_far + ((y[at, k : k + _STEP] - e[entry, k : k + _STEP]) ** 2).sum(axis=1)
             left = so_far <= bound[at]
             at, entry, so_far = at[left], entry[left], so_far[left]
-        order = np.lexsort((entry, so_far, at))  # by row, then distance, then index; every row has an entry left
-        first = order[np.concatenate(([True], np.diff(at[order]) > 0))]
-        index[begin : begin + len(y)] = entry[first]
-        distance[begin : begin + len(y)] = so_far[first] // size
+        # entries come in order by row, and every row has one left
+        least = np.minimum.reduceat(so_far, np.searchsorted(at, np.arange(len(y))))
+        hit = np.flatnonzero(so_far == least[at])
+        index[begin : begin + len(y)] = entry[hit[np.searchsorted(at[hit], np.arange(len(y)))]]
+        distance[begin : begin + len(y)] = least // size
     return index, distance
 
 
