@@ -129,6 +129,115 @@ def join_gap_metres_first_lap(spark, sf):
     return _gaps(T.with_first_place(_view(spark, sf), role(spark, sf, "laps")), "FirstPosition")
 
 
+
+# -- half seconds ------------------------------------------------------------
+
+# the roles' weeks as races of half an hour, so that a grid of half seconds has about as many points as a race's
+HALF, SHORT = 0.5, 336.0
+_OFF = 1.3e-5  # added before rounding, so that exact halves round the same way
+_SHORT_SQL = f"""l AS (SELECT * REPLACE (Time / {SHORT}::DOUBLE AS Time, LapStartTime / {SHORT}::DOUBLE AS LapStartTime) FROM laps),
+    te AS (SELECT * REPLACE (Time / {SHORT}::DOUBLE AS Time) FROM telemetry),
+    we AS (SELECT * REPLACE (Time / {SHORT}::DOUBLE AS Time) FROM weather),
+    ends AS (SELECT Year, GranPrix, max(Time) AS e FROM we GROUP BY ALL),
+    cars AS (SELECT DISTINCT Year, GranPrix, Driver FROM l),
+    ticks AS (SELECT Year, GranPrix, unnest(range(CAST(floor(e / {HALF}) AS BIGINT) + 1)) * {HALF}::DOUBLE AS t FROM ends),
+    grid AS (SELECT Year, GranPrix, Driver, t FROM cars JOIN ticks USING (Year, GranPrix))"""
+
+
+def _asof(name: str, table_name: str, time: str, values: list[str], tie: str, car: bool = True) -> str:
+    """The nearest sample to every point, by one ASOF join to either side."""
+    keys = ["Year", "GranPrix"] + (["Driver"] if car else [])
+    points = "grid" if car else "ticks"
+    cols = ", ".join(values)
+    on = " AND ".join(f"s.{k} = g.{k}" for k in keys)
+    picked = ", ".join(f"CASE WHEN b.{time} IS NULL OR (a.{time} - p.t) < (p.t - b.{time}) THEN a.{v} ELSE b.{v} END AS {v}" for v in values)
+    match = lambda o: " AND ".join(f"{o}.{k} = p.{k}" for k in keys + ["t"])
+    side = lambda op: f"SELECT {', '.join(f'g.{k}' for k in keys)}, g.t, s.{time}, {', '.join('s.' + v for v in values)} FROM {points} g ASOF JOIN {name}_s s ON {on} AND g.t {op} s.{time}"
+    return f"""{name}_s AS (SELECT {", ".join(keys)}, {time}, {cols} FROM {table_name} WHERE {time} IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY {", ".join(keys)}, {time} ORDER BY {tie}) = 1),
+    {name}_b AS ({side(">=")}), {name}_a AS ({side("<=")}),
+    {name} AS (SELECT {", ".join(f"p.{k}" for k in keys)}, p.t, {picked}
+        FROM {points} p LEFT JOIN {name}_b b ON {match("b")} LEFT JOIN {name}_a a ON {match("a")})"""
+
+
+def _short(spark, sf):
+    laps = role(spark, sf, "laps").withColumns({c: F.col(c) / SHORT for c in ("Time", "LapStartTime")})
+    return laps, *[role(spark, sf, n).withColumn("Time", F.col("Time") / SHORT) for n in ("telemetry", "weather")]
+
+
+@query(
+    "join_asof_half_second",
+    f"""{_SHORT_SQL}, {_asof("tele", "te", "Time", ["Speed", "Distance"], "event_id")},
+    {_asof("lend", "l", "Time", ["Position"], "LapNumber")}, {_asof("lstart", "l", "LapStartTime", ["LapNumber", "Compound"], "LapNumber")},
+    {_asof("wea", "we", "Time", ["TrackTemp", "AirTemp", "Rainfall"], "event_id", car=False)}
+    SELECT Year, GranPrix, Driver, LapNumber, Compound, Position, count(*) AS points, min(t) AS first_t, max(t) AS last_t,
+        round(avg(Speed) + {_OFF}, 3) AS speed, max(Distance) AS distance, round(avg(TrackTemp) + {_OFF}, 3) AS track_temp, round(avg(AirTemp) + {_OFF}, 3) AS air_temp,
+        count(*) FILTER (Rainfall) AS rain_points
+    FROM grid LEFT JOIN tele USING (Year, GranPrix, Driver, t) LEFT JOIN lend USING (Year, GranPrix, Driver, t)
+    LEFT JOIN lstart USING (Year, GranPrix, Driver, t) LEFT JOIN wea USING (Year, GranPrix, t) GROUP BY ALL""",
+    ("laps", "telemetry", "weather"),
+)
+def join_asof_half_second(spark, sf):
+    """What is nearest to every half second, summed up by lap and place without making the points."""
+    seen = T.grid_stretches(*_short(spark, sf), HALF, tie="event_id")
+    n = F.col("until") - F.col("from")
+
+    def mean(c):
+        return F.round(F.try_divide(F.sum(F.col(c) * n), F.sum(F.when(F.col(c).isNotNull(), n))) + _OFF, 3)
+
+    return seen.groupBy("Year", "GranPrix", "Driver", "LapNumber", "Compound", "Position").agg(
+        F.sum(n).alias("points"),
+        (F.min("from") * HALF).alias("first_t"),
+        ((F.max("until") - 1) * HALF).alias("last_t"),
+        mean("Speed").alias("speed"),
+        F.max("Distance").alias("distance"),
+        mean("TrackTemp").alias("track_temp"),
+        mean("AirTemp").alias("air_temp"),
+        F.sum(F.col("Rain") * n).alias("rain_points"),
+    )
+
+
+def _half_gap_sql(place: str, joined: str) -> str:
+    return f"""{_SHORT_SQL}, {_asof("tele", "te", "Time", ["Distance"], "event_id")}, {_asof("lend", "l", "Time", ["Position"], "LapNumber")},
+    firsts AS (SELECT Year, GranPrix, Driver, arg_min_null(Position, LapNumber) AS FirstPosition FROM l GROUP BY ALL),
+    seen AS (SELECT Year, GranPrix, Driver, t, Distance, {place} AS p FROM grid LEFT JOIN tele USING (Year, GranPrix, Driver, t) {joined}),
+    spots AS (SELECT Year, GranPrix, t, p, arg_min(Distance, Driver) AS d FROM seen WHERE p IS NOT NULL GROUP BY ALL)
+    SELECT v.Year, v.GranPrix, v.Driver, v.p AS place, count(*) AS points, round(avg(coalesce(v.Distance - a.d, 0)) + {_OFF}, 3) AS gap_ahead,
+        round(avg(coalesce(b.d - v.Distance, 0)) + {_OFF}, 3) AS gap_behind, {R("max(abs(coalesce(v.Distance - a.d, 0)))")} AS most_ahead
+    FROM seen v LEFT JOIN spots a ON a.Year = v.Year AND a.GranPrix = v.GranPrix AND a.t = v.t AND a.p = v.p - 1
+    LEFT JOIN spots b ON b.Year = v.Year AND b.GranPrix = v.GranPrix AND b.t = v.t AND b.p = v.p + 1 GROUP BY ALL"""
+
+
+def _half_gaps(spark, sf, first_lap):
+    """Mean and largest gaps of every car by place, over all half seconds."""
+    gaps = T.gap_stretches(*_short(spark, sf), HALF, tie="event_id", first_lap=first_lap)
+    n = F.col("until") - F.col("from")
+    return gaps.groupBy("Year", "GranPrix", "Driver", "place").agg(
+        F.sum(n).alias("points"),
+        F.round(F.sum(F.col("GapAhead") * n) / F.sum(n) + _OFF, 3).alias("gap_ahead"),
+        F.round(F.sum(F.col("GapBehind") * n) / F.sum(n) + _OFF, 3).alias("gap_behind"),
+        r6(F.max(F.abs("GapAhead"))).alias("most_ahead"),
+    )
+
+
+@query(
+    "join_gap_metres_half_second",
+    _half_gap_sql("Position", "LEFT JOIN lend USING (Year, GranPrix, Driver, t)"),
+    ("laps", "telemetry", "weather"),
+)
+def join_gap_metres_half_second(spark, sf):
+    return _half_gaps(spark, sf, False)
+
+
+@query(
+    "join_gap_metres_half_second_first_lap",
+    _half_gap_sql("FirstPosition", "JOIN firsts USING (Year, GranPrix, Driver)"),
+    ("laps", "telemetry", "weather"),
+)
+def join_gap_metres_half_second_first_lap(spark, sf):
+    return _half_gaps(spark, sf, True)
+
+
 @query(
     "join_asof_backward",
     """SELECT t.event_id, l.LapNumber AS LapInProgress, l.Position AS LapPosition FROM telemetry t

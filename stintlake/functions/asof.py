@@ -13,20 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stintlake.functions import exact
 from stintlake.functions.ordered import OrderedGroups, SplitPolicy
 
-# of values divided by a power of ten near the largest: 20 digits behind the point, and room for 10^14 of them in a total
-_EXACT = "decimal(24,20)"
-
-
-def _scales(df: DataFrame, columns: list[str]) -> Column:
-    """Struct of the power of ten just above each column's largest absolute value; 1 if there is none."""
-    sizes = [F.max(F.abs(F.col(c).cast("double"))).alias(c) for c in columns]
-    powers = [F.pow(F.lit(10.0), F.ceil(F.log10(F.nullif(F.col(c), F.lit(0.0))))) for c in columns]
-    table = df.agg(*sizes).select(F.struct(*[F.coalesce(x, F.lit(1.0)).alias(c) for c, x in zip(columns, powers)]).alias("s"))
-    return table.scalar()
-
-
 @dataclass(frozen=True)
 class Samples:
     """A table to look values up in: its time column, the values, and what orders samples at one time.
@@ -119,17 +108,19 @@ def interval_stats(
     Gives one row per span that has both times: ``keys``, ``span_id``, ``n``,
     ``<c>_mean`` for ``means``, ``<c>_any`` for ``any_true``, ``<c>_last`` for
     the last sample, and the structs ``before`` and ``after`` with the samples
-    next to ``start``. Means are differences of decimal running totals of the
-    values over a power of ten near the column's largest, so values of any size
-    keep 20 digits below that and no span is ever paired with its samples.
+    next to ``start``. Infinite and not-a-number values of ``means`` are null.
+    Means are differences of exact running totals, so that no span is ever paired
+    with its samples, and no sample outside a span changes its mean by a bit.
     """
     lasts = lasts or []
     values = list(dict.fromkeys(means + any_true + lasts))
+    samples = samples.withColumns({c: exact.finite(c) for c in means if dict(samples.dtypes)[c] in ("double", "float")})
+    found = exact.bands(samples.where(F.col(sample_time).isNotNull()), means)
     sample = F.struct(F.col(sample_time).cast("double").alias("sample_time"), *values)
     # totals run over the samples alone; the spans only look them up
     totals = {"n": F.lit(1).cast("long")}
     for c in means:
-        totals[f"sum_{c}"] = F.col(f"_of_{c}")
+        totals |= {f"sum_{c}_{i}": exact.part(F.col(f"_of_{c}"), band) for i, band in enumerate(found[c])}
         totals[f"cnt_{c}"] = F.col(c).isNotNull().cast("long")
     for c in any_true:
         totals[f"any_{c}"] = F.coalesce(F.col(c), F.lit(False)).cast("long")
@@ -138,8 +129,7 @@ def interval_stats(
         *keys, *dict.fromkeys([sample_time, *tie, *values]), sample.alias("_sample")
     )
     if means:
-        scale = _scales(samples, means)
-        seen = seen.withColumns({f"_of_{c}": (F.col(c).cast("double") / scale[c]).cast(_EXACT) for c in means})
+        seen = seen.withColumns({f"_of_{c}": exact.chunks(c) for c in means})
     g = OrderedGroups(seen, keys, [sample_time, *tie], policy)
     # of several samples at one time the first is the one before a start
     g = g.frames({"_again": lambda w: F.lag(sample_time).over(w) == F.col(sample_time)}, before=1)
@@ -187,7 +177,7 @@ def interval_stats(
         *span_id,
         span("n").alias("n"),
         *[
-            (F.try_divide(span(f"sum_{c}").cast("double"), span(f"cnt_{c}")) * scale[c]).alias(f"{c}_mean")
+            F.try_divide(exact.total({b: span(f"sum_{c}_{i}") for i, b in enumerate(found[c])}), span(f"cnt_{c}")).alias(f"{c}_mean")
             for c in means
         ],
         *[F.when(span("n") > 0, span(f"any_{c}") > 0).alias(f"{c}_any") for c in any_true],

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stintlake.functions import steps
 from stintlake.functions.asof import Samples, align
 from stintlake.functions.columns import lap_percentage, minutes_seconds, rotated
 from stintlake.functions.joins import join_small
@@ -147,6 +148,108 @@ def gap_metres(view: DataFrame, by: str = "Position", length: Column | None = No
     return out.drop("_ahead", "_behind")
 
 
+def _car_base(laps: DataFrame, weather: DataFrame, step: float) -> DataFrame:
+    """Every car of a race with the last tick of the race, that of the last weather sample."""
+    cars = laps.select(*RACE, "Driver").distinct()
+    spans = join_small(cars, race_ends(weather), RACE, "inner").where("end >= 0")
+    return stage(spans.select(*RACE, "Driver", F.floor(F.col("end") / step).cast("long").alias("last")), "cars")
+
+
+def grid_stretches(
+    laps: DataFrame, telemetry: DataFrame, weather: DataFrame, step: float = 0.5, tie: str | None = None
+) -> DataFrame:
+    """``grid_view`` by stretches of the grid: ``from`` and ``until`` ticks and what is nearest in between.
+
+    ``stretch_view`` makes the points of it. The work grows with the samples (a race's weather counts for each of its
+    cars), not with the points.
+    """
+    base = _car_base(laps, weather, step)
+    sky = weather.select(*RACE, "Time", "TrackTemp", "AirTemp", "Rainfall", *([tie] if tie else []))
+    by_car = sky.join(base.select(*RACE, "Driver"), RACE)
+    found = steps.nearest_steps(
+        base,
+        [*RACE, "Driver"],
+        {
+            "telemetry": Samples(telemetry, "Time", ["Speed", "Distance"], tie),
+            "lap_end": Samples(laps, "Time", ["Position"], "LapNumber"),
+            "lap_start": Samples(laps, "LapStartTime", ["LapNumber", "Compound"], "LapNumber"),
+            "weather": Samples(by_car, "Time", ["TrackTemp", "AirTemp", "Rainfall"], tie),
+        },
+        step,
+    )
+    return found.select(
+        *RACE,
+        "Driver",
+        "from",
+        "until",
+        "telemetry.Speed",
+        "telemetry.Distance",
+        "lap_end.Position",
+        "lap_start.LapNumber",
+        "lap_start.Compound",
+        "weather.TrackTemp",
+        "weather.AirTemp",
+        F.coalesce("weather.Rainfall", F.lit(False)).cast("int").alias("Rain"),
+    )
+
+
+def stretch_view(stretches: DataFrame, step: float = 0.5) -> DataFrame:
+    """The points of ``grid_stretches``: the rows of ``grid_view``."""
+    made = steps.points(stretches, step)
+    return made.withColumn("clock", minutes_seconds("t"))
+
+
+def gap_stretches(
+    laps: DataFrame,
+    telemetry: DataFrame,
+    weather: DataFrame,
+    step: float = 0.5,
+    tie: str | None = None,
+    first_lap: bool = False,
+) -> DataFrame:
+    """Distance to the cars one place ahead and behind by stretches of the grid: ``place, Distance, GapAhead, GapBehind``.
+
+    Places change at few ticks. The holder of a place between two changes (the first by name of several) is found first,
+    then every car's neighbours by stretch, then their distances, and all of it is laid over the car's own. A gap is 0
+    where the neighbour or a distance is missing. ``first_lap`` takes the places of the first lap for the whole race.
+    """
+    base, car = _car_base(laps, weather, step), [*RACE, "Driver"]
+    if first_lap:
+        first = laps.groupBy(*car).agg(F.min_by("Position", "LapNumber").alias("place"))
+        places = base.join(first, car).select(*car, F.lit(0).cast("long").alias("from"), (F.col("last") + 1).alias("until"), "place")
+    else:
+        places = steps.nearest_steps(base, car, {"lap_end": Samples(laps, "Time", ["Position"], "LapNumber")}, step)
+        places = places.select(*car, "from", "until", F.col("lap_end.Position").alias("place"))
+    places = stage(places.where("place is not null"), "places")
+    driven = steps.nearest_steps(base, car, {"telemetry": Samples(telemetry, "Time", ["Distance"], tie)}, step)
+    driven = stage(driven.select(*car, "from", "until", "telemetry.Distance"), "driven")
+    holders = steps.first_of(places, [*RACE, "place"], "Driver").withColumnRenamed("Driver", "holder")
+    sides = F.array(*[F.struct(F.lit(up).alias("ahead"), (F.col("place") + by).alias("at")) for up, by in ((True, -1), (False, 1))])
+    asked = places.withColumn("_s", F.explode(sides)).select(*car, "from", "until", F.col("_s.ahead").alias("ahead"), F.col("_s.at").alias("place"))
+    near = steps.overlaps(asked, holders, [*RACE, "place"]).drop("place")
+    theirs = driven.select(*RACE, F.col("Driver").alias("holder"), "from", "until", F.col("Distance").alias("there"))
+    apart = stage(steps.overlaps(near, theirs, [*RACE, "holder"]).drop("holder"), "apart")
+    found = steps.merged(
+        base,
+        car,
+        {
+            "place": (places, "place"),
+            "Distance": (driven, "Distance"),
+            "ahead": (apart.where("ahead"), "there"),
+            "behind": (apart.where("not ahead"), "there"),
+        },
+    )
+    return found.select(
+        *car,
+        "from",
+        "until",
+        "place",
+        "Distance",
+        F.coalesce(F.col("Distance") - F.col("ahead"), F.lit(0.0)).alias("GapAhead"),
+        F.coalesce(F.col("behind") - F.col("Distance"), F.lit(0.0)).alias("GapBehind"),
+    )
+
+
 def with_first_place(view: DataFrame, laps: DataFrame, name: str = "FirstPosition") -> DataFrame:
     """Every car's position on its first lap, for gaps by starting order."""
     first = laps.groupBy(*RACE, "Driver").agg(F.min_by("Position", "LapNumber").alias(name))

@@ -1,4 +1,4 @@
-"""One table out of many sources: discover, read, gate, drop repeats, order, with its figures."""
+"""One table out of many sources: index, gate, read, drop repeats, order, with its figures."""
 
 from __future__ import annotations
 
@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stintlake.operators import quality as Q
-from stintlake.sources.readers import read_sources
+from stintlake.sources.footers import missing_pct
+from stintlake.sources.readers import file_index, read_files
 
 
 @dataclass(frozen=True)
 class Unified:
-    """``rows`` of all accepted files; ``rejects`` with ``source``, ``path`` or file, and ``reason``; ``stats`` in one row."""
+    """``rows`` of all accepted files; ``rejects`` with ``source``, ``path`` and ``reason``; ``stats`` in one row; ``files``
+    with rows, missing cells in percent and whether to warn, of those that were accepted."""
 
     rows: DataFrame
     rejects: DataFrame
     stats: DataFrame
+    files: DataFrame
 
 
 def unify(
@@ -29,14 +32,18 @@ def unify(
     min_rows: int = 100,
     max_missing_pct: float = 30.0,
 ) -> Unified:
-    """Sources under one schema; of rows with one ``key`` the first by source and file stays.
+    """Sources under one schema; of rows with one ``key`` the first by source, path and place in the file stays.
 
-    Files with fewer than ``min_rows`` rows are turned away as ``small``.
+    Files are known by source and full path, so equal names do not meet. Those with fewer than ``min_rows`` rows are turned
+    away as ``small`` by their footers, before a row is read.
     """
-    read, unread = read_sources(spark, sources, schema)
-    gate = Q.quality_gate(read.drop("source"), "source_file", max_missing_pct, min_rows)
-    kept = Q.accepted_rows(read, gate, "source_file")
-    rows = Q.dedupe_first(kept, key, ["source", "source_file"])
-    small = read.join(gate.where(~F.col("accepted")), "source_file", "left_semi")
-    small = small.select("source", F.col("source_file").alias("path"), F.lit("small").alias("reason")).distinct()
-    return Unified(rows, unread.unionByName(small), Q.unify_stats(kept, rows))
+    index = file_index(spark, sources, schema)
+    small = F.when(F.col("reason").isNull() & (F.col("n_rows") < min_rows), F.lit("small"))
+    read, rejects = read_files(spark, index.withColumn("reason", F.coalesce("reason", small)), schema)
+    rows = Q.dedupe_first(read, key, ["source", "source_path", "source_row"])
+    share = missing_pct(schema.fieldNames()).alias("missing_pct")
+    files = index.join(rejects, ["source", "file"], "left_anti").select("source", "path", "n_rows", share)
+    plain = rows.drop("source_path", "source_row")
+    return Unified(
+        plain, rejects.select("source", "path", "reason"), Q.unify_stats(read, plain), files.withColumn("warn", F.col("missing_pct") > max_missing_pct)
+    )

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stintlake.functions.joins import join_small
 from stintlake.session import stage
+from stintlake.sources.footers import FOOTER, footers, known_store
 
 # Column names of other sources and the names used here.
 ALIASES = {
@@ -127,68 +130,119 @@ def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-FILES = "source string, path string, length long"
+FILES = "source string, path string, file string, length long"
+
+
+def _path_key(path: Column | str) -> Column:
+    """A full path in one spelling: listings and rows differ in the slashes of local ones."""
+    return F.regexp_replace(path, "^file:///", "file:/")
+
+
+def _there(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def discover(spark: SparkSession, sources: dict[str, tuple[str, str]]) -> DataFrame:
     """Files by source: ``sources`` maps a name to a folder and a pattern of file names.
 
-    Only names and lengths are listed. A folder that does not exist gives one
-    row with a null length.
+    Only names and lengths are listed; ``file`` is the full path as it stands in a row's metadata. A folder that does not
+    exist gives one row with a null length. Files of no bytes, which a scan passes over, are there too.
     """
     found = []
     for name, (folder, pattern) in sources.items():
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            found.append(spark.createDataFrame([(name, folder, None)], FILES))
+        if not _there(spark, folder):
+            found.append(spark.createDataFrame([(name, folder, None, None)], FILES))
             continue
         listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-        found.append(listed.select(F.lit(name).alias("source"), "path", "length"))
+        scanned = listed.select(F.lit(name).alias("source"), "path", _path_key("_metadata.file_path").alias("file"), "length")
+        names = spark.createDataFrame([(f, unquote(f)) for f in listed.inputFiles()], "_f string, _p string")
+        names = names.select(_path_key("_f").alias("_f"), _path_key("_p").alias("_p"))
+        bare = names.join(scanned, F.col("_f") == F.col("file"), "left_anti").select(F.lit(name), "_p", "_f", F.lit(0).cast("long"))
+        found.append(scanned.union(bare))
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], FILES)
 
 
+def _counted(spark: SparkSession, files: DataFrame, sources: dict[str, tuple[str, str]], schema: T.StructType) -> DataFrame:
+    """The index of files in stores that only Spark opens: row counts by a scan of no column, which reads footers alone.
+
+    What gives no row is ``without rows``; whether it is broken or empty is not known.
+    """
+    counts = []
+    for name, (folder, pattern) in sources.items():
+        if _there(spark, folder):
+            reader = spark.read.schema(schema).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+            scan = reader.option("ignoreCorruptFiles", True).parquet(folder)
+            counts.append(scan.select(F.lit(name).alias("source"), _path_key("_metadata.file_path").alias("file")).groupBy("source", "file").agg(F.count("*").alias("n_rows")))
+    listed = files.where("length is not null")
+    found = listed.join(reduce(DataFrame.unionByName, counts), ["source", "file"], "left") if counts else listed.withColumn("n_rows", F.lit(None).cast("long"))
+    found = found.withColumn("reason", F.when(F.col("n_rows").isNull(), "without rows"))
+    return spark.createDataFrame([], FOOTER).unionByName(found, allowMissingColumns=True)
+
+
+def file_index(spark: SparkSession, sources: dict[str, tuple[str, str]], schema: T.StructType) -> DataFrame:
+    """One row per file of all sources, and per folder that is ``missing``, as ``footers`` describes it; staged."""
+    files = discover(spark, sources)
+    near = {n: s for n, s in sources.items() if known_store(_qualified(spark, s[0]))}
+    far = {n: s for n, s in sources.items() if n not in near}
+    parts = [files.where("length is null").withColumn("reason", F.lit("missing"))]
+    if near:
+        parts.append(footers(files.where(F.col("length").isNotNull() & F.col("source").isin(*near))))
+    if far:
+        parts.append(_counted(spark, files.where(F.col("source").isin(*far)), far, schema))
+    empty = spark.createDataFrame([], FOOTER)
+    return stage(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [empty, *parts]), "files")
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def _literal(path: str) -> str:
+    """A path in which no character stands for others."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
+
+
+def read_files(spark: SparkSession, index: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files of ``index`` that have no ``reason`` yet, and all others with theirs.
+
+    Rows come under standard names with ``source``, ``source_file`` (the name), ``source_path`` (the full path) and
+    ``source_row`` (the place in the file), read once and staged. A file that gives fewer rows than its footer has is
+    rejected whole, as ``incomplete``, or as ``unreadable`` if it gives none. The list of files goes through the driver, as
+    in every scan.
+    """
+    parts = []
+    for source, files in index.where("reason is null").groupBy("source").agg(F.collect_list("path")).collect():
+        rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*[_literal(p) for p in sorted(files)])
+        rows = rows.withColumns({
+            "source_file": F.col("_metadata.file_name"), "source_path": _path_key("_metadata.file_path"), "source_row": F.col("_metadata.row_index"),
+        })
+        parts.append(standard_names(rows).withColumn("source", F.lit(source)))
+    tags = [T.StructField(n, T.StringType()) for n in ("source_file", "source_path")]
+    plain = T.StructType([*schema.fields, *tags, T.StructField("source_row", T.LongType()), T.StructField("source", T.StringType())])
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else standard_names(spark.createDataFrame([], plain))
+    rows = stage(rows, "sources")
+    read = rows.groupBy("source", F.col("source_path").alias("file")).agg(F.count("*").alias("_read"))
+    seen = index.join(read, ["source", "file"], "left")
+    late = F.when(F.col("_read").isNull(), "unreadable").when(F.col("_read") < F.col("n_rows"), "incomplete")
+    seen = stage(seen.withColumn("reason", F.coalesce("reason", late)).drop("_read"), "files")
+    rejects = seen.where("reason is not null")
+    broken = rejects.where(F.col("reason").isin("incomplete")).select("source", F.col("file").alias("source_path"))
+    return join_small(rows, broken, ["source", "source_path"], "left_anti").select(*rows.columns), rejects
+
+
 def read_sources(
     spark: SparkSession, sources: dict[str, tuple[str, str]], schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of all Parquet files that can be read to their end, and the other files with the reason.
 
-    Rows come under standard names, tagged with ``source`` and ``source_file``. They are read once and staged, with a
-    verdict on every file, so that rows and rejects agree. Each file's rows are compared with the count in its footer, which
-    a scan of no column gives: with fewer the whole file is ``incomplete``, with none of them ``unreadable``. A file without
-    rows in its footer is looked at again, its two ends only: without the format's mark there it is ``unreadable``, else
-    ``empty``; folders that are not there are ``missing``.
+    Rows come under standard names, tagged with ``source`` and ``source_file``. The footers of all files are read first
+    (``file_index``): folders that are not there are ``missing``, files without a footer ``unreadable``, those without rows
+    ``empty``; none of these is opened again. The rest is read once (``read_files``).
     """
-    files = discover(spark, sources)
-    parts, footers, listed = [], [], []
-    for name, (folder, pattern) in sources.items():
-        if files.where((F.col("source") == name) & F.col("length").isNotNull()).isEmpty():
-            continue
-        reader = spark.read.schema(schema).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-        rows = reader.option("ignoreCorruptFiles", True).parquet(folder)
-        path = F.col("_metadata.file_path").alias("_path")
-        parts.append(
-            standard_names(rows.withColumns({"source_file": F.col("_metadata.file_name"), "_path": path})).withColumn("source", F.lit(name))
-        )
-        footers.append(rows.select(F.lit(name).alias("source"), path).groupBy("source", "_path").agg(F.count("*").alias("_rows")))
-        content = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-        ends = F.concat(F.substring("content", 1, 4), F.substring(F.col("content"), -4, 4))
-        # a larger file cannot be one value, and one without rows is not that large
-        small = content.where(F.col("length") < 2**31 - 1)
-        marks = small.select(F.lit(name).alias("source"), path, (ends == F.lit(b"PAR1PAR1")).alias("_whole"))
-        listed.append(content.select(F.lit(name).alias("source"), "path", path).join(marks, ["source", "_path"], "left"))
-    plain = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in ("source_file", "_path", "source")]])
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else standard_names(spark.createDataFrame([], plain))
-    rows = stage(rows, "sources")
-    rejects = files.where("length is null").select("source", "path", F.lit(None).cast("string").alias("_path"), F.lit("missing").alias("reason"))
-    if listed:
-        read = rows.groupBy("source", "_path").agg(F.count("*").alias("_read"))
-        found = reduce(DataFrame.unionByName, listed).join(read, ["source", "_path"], "left")
-        found = found.join(reduce(DataFrame.unionByName, footers), ["source", "_path"], "left")
-        reason = F.when(F.col("_read") == F.col("_rows"), None).when(F.col("_read") > 0, "incomplete")
-        reason = reason.when(F.col("_rows").isNull() & F.col("_read").isNull() & F.col("_whole"), "empty").otherwise("unreadable")
-        rejects = rejects.unionByName(found.select("source", "path", "_path", reason.alias("reason")).where("reason is not null"))
-    rejects = stage(rejects, "rejects")
-    return rows.join(rejects, ["source", "_path"], "left_anti").select(*[c for c in rows.columns if c != "_path"]), rejects.drop("_path")
+    rows, rejects = read_files(spark, file_index(spark, sources, schema), schema)
+    return rows.drop("source_path", "source_row"), rejects.select("source", "path", "reason")
 
 
 def session_rows(table: DataFrame, year: int, event: str) -> DataFrame:
