@@ -176,8 +176,7 @@ def win_sector_rank(spark, sf):
         AND b.Sector = r.Sector AND b.Position = r.Position + 1""",
 )
 def join_sector_neighbours(spark, sf):
-    ranked = N.sector_rank(N.sector_laps(role(spark, sf, "laps")))
-    return N.sector_neighbours(ranked).drop("SectorSessionTime", "HalfSecondTimestamp")
+    return N.sector_neighbours(N.sector_laps(role(spark, sf, "laps"))).drop("SectorSessionTime", "HalfSecondTimestamp")
 
 
 @query(

@@ -285,6 +285,28 @@ class OrderedGroups:
         done = self.running(sums={name: F.lit(1).cast("long")})
         return done._with(done.df.withColumn(name, F.col(name).cast("int")))
 
+    def ranked(self, rank: str, size: str) -> OrderedGroups:
+        """Add the rank by the first of ``order`` (equal values share the mean of theirs) and how many rows share the value.
+
+        Peers may lie in several blocks: where a value begins, where the next one does and where the group ends are carried
+        over. Rows without a value have neither. Equal rows are told apart here, so ``order`` need not be unique.
+        """
+        v = F.col(self.order[0])
+        # both directions of a window must see equal rows in one order
+        g = self._with(self.df.withColumn("_row", F.monotonically_increasing_id()))
+        g.order = [*self.order, "_row"]
+        g = g.frames({"_before": lambda w: F.lag(v).over(w), "_after": lambda w: F.lead(F.lit(1)).over(w)}, before=1, after=1)
+        g = g.running(sums={"_at": v.isNotNull().cast("long")})
+        begins = F.when(v.isNotNull() & ~F.coalesce(v == F.col("_before"), F.lit(False)), F.col("_at"))
+        g = g.running(lasts={"_first": begins}, nexts={"_all": F.when(F.col("_after").isNull(), F.col("_at"))})
+        g = g.running(nexts={"_beyond": begins}, own=False)
+        n = F.coalesce(F.col("_beyond"), F.col("_all") + 1) - F.col("_first")
+        g = g.add({size: F.when(v.isNotNull(), n)})
+        g = g.add({rank: F.when(v.isNotNull(), F.col("_first") + (F.col(size) - 1) / 2)})
+        g = g._with(g.df.drop("_before", "_after", "_at", "_first", "_all", "_beyond", "_row"))
+        g.order = self.order
+        return g
+
     def regroup(self, keys: list[str], order: list[str]) -> OrderedGroups:
         """The same rows in other groups.
 

@@ -203,15 +203,8 @@ def sector_laps(laps: DataFrame, sectors: int = 3) -> DataFrame:
 
 
 def average_rank(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Ascending rank inside the group; equal values share the mean of their ranks.
-
-    Ranks come from running counts of the distinct values, joined back by value.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    g = OrderedGroups(counts, keys, [value]).running(sums={"_upto": F.col("_n")})
-    n, upto = F.col("_n"), F.col("_upto")
-    ranks = g.result().select(*keys, value, (upto - n + (n + 1) / 2).alias(name))
-    return df.join(ranks, [*keys, value], "left")
+    """Ascending rank inside the group; equal values share the mean of their ranks."""
+    return OrderedGroups(df, keys, [value]).ranked(name, "_peers").result().drop("_peers")
 
 
 SECTOR = [*RACE, "LapNumber", "Sector"]
@@ -221,23 +214,32 @@ def sector_rank(sectors: DataFrame) -> DataFrame:
     return average_rank(sectors, SECTOR, "SectorTime", "Position")
 
 
-def sector_neighbours(ranked: DataFrame) -> DataFrame:
-    """Cars one rank ahead and behind in the same sector of the same lap, with time deltas."""
-    halves = ranked.withColumn("_place", (F.col("Position") * 2).cast("long"))
-    near = place_neighbours(halves, SECTOR, "_place", ["DriverNumber", "SectorTime"], step=2)
+def sector_neighbours(sectors: DataFrame) -> DataFrame:
+    """Rank in the sector of a lap, and the cars one rank ahead and behind with time deltas, in one ordered pass.
+
+    Ranks are means over cars with equal times, so two cars are one rank apart only if neither shares its time.
+    """
+    g = OrderedGroups(sectors, SECTOR, ["SectorTime", "DriverNumber"]).ranked("Position", "_peers")
+    car = F.struct("DriverNumber", "SectorTime", "_peers")
+    g = g.frames({"_ahead": lambda w: F.lag(car).over(w), "_behind": lambda w: F.lead(car).over(w)}, before=1, after=1)
+
+    def near(side: str, field: str) -> Column:
+        alone = (F.col("_peers") == 1) & (F.col(f"{side}._peers") == 1)
+        return F.when(alone, F.col(f"{side}.{field}"))
+
     own = F.col("SectorTime")
     return (
-        halves.join(near, [*SECTOR, "_place"], "left")
+        g.result()
         .withColumns(
             {
-                "DriverAhead": F.col("ahead.DriverNumber"),
-                "TimeAhead": F.col("ahead.SectorTime"),
-                "DriverBehind": F.col("behind.DriverNumber"),
-                "TimeBehind": F.col("behind.SectorTime"),
-                "DeltaToAhead": own - F.col("ahead.SectorTime"),
-                "DeltaToBehind": own - F.col("behind.SectorTime"),
+                "DriverAhead": near("_ahead", "DriverNumber"),
+                "TimeAhead": near("_ahead", "SectorTime"),
+                "DriverBehind": near("_behind", "DriverNumber"),
+                "TimeBehind": near("_behind", "SectorTime"),
+                "DeltaToAhead": own - near("_ahead", "SectorTime"),
+                "DeltaToBehind": own - near("_behind", "SectorTime"),
                 "HalfSecondTimestamp": floor_half_second("SectorSessionTime"),
             }
         )
-        .drop("_place", "ahead", "behind")
+        .drop("_peers", "_ahead", "_behind")
     )

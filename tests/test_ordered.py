@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stintlake.functions import ordered
 from stintlake.functions.ordered import OrderedGroups, SplitPolicy, with_group_stats
+from stintlake.operators.neighbours import sector_neighbours
 
 PLAIN = SplitPolicy(max_rows=10**9)
 
@@ -89,3 +90,29 @@ def test_groups_looked_at_once(spark, monkeypatch):
         OrderedGroups(df, ["v"], ["t"])
     OrderedGroups(df, ["k"], ["t"])
     assert looks == [("k",), ("v",), ("k",)]
+
+
+@pytest.mark.parametrize("max_rows", [6, 40, 10**9])
+def test_ranks_and_peers_across_blocks(spark, max_rows):
+    # many equal values, equal rows among them, missing values, groups of one
+    df = spark.range(300).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 7 != 0, (F.col("id") * 13 % 10).cast("double")).alias("v"))
+    df = df.unionByName(spark.createDataFrame([(9, 1.0), (8, None)], "k long, v double"))
+    got = OrderedGroups(df, ["k"], ["v"], SplitPolicy(max_rows=max_rows, sample_every=1)).ranked("r", "n").result()
+    values = {}
+    for row in df.collect():
+        values.setdefault(row.k, []).append(row.v)
+    want = []
+    for k, vs in values.items():
+        for v in vs:
+            known = [x for x in vs if x is not None]
+            same = known.count(v) if v is not None else None
+            want.append((k, v, sum(x < v for x in known) + (same + 1) / 2 if same else None, same))
+    assert sorted(map(repr, want)) == sorted(repr((r.k, r.v, r.r, r.n)) for r in got.collect())
+
+
+def test_sector_neighbours_in_one_exchange(spark):
+    rows = [(n, lap, s, float(n * 7 % 5)) for n in range(9) for lap in (1, 2) for s in (1, 2)]
+    df = spark.createDataFrame(rows, "DriverNumber long, LapNumber int, Sector int, SectorTime double")
+    df = df.withColumns({"Year": F.lit(2023), "GranPrix": F.lit("G"), "SectorSessionTime": F.lit(1.0)})
+    plan = sector_neighbours(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
