@@ -1,17 +1,24 @@
 """Sources, sinks, calendars, ingestion and the baseline model: written, read back, compared."""
 
 import uuid
+from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stintlake.catalog.feature_queries import SEQ_ALL, SPLIT_SQL
 from stintlake.catalog.quality_queries import FILE_SQL, file_name
-from stintlake.catalog.registry import query
+from stintlake.catalog.registry import R as r6_sql
+from stintlake.catalog.registry import query, r6
 from stintlake.catalog.roles import role, table
+from stintlake.operators import features as X
+from stintlake.operators import metrics as ME
 from stintlake.operators import mldata as M
 from stintlake.operators import neighbours as N
 from stintlake.operators import stints as S
-from stintlake.plans import tyre_model, unify
-from stintlake.session import staging_dir
+from stintlake.plans import lap_dataset, learning_store, tyre_model, unify
+from stintlake.session import stage, staging_dir
 from stintlake.sources import calendar as C
 from stintlake.sources import incremental as I
 from stintlake.sources import readers as R
@@ -402,3 +409,118 @@ def ml_score(spark, sf):
     return both.select(
         "asked", "GlobalLapID", F.col("prob").between(0, 1).alias("in_range"), (F.abs(F.col("prob") - F.col("live")) < 1e-12).alias("alike")
     )
+
+
+# -- two heads, saved and loaded ---------------------------------------------
+
+_saved: dict[tuple[str, str], str] = {}
+
+
+def _heads(spark, sf):
+    """Both heads fitted on the training seasons, saved once a session, and loaded."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _saved:
+        path, train = _new(spark, "heads"), M.split_years(role(spark, sf, "targeted")).where("split = 'train'")
+        tyre_model.train_heads(train, SEQ_ALL).save(path)
+        _saved[key] = path
+    return PipelineModel.load(_saved[key])
+
+
+@query(
+    "ml_two_heads",
+    f"""{SPLIT_SQL}, t AS (SELECT * FROM split WHERE split = 'train')
+    SELECT 'change' AS head, 'weighted' AS name, 0.5::DOUBLE AS share
+    UNION ALL SELECT 'type', next_tire_type, round(count(*)::DOUBLE / sum(count(*)) OVER (), 3) FROM t
+    WHERE tire_change_next_lap = 1 AND next_tire_type IN (SELECT Compound FROM t) GROUP BY next_tire_type""",
+    ("targeted",),
+)
+def ml_two_heads(spark, sf):
+    """Mean probabilities of the loaded model on its training laps: with classes weighed alike one half, by compound its share."""
+    model, split = _heads(spark, sf), M.split_years(role(spark, sf, "targeted"))
+    scored = stage(tyre_model.score_heads(model, split.where("split = 'train'")), "scored")
+    target = tyre_model.TARGET
+    weights = M.class_weights(scored, target).select(F.col("class").alias(target), "weight")
+    mean = (F.sum(F.col("prob") * F.col("weight")) / F.sum("weight")).alias("share")
+    change = scored.join(F.broadcast(weights), target).agg(mean)  # two rows
+    codes = tyre_model.compounds(model)
+    learnt = scored.where(F.col(target) == 1).join(codes, F.col("next_tire_type") == F.col("value"), "left_semi")
+    kinds = learnt.select(F.posexplode("type_probs").alias("code", "p")).groupBy("code").agg(F.avg("p").alias("share"))
+    kinds = kinds.join(codes, "code").select(F.lit("type").alias("head"), F.col("value").alias("name"), "share")
+    both = change.select(F.lit("change").alias("head"), F.lit("weighted").alias("name"), "share").unionByName(kinds)
+    return both.withColumn("share", F.round("share", 3)).where("share > 0")
+
+
+@query(
+    "ml_model_report",
+    f"""{SPLIT_SQL} SELECT split, count(*) FILTER (tire_change_next_lap = 1) AS changes, count(*) FILTER (tire_change_next_lap = 0) AS others,
+        true AS rates_in_range, true AS area_in_range, count(DISTINCT next_tire_type) FILTER (tire_change_next_lap = 1
+            AND next_tire_type IN (SELECT Compound FROM split WHERE split = 'train')) AS types_reported
+    FROM split WHERE split <> 'train' GROUP BY split""",
+    ("targeted",),
+)
+def ml_model_report(spark, sf):
+    """Confusion, area and report by compound of the loaded model on the seasons it has not seen."""
+    model, split = _heads(spark, sf), M.split_years(role(spark, sf, "targeted"))
+    scored = stage(tyre_model.score_heads(model, split.where("split <> 'train'")), "scored")
+    codes = tyre_model.compounds(model).select(F.col("value").alias("next_tire_type"), F.col("code").alias("type_true"))
+    parts = []
+    for name in ("val", "test"):
+        rows = scored.where(F.col("split") == name).withColumn("y", F.col(tyre_model.TARGET))
+        seen = rows.where("y = 1").join(codes, "next_tire_type")
+        counted = ME.confusion(rows).select((F.col("tp") + F.col("fn")).alias("changes"), (F.col("tn") + F.col("fp")).alias("others"), "recall", "precision")
+        area = ME.roc_auc(rows).select(F.col("roc_auc").alias("_area")).scalar()
+        report = ME.type_report(seen).where("support > 0").agg(F.count("*").alias("n")).scalar()
+        in_range = F.col("recall").between(0, 1) & F.col("precision").between(0, 1)
+        parts.append(
+            counted.select(
+                F.lit(name).alias("split"), "changes", "others", in_range.alias("rates_in_range"), area.between(0, 1).alias("area_in_range"), report.alias("types_reported")
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+@query("ml_score_requests")
+def ml_score_requests(spark, sf):
+    """Raw laps by season through the loaded model for requests that the results table makes: a driver, a circuit, or both."""
+    path = _new(spark, "seasons")
+    W.write_consolidated(role(spark, sf, "targeted"), path)
+    cars = role(spark, sf, "laps").where("Year = 2024").select("Year", "Driver", "Location").distinct()
+    one = F.col("Driver").isin("D6", "D13", "D27")
+    asked = cars.select(
+        F.xxhash64("Year", "Driver", "Location").alias("request_id"), "Year", F.when(one, F.col("Driver")).alias("Driver"), F.when(~one, F.col("Location")).alias("Location")
+    )
+    return tyre_model.score_requests(_heads(spark, sf), spark.read.parquet(path), asked.dropDuplicates(["Year", "Driver", "Location"])).drop("type_probs")
+
+
+# -- learning data in buckets --------------------------------------------------
+
+_STORED = ["LapTime", "TyreLife", "TrackTemp"]
+
+
+def _stored_sql() -> str:
+    def scaled(c):
+        q = [f"(SELECT quantile_cont(CAST({c} AS DOUBLE), {p}) FROM split WHERE split = 'train')" for p in (0.25, 0.5, 0.75)]
+        return f"CAST(({c} - {q[1]}) / CASE WHEN {q[2]} = {q[0]} THEN 1 ELSE {q[2]} - {q[0]} END AS FLOAT) AS {c}"
+
+    codes = """codes AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code
+        FROM (SELECT DISTINCT coalesce(Compound, 'nan') AS value FROM split WHERE split = 'train' UNION SELECT 'NO_CHANGE'))"""
+    names = [*_STORED, "Compound_encoded"]
+    return f"""{SPLIT_SQL}, {codes}, n AS (SELECT split, DriverRaceID, LapNumber, tire_change_next_lap, {", ".join(scaled(c) for c in _STORED)},
+        CAST(k.code AS FLOAT) AS Compound_encoded, y.code AS y_type, row_number() OVER (PARTITION BY DriverRaceID ORDER BY LapNumber) AS i
+        FROM split LEFT JOIN codes k ON k.value = coalesce(Compound, 'nan') LEFT JOIN codes y ON y.value = coalesce(next_tire_type, 'nan'))
+    SELECT e.split, e.DriverRaceID, e.LapNumber, CAST(s.i - e.i + 9 AS INTEGER) AS step, {", ".join(r6_sql(f"s.{c}") + f" AS {c}" for c in names)},
+        e.tire_change_next_lap AS y_change, e.y_type
+    FROM n e JOIN n s ON s.DriverRaceID = e.DriverRaceID AND s.i BETWEEN e.i - 9 AND e.i WHERE e.i >= 10"""
+
+
+@query("sink_split_sequences", _stored_sql(), ("targeted",))
+def sink_split_sequences(spark, sf):
+    """Splits, codes, quartiles and features written in buckets of the car; sequences made of what is read back."""
+    path = _new(spark, "learning")
+    learning_store.save(lap_dataset.prepare(X.compound_strategy(role(spark, sf, "targeted"))), path, buckets=8)
+    stored, parts = learning_store.load(spark, path), []
+    for split in learning_store.SPLITS:
+        rows = stored.made_sequences(split).select(F.lit(split).alias("split"), "*", F.posexplode("X").alias("step", "row"))
+        cols = [r6(F.get("row", F.lit(stored.features.index(c)))).alias(c) for c in [*_STORED, "Compound_encoded"]]
+        parts.append(rows.select("split", "DriverRaceID", "LapNumber", "step", *cols, "y_change", "y_type"))
+    return reduce(DataFrame.unionByName, parts)

@@ -60,8 +60,8 @@ def column_quantiles(
 
     A sketch pass brackets every quantile, a second pass counts what lies below
     the bracket and ranks only the rows inside it, so all but a sliver of the
-    table is read and dropped. A bracket that misses its rank stops the job
-    rather than give a wrong value.
+    table is read and dropped. A bracket that misses its rank by more than the
+    value next to it stops the job rather than give a wrong value.
     """
     names = [f"q{i}" for i in range(len(quantiles))]
     margin = 4.0 / accuracy
@@ -85,6 +85,8 @@ def column_quantiles(
             for j, c in enumerate(cols)
             for i in range(len(quantiles))
         ],
+        *[F.max(F.when(F.col(c) < F.get(ranges[j], F.lit(2 * i)), F.col(c))).alias(f"_under_{j}_{i}") for j, c in enumerate(cols) for i in range(len(quantiles))],
+        *[F.min(F.when(F.col(c) > F.get(ranges[j], F.lit(2 * i + 1)), F.col(c))).alias(f"_over_{j}_{i}") for j, c in enumerate(cols) for i in range(len(quantiles))],
     ).select(
         F.explode(
             F.array(
@@ -94,6 +96,8 @@ def column_quantiles(
                         F.lit(i).alias("_i"),
                         F.col(f"_size_{j}").alias("_size"),
                         F.col(f"_below_{j}_{i}").alias("_below"),
+                        F.col(f"_under_{j}_{i}").alias("_under"),
+                        F.col(f"_over_{j}_{i}").alias("_over"),
                     )
                     for j, c in enumerate(cols)
                     for i in range(len(quantiles))
@@ -126,13 +130,18 @@ def column_quantiles(
 
     found = (
         below.join(ranked, ["column", "_i"], "left")
-        .groupBy("column", "_i", "_size")
+        .groupBy("column", "_i", "_size", "_below", "_under", "_over")
         .agg(
             at(F.floor(target)).alias("_lo"),
             at(F.ceil(target)).alias("_hi"),
-            F.max(target - F.floor(target)).alias("_part"),
+            F.coalesce(F.max(upto), F.col("_below")).alias("_top"),
         )
+        .withColumn("_part", target - F.floor(target))
     )
+    # in a short column the bracket may be a single value, and one of the two ranks the value next to it
+    for end, rank in (("_lo", F.floor(target)), ("_hi", F.ceil(target))):
+        beside = F.when(rank == F.col("_top"), F.col("_over")).when(rank == F.col("_below") - 1, F.col("_under"))
+        found = found.withColumn(end, F.coalesce(F.col(end), beside))
     value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")
     checked = F.when(
         (F.col("_size") > 0) & (F.col("_lo").isNull() | F.col("_hi").isNull()),

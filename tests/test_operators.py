@@ -210,6 +210,15 @@ def test_quantiles(spark):
     assert [got.q0, got.q1, got.q2] == exact
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 482, 483, 484, 485])
+def test_quantiles_of_short_columns(spark, n):
+    df = spark.range(n).select(((F.col("id") * 7919) % 100_003).cast("double").alias("v"))
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    exact = df.agg(F.percentile("v", probs).alias("p")).first().p
+    got = column_quantiles(df, ["v"], probs).first()
+    assert [got[f"q{i}"] for i in range(len(probs))] == pytest.approx(exact)
+
+
 def test_constant_column_is_only_centred(spark):
     df = spark.createDataFrame([(5.0,), (5.0,), (5.0,)], "v double")
     assert [r.v for r in ML.robust_scale(df, ["v"], ML.robust_fit(df, ["v"])).collect()] == [0.0] * 3
