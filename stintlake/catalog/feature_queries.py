@@ -492,6 +492,18 @@ def agg_tensor_profile(spark, sf):
     )
 
 
+@query(
+    "agg_tensor_profile_whole",
+    f"""{SEQ_SQL}, v AS (SELECT CAST([LapTime, TyreLife, TrackTemp, Position][k] AS DOUBLE) AS x FROM seq, (SELECT unnest([1, 2, 3, 4]) AS k))
+    SELECT count(*) FILTER (isnan(x)) AS n_nan, count(*) FILTER (isinf(x)) AS n_inf, min(x) AS min, max(x) AS max,
+        {R("avg(x)")} AS mean, {R("stddev_pop(x)")} AS std FROM v""",
+    ("targeted",),
+)
+def agg_tensor_profile_whole(spark, sf):
+    """All figures of the tensor of all sequences: what is not a number, the ends, mean and deviation."""
+    return M.tensor_profile(sequences(spark, sf)).withColumns({c: r6(c) for c in ("mean", "std")})
+
+
 def broken_sequences(spark, sf, drop=False):
     """Sequences with not-a-number and infinite values put in by lap, or nulls there with ``drop``."""
     lap = F.col("LapNumber") % 11

@@ -1,11 +1,15 @@
 """Profiles, validation, duplicates, quarantine."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stintlake.catalog.registry import R, query, r6
 from stintlake.catalog.roles import role, table
 from stintlake.operators import laps as L
 from stintlake.operators import quality as Q
+from stintlake.operators import summaries as SU
+from stintlake.session import staging_dir
 
 
 
@@ -226,6 +230,34 @@ def agg_consolidation(spark, sf):
     return Q.consolidation_stats(filed(spark, sf), failed=failed)
 
 
+@query(
+    "agg_consolidation_merged",
+    f"""{FILED} SELECT count(DISTINCT file) AS files, count(*) AS rows,
+        CAST(sum(CAST(Position IS NULL AS INTEGER) + CAST(LapTime IS NULL AS INTEGER)) AS BIGINT) AS missing_values,
+        count(*) FILTER (LapNumber <= 1) AS first_laps, (SELECT string_agg(y, ',' ORDER BY y) FROM (SELECT DISTINCT CAST(Year AS VARCHAR) AS y FROM f)) AS years,
+        (SELECT string_agg(e, ',' ORDER BY e) FROM (SELECT DISTINCT GranPrix AS e FROM f ORDER BY e LIMIT 10)) AS events,
+        (SELECT count(DISTINCT GranPrix) > 10 FROM f) AS more_events, true AS drivers_near, true AS races_near FROM f""",
+)
+def agg_consolidation_merged(spark, sf):
+    """Figures of all files, merged from the summaries that two runs stored; estimates within four standard errors."""
+    path, files = f"{staging_dir(spark)}/summaries-{uuid.uuid4().hex}", filed(spark, sf)
+    rules = {"first_laps": F.col("LapNumber") <= 1}
+    for run, part in enumerate(("Year < 2021", "Year >= 2020")):  # the second run sums a season up again
+        SU.store(SU.file_summaries(files.where(part), bad=rules, run=run, most=10), path)
+    found = SU.merged(SU.stored(spark, path), most=10)
+    exact = files.agg(F.struct(F.count_distinct("DriverID").alias("d"), F.count_distinct("Year", "GranPrix").alias("r")).alias("e")).scalar()
+
+    def near(estimate, count):
+        return F.abs(F.col(estimate) - count) <= F.greatest(F.lit(0.5), 4 * SU.relative_error() * count)
+
+    text = F.array_join(F.transform("set_Year", lambda y: y.cast("string")), ",")
+    return found.select(
+        "files", "rows", "missing_values", F.col("bad_first_laps").alias("first_laps"), text.alias("years"),
+        F.array_join("set_GranPrix", ",").alias("events"), F.col("more_GranPrix").alias("more_events"),
+        near("DriverID", exact["d"]).alias("drivers_near"), near("Year_GranPrix", exact["r"]).alias("races_near"),
+    )
+
+
 DEDUPE = ["Year", "GranPrix", "Driver", "Compound"]
 
 

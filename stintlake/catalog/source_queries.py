@@ -12,6 +12,7 @@ from stintlake.catalog.quality_queries import FILE_SQL, file_name
 from stintlake.catalog.registry import R as r6_sql
 from stintlake.catalog.registry import query, r6
 from stintlake.catalog.roles import role, table
+from stintlake.functions.joins import join_small
 from stintlake.operators import features as X
 from stintlake.operators import metrics as ME
 from stintlake.operators import mldata as M
@@ -83,6 +84,37 @@ def src_laps_weather(spark, sf):
     return R.session_rows(spark.read.parquet(path), 2020, "Grand Prix 2").select("event_id", "LapNumber")
 
 
+@query(
+    "src_session",
+    """SELECT 'laps' AS source, event_id, LapNumber, Time, CAST(NULL AS DOUBLE) AS AirTemp FROM laps WHERE Year = 2020 AND GranPrix = 'Grand Prix 2'
+    UNION ALL SELECT 'weather', event_id, NULL, Time, AirTemp FROM weather WHERE Year = 2020 AND GranPrix = 'Grand Prix 2'""",
+    ("laps", "weather"),
+)
+def src_session(spark, sf):
+    """A session's laps and weather, landed as two tables and read together."""
+    paths = {}
+    for name in ("laps", "weather"):
+        paths[name] = _new(spark, name)
+        W.write_consolidated(role(spark, sf, name), paths[name])
+    session = R.read_session(spark, paths, 2020, "Grand Prix 2")
+    columns = ["event_id", "LapNumber", "Time", "AirTemp"]
+    return R.union_sources({n: df.select(*[c for c in columns if c in df.columns]) for n, df in session.items()}).select("source", *columns)
+
+
+@query(
+    "src_roster_map",
+    """SELECT Year, Abbreviation AS Driver, count(*) AS races FROM results WHERE Year IN (2019, 2020)
+        AND Abbreviation IN ('D1', 'D2', 'D8', 'D9', 'D15', 'D16') AND (Year = 2019 OR Abbreviation <> 'D1') GROUP BY ALL""",
+    ("results",),
+)
+def src_roster_map(spark, sf):
+    """Races of the drivers that a fixed roster names for their season."""
+    six = ["D1", "D2", "D8", "D9", "D15", "D16"]
+    fixed = C.roster_from_map(spark, {2019: six, 2020: six[1:]})
+    results = role(spark, sf, "results").select("Year", F.col("Abbreviation").alias("Driver"))
+    return join_small(results, fixed, ["Year", "Driver"], "left_semi").groupBy("Year", "Driver").agg(F.count("*").alias("races"))
+
+
 @query("src_schedule", "SELECT * FROM schedule WHERE EventFormat = 'conventional'", ("schedule",))
 def src_schedule(spark, sf):
     return C.conventional(role(spark, sf, "schedule"))
@@ -258,6 +290,42 @@ def src_incremental_progress(spark, sf):
     return I.progress(races, I.read_manifest(spark, path)).withColumn("pct", F.round("pct", 6))
 
 
+_CORRECTED = f"""n AS (SELECT {LAP_LIST} FROM laps),
+    c AS (SELECT * REPLACE (LapTime + CASE WHEN RoundNumber = 2 THEN 1 ELSE 0 END AS LapTime) FROM n WHERE RoundNumber <> 2 OR LapNumber > 1)"""
+
+
+def _corrected(rows):
+    """Round 2 as it is extracted again: a second more a lap, and the first lap gone."""
+    again = rows.where("RoundNumber = 2 and LapNumber > 1")
+    return again.withColumn("LapTime", F.col("LapTime") + 1)
+
+
+@query(
+    "src_incremental_corrected",
+    f"{_CORRECTED} SELECT c.*, count(*) OVER (PARTITION BY Year, RoundNumber) AS noted, CAST(0 AS BIGINT) AS still_to_do FROM c",
+)
+def src_incremental_corrected(spark, sf):
+    """All races land; round 2 lands again, corrected, with a failure between its rows and its lines in the manifest."""
+    target, manifest, rows = _new(spark, "landed"), _new(spark, "manifest"), _laps(spark, sf)
+    I.land_races(rows, target, manifest)
+    I.overwrite_races(_corrected(rows), target)  # and then the job is lost
+    I.land_changed(_corrected(rows), target, manifest)
+    left = I.changed(_corrected(rows), I.read_landed(spark, manifest)).agg(F.count("*").alias("n"))
+    noted = I.read_landed(spark, manifest).select("Year", "RoundNumber", F.col("n_rows").alias("noted"))
+    return spark.read.parquet(target).select(*LAP_COLUMNS).join(noted, ["Year", "RoundNumber"]).withColumn("still_to_do", left.scalar())
+
+
+@query("src_incremental_corrected_stream", f"{_CORRECTED} SELECT * FROM c")
+def src_incremental_corrected_stream(spark, sf):
+    """Race files taken up by a streaming run, then corrected files by a second one that resumes at its checkpoint."""
+    rows = _laps(spark, sf)
+    landing, target, manifest, checkpoint = (_new(spark, n) for n in ("landing", "target", "manifest", "checkpoint"))
+    for part in (rows, _corrected(rows)):
+        part.hint("rebalance", "Year", "RoundNumber").sortWithinPartitions("Year", "RoundNumber").coalesce(1).write.mode("append").parquet(landing)
+        ingest.ingest_corrected(spark, landing, rows.schema, target, manifest, checkpoint).awaitTermination()
+    return spark.read.parquet(target).select(*LAP_COLUMNS)
+
+
 @query("src_incremental_stream", f"SELECT {LAP_LIST}, {FILE_SQL} AS race_file FROM laps")
 def src_incremental_stream(spark, sf):
     """Race files of the first seasons, then of all others, each taken up once by a streaming run."""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.functions.joins import join_small
+from stintlake.session import stage
 
 
 def join_circuit(
@@ -37,11 +38,10 @@ def join_circuit(
     fold = F.lower if ignore_case else F.col
     near = circuits.select(fold("Location").alias("_name"), F.col(length).alias("_len"), "file_order")
     asked = missing.select("_place", fold("_place").alias("_name"))
-    # "contains" as an equi-join: one side's name is among the other side's substrings
-    inside = asked.join(near.withColumn("_name", F.explode(substrings("_name"))), "_name")
-    around = asked.withColumn("_name", F.explode(substrings("_name"))).join(near, "_name")
+    inside = containing(asked, near.withColumnsRenamed({"_name": "_whole"}), "_name", "_whole")
+    around = containing(near, asked.withColumnsRenamed({"_name": "_whole"}), "_name", "_whole")
     matched = (
-        inside.unionByName(around).groupBy("_place").agg(F.min_by("_len", "file_order").alias(length))
+        inside.select("_place", "_len", "file_order").unionByName(around.select("_place", "_len", "file_order")).groupBy("_place").agg(F.min_by("_len", "file_order").alias(length))
     )
     known = places.join(exact, F.col("_place") == F.col("_loc")).select(
         "_place", F.col("_exact").alias(length)
@@ -50,14 +50,32 @@ def join_circuit(
     return join_small(laps, lengths, F.col(location) == F.col("_place")).drop("_place")
 
 
-def substrings(name: str) -> Column:
-    """All distinct substrings of a short name, the empty one among them."""
-    size = F.length(name)
-    starts = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-    cut = F.flatten(
-        F.transform(
-            starts,
-            lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(name, i, n)),
-        )
-    )
-    return F.array_union(F.array(F.lit("")), cut)
+#: Characters of the longest gram of the index.
+GRAM = 3
+
+
+def grams(name: str, size: Column | int) -> Column:
+    """The distinct runs of ``size`` characters of a name; the empty one for a size of 0."""
+    size = F.lit(size) if isinstance(size, int) else size
+    starts = F.when(F.length(name) >= size, F.sequence(F.lit(1), F.length(name) - size + 1))
+    cut = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(name), i, size)))
+    return F.when(size == 0, F.array(F.lit(""))).otherwise(F.coalesce(cut, F.array().cast("array<string>")))
+
+
+def containing(parts: DataFrame, wholes: DataFrame, part: str, whole: str) -> DataFrame:
+    """Every pair of a row of ``parts`` and a row of ``wholes`` whose name contains the part's, with the columns of both.
+
+    An inverted index of the wholes' runs of up to ``GRAM`` characters: a part, whatever its length, is looked up by the
+    rarest of its own runs, and what is found there is verified. The index grows with the length of the names, not with
+    its square.
+    """
+    index = wholes.where(F.col(whole).isNotNull()).withColumn("_gram", F.explode(F.flatten(F.array(*[grams(whole, n) for n in range(GRAM + 1)]))))
+    index = stage(index, "grams")
+    often = index.groupBy("_gram").agg(F.count("*").alias("_often"))
+    asked = parts.where(F.col(part).isNotNull()).select(F.col(part).alias("_part")).distinct()
+    own = asked.withColumn("_gram", F.explode(grams("_part", F.least(F.length("_part"), F.lit(GRAM)))))
+    # a run that no whole has rules the part out, so it counts as the rarest
+    rarest = own.join(often, "_gram", "left").groupBy("_part").agg(F.min(F.struct(F.coalesce("_often", F.lit(0)).alias("n"), "_gram")).alias("_r"))
+    looked = rarest.where("_r.n > 0").select("_part", F.col("_r._gram").alias("_gram"))
+    met = looked.join(index, "_gram").where(F.contains(F.col(whole), F.col("_part"))).drop("_gram")
+    return parts.join(met, parts[part] == met["_part"]).drop("_part")

@@ -250,6 +250,11 @@ def session_rows(table: DataFrame, year: int, event: str) -> DataFrame:
     return table.where((F.col("Year") == year) & (F.col("GranPrix") == event))
 
 
+def read_session(spark: SparkSession, paths: dict[str, str], year: int, event: str) -> dict[str, DataFrame]:
+    """One session of several landed tables, such as its laps and its weather, under their names."""
+    return {name: session_rows(spark.read.parquet(path), year, event) for name, path in paths.items()}
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files, with the columns their folders are named by."""
     return spark.read.option("lineSep", "\n").text(path)
