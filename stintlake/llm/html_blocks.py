@@ -1,9 +1,9 @@
 """Main text of web pages from flat text blocks, classified by a decision tree.
 
 A page is cut into blocks of text at block-level tags. A block is described by its word count and link density, those of
-the blocks before and after it, and by two marks of where it stands: inside an article, and inside a part whose tag or
-names speak of something else (menu, advert, notice, comments, ...). A small decision tree, grown on the labelled table
-below, says which blocks are main text.
+the blocks before and after it, and by marks of where it stands: inside an article, inside a part whose tag or names
+speak of something else (menu, advert, notice, comments, ...), and inside one whose names speak of both ("post-share",
+"footer-content"). A small decision tree, grown on the labelled table below, says which blocks are main text.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ from stintlake.llm.common import small_batches
 
 # Element names of HTML.
 SILENT = "script style noscript template svg math head title textarea select option button iframe object video audio canvas map".split()
-RAW = "script style noscript template svg math textarea iframe object title".split()
+RAW = "script style noscript template svg math textarea iframe object title select option button video audio canvas map".split()
+# Those that take up room in a line of text.
+BOXES = "svg math textarea select button iframe object video audio canvas".split()
 INLINE = (
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label link mark meta q rp rt ruby s samp "
     "small source span strike strong sub sup time tt u var wbr"
@@ -46,6 +48,9 @@ ASIDE_NAMES = set(
     "related search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toolbar "
     "topbar tooltip tracking warning widget widgets complementary contentinfo".split()
 )
+# Words that name main text, and such as say that a part has or lacks another.
+CONTENT_NAMES = set("article articles body content contents copy entry essay main news page post posts story text".split())
+ABOUT_NAMES = set("has have no not with without hide show".split())
 COMMENT_NAMES = set("comment comments commentlist discussion disqus replies reply respond responses".split())
 
 _TOKEN = re.compile(
@@ -54,12 +59,17 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_LOOSE = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>[^>]*)(?:>|\Z)")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in CODE}
 _RAW_TAG = {t: re.compile(rf"<(/?){t}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.I) for t in RAW if t not in CODE}
 _BREAK = re.compile(rf"</?(?:{'|'.join([*BREAKS, 'html', 'head', 'body'])})(?=[\s/>])", re.I)
+#: Tags around which a block begins; others, known or not, stand in a line.
+_BREAKING = {*BREAKS, "html", "head", "body", "caption", "colgroup", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "frameset"}
+#: Elements that end the open one before them if its end tag is left out.
+_CELLS, _ROWS = ("td", "th"), ("tr", "td", "th")
+_ENDLESS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": _CELLS, "th": _CELLS, "tr": _ROWS, "tbody": _ROWS, "tfoot": _ROWS, "thead": _ROWS}
 
 
 @dataclass
@@ -69,10 +79,37 @@ class Block:
     linked: int
     in_article: bool
     in_aside: bool
+    mixed: bool
 
 
-def _names(rest: str) -> set[str]:
-    return {part.lower() for m in _NAMED.finditer(rest) for part in _NAME_PART.findall(m[1] or m[2] or m[3] or "")}
+def _attributes(rest: str) -> dict[str, str]:
+    """Attributes of a tag; of several with one name the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(rest):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _hidden(given: dict[str, str]) -> bool:
+    if given.get("hidden", "false").lower() != "false":
+        return True
+    return given.get("aria-hidden", "").lower() == "true" or "display:none" in "".join(given.get("style", "").lower().split())
+
+
+def _named(given: dict[str, str]) -> tuple[bool, bool, bool]:
+    """Whether the names of an element speak of comments, of another part beside the main text, and of both that and main text.
+
+    Names are read word by word: "cookie-notice" is beside it, "content" is not, and neither is "has-sidebar".
+    """
+    beside = content = comments = False
+    for name in " ".join(given.get(k, "") for k in ("class", "id", "role")).split():
+        words = [part.lower() for part in _NAME_PART.findall(name)]
+        if words and words[0] in ABOUT_NAMES:
+            continue
+        beside |= not ASIDE_NAMES.isdisjoint(words)
+        content |= not CONTENT_NAMES.isdisjoint(words)
+        comments |= not COMMENT_NAMES.isdisjoint(words)
+    return comments, beside and not content, beside and content
 
 
 def _raw_ends(page: str, tag: str) -> dict[int, int]:
@@ -92,30 +129,42 @@ def _raw_ends(page: str, tag: str) -> dict[int, int]:
 def blocks(page: str | None) -> list[Block]:
     """All text blocks of a page in order; text of silent elements is no text.
 
-    A silent element that is never closed ends at the next block, a script or style sheet at the end of the page. Every open element keeps whether it stands in an article and how firmly it is something else: 1 by a name or as a
-    form, which an article inside overrules, 2 by its tag or as comments, which only a main element overrules, 3 silent or hidden.
+    A silent element that is never closed ends at the next block, a head there or at the body, a script or style sheet at
+    the end of the page. Every open element keeps whether it stands in an article, how firmly it is something else, and
+    whether its names say both: 1 by a name or as a form, which an article inside overrules, 2 by its tag or as comments,
+    which only a main element overrules, 3 silent or hidden.
     """
     done: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, int]] = []
-    in_article, aside, links = False, 0, 0
+    stack: list[tuple[str, tuple[bool, int, bool]]] = []
+    state, links = (False, 0, False), 0
     raw_ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                done.append(Block(text, len(text.split(" ")), len(" ".join(linked).split()), in_article, aside > 0))
+                done.append(Block(text, len(text.split(" ")), len(" ".join(linked).split()), state[0], state[1] > 0, state[2]))
             parts.clear()
             linked.clear()
 
+    def back(to: int) -> None:
+        """Leave the open elements from number ``to`` on; what they said holds no longer."""
+        nonlocal state
+        if stack[to][1] != state:
+            flush()
+        state = stack[to][1]
+        del stack[to:]
+
     at, page = 0, page or ""
     while at < len(page):
         token = _TOKEN.match(page, at)
+        if token["text"] == "<":  # no tag as it should be: a quote that is never closed, perhaps
+            token = _LOOSE.match(page, at) or token
         start, at = at, token.end()
-        if (text := token["text"]) is not None:
-            if aside < 3:
+        if token.re is _TOKEN and (text := token["text"]) is not None:
+            if state[1] < 3:
                 parts.append(text)
                 if links:
                     linked.append(text)
@@ -131,20 +180,24 @@ def blocks(page: str | None) -> list[Block]:
                 parts.append(" ")
                 linked.append(" ")
             continue
-        flush()
+        breaks = tag in _BREAKING
+        if breaks:
+            flush()
         if token["end"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    _, in_article, aside = stack[i]
-                    del stack[i:]
+                    back(i)
                     break
-            links = 0
+            if breaks:
+                links = 0
             continue
         if tag in CODE:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
         if tag in RAW:
+            if tag in BOXES and state[1] < 3:
+                parts.append(" ")
             if tag not in raw_ends:
                 raw_ends[tag] = _raw_ends(page, tag)
             if (end := raw_ends[tag].get(start)) is None:
@@ -152,109 +205,191 @@ def blocks(page: str | None) -> list[Block]:
                 end = found.start() if found else len(page)
             at = end
             continue
-        if tag in BREAKS:
+        if breaks:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    _, in_article, aside = stack[i]
-                    del stack[i:]
+                if stack[i][0] in ("p", "head"):
+                    back(i)
                     break
                 if stack[i][0] in BREAKS:
                     break
         if tag in VOID or rest.endswith("/"):
             continue
-        if tag in ("li", "td", "th", "tr", "dt", "dd") and stack and stack[-1][0] == tag:
-            _, in_article, aside = stack.pop()
-        stack.append((tag, in_article, aside))
-        names = _names(rest) if "=" in rest else set()
+        if tag in _ENDLESS and stack and stack[-1][0] in _ENDLESS[tag]:
+            back(len(stack) - 1)
+        stack.append((tag, state))
+        in_article, aside, mixed = state
+        given = _attributes(rest) if rest and not rest.isspace() else {}
+        comments, beside, both = _named(given) if given else (False, False, False)
         if tag in ARTICLE and (aside < 2 or tag == "main" and aside < 3):
-            in_article, aside = True, 2 if names & COMMENT_NAMES else 0
-        elif tag in SILENT or (rest and _HIDDEN.search(rest)):
+            in_article, aside, mixed = True, 2 if comments else 0, False
+        elif tag in SILENT:
             aside = 3
-        elif tag in ASIDE or names & COMMENT_NAMES:
+        elif tag in ASIDE or comments:
             aside = max(aside, 2)
-        elif tag in WRAPPER or tag not in ("html", "body") and names & ASIDE_NAMES:
+        elif tag in WRAPPER or tag not in ("html", "body") and beside:
             aside = max(aside, 1)
+        elif both and tag not in ("html", "body"):
+            mixed = True
+        if given and _hidden(given):
+            aside = 3
+        if (in_article, aside, mixed) != state:
+            flush()
+            state = (in_article, aside, mixed)
     flush()
     return done
 
 
-FEATURES = "words link_density words_before density_before words_after density_after in_article in_aside".split()
+FEATURES = "words link_density words_before density_before words_after density_after in_article in_aside mixed".split()
 # Labelled blocks: the features in this order, then 1 for main text. Made by hand; the tree knows nothing else.
 LABELLED = """
-   1 0.00  40 0.00  50 0.00 1 0 1
-   1 0.00   1 0.00   1 0.00 1 0 1
-   2 0.00   2 1.00  10 0.10 1 0 1
-   3 0.00   6 0.00   0 0.00 1 0 1
-   4 0.50  60 0.00  60 0.00 1 0 1
-   6 0.00   3 1.00   3 1.00 1 0 1
-   9 0.00   1 1.00  90 0.00 1 0 1
-   9 0.60   4 1.00   2 0.00 1 0 1
-  12 0.50  30 0.00  30 0.00 1 0 1
-  15 0.10   0 0.00   0 0.00 1 0 1
-  30 0.30  40 0.00  40 0.00 1 0 1
-  60 0.00  80 0.00  70 0.00 1 0 1
-  60 0.00   5 0.00   1 1.00 1 0 1
- 200 0.05  10 0.00   8 0.50 1 0 1
- 200 0.60  10 0.00   8 0.00 1 0 1
- 500 0.00   5 0.00   7 0.30 1 0 1
-   1 1.00  30 0.00   1 1.00 1 0 0
-   2 0.95  30 0.00   0 0.00 1 0 0
-   4 1.00   5 1.00   6 1.00 1 0 0
-   5 1.00  50 0.00   5 1.00 1 0 0
-   8 0.90  60 0.00   7 1.00 1 0 0
-  12 0.85   9 1.00  11 0.90 1 0 0
-  40 0.90   2 0.00  60 0.00 1 0 0
-   1 0.00  50 0.00  50 0.00 1 1 0
-   6 0.00  60 0.00  60 0.00 1 1 0
-   9 0.60  90 0.00   8 0.60 1 1 0
-  15 0.00   6 0.00   0 0.00 1 1 0
-  25 0.10  90 0.00  90 0.00 1 1 0
-  60 0.00  80 0.00  70 0.00 1 1 0
- 150 0.00  20 0.00  30 0.00 1 1 0
- 400 0.05  60 0.00  60 0.00 1 1 0
-   5 1.00   5 1.00   5 1.00 1 1 0
-   1 1.00   1 1.00   1 1.00 0 1 0
-   2 0.00   0 0.00   1 1.00 0 1 0
-   6 0.30  40 0.00   3 1.00 0 1 0
-   8 0.00   1 1.00   9 0.00 0 1 0
-  12 0.00  70 0.00   0 0.00 0 1 0
-  16 0.00  20 0.00  17 0.00 0 1 0
-  18 0.00   0 0.00   0 0.00 0 1 0
-  20 0.10  19 0.00   3 1.00 0 1 0
-  30 0.00   1 1.00   0 0.00 0 1 0
-  40 0.00   8 0.00  30 0.00 0 1 0
-  70 0.00   2 1.00   9 0.00 0 1 0
-  90 0.20  60 0.00  80 0.00 0 1 0
- 120 0.00  60 0.00  60 0.00 0 1 0
- 400 0.00  30 0.00  30 0.00 0 1 0
-   1 1.00   1 1.00   2 1.00 0 0 0
-   3 1.00   3 1.00  60 0.00 0 0 0
-   4 0.00   0 0.00   1 1.00 0 0 0
-   5 0.00   1 1.00   2 1.00 0 0 0
-   6 0.00   4 0.00   3 1.00 0 0 0
-   7 0.00   8 0.00   0 0.00 0 0 0
-   8 0.50   9 0.60   7 0.40 0 0 0
-  10 0.20  10 1.00   0 0.00 0 0 0
-  11 0.00   3 1.00   2 1.00 0 0 0
-  25 0.90  30 0.80  20 1.00 0 0 0
-  40 0.70   5 1.00   6 1.00 0 0 0
-  90 0.80  60 0.00  60 0.00 0 0 0
-   3 0.00  45 0.00  40 0.00 0 0 1
-   8 0.00  60 0.00  70 0.00 0 0 1
-   9 0.00  20 0.00  19 0.00 0 0 1
-  15 0.00  20 0.00  15 0.00 0 0 1
-  15 0.00   3 1.00   2 1.00 0 0 1
-  16 0.00   0 0.00   0 0.00 0 0 1
-  17 0.05   3 1.00  16 0.00 0 0 1
-  19 0.00  22 0.00   2 1.00 0 0 1
-  20 0.00  35 0.00   8 0.00 0 0 1
-  22 0.00   2 1.00  19 0.00 0 0 1
-  25 0.10  60 0.00  40 0.10 0 0 1
-  30 0.00   1 1.00  45 0.00 0 0 1
-  40 0.05   6 0.00  50 0.00 0 0 1
-  60 0.00  80 0.00  70 0.00 0 0 1
-  90 0.20   9 0.00   5 0.50 0 0 1
- 120 0.00   2 1.00   3 1.00 0 0 1
+   1 0.00  40 0.00  50 0.00 1 0 0 1
+   1 0.00   1 0.00   1 0.00 1 0 0 1
+   2 0.00   2 1.00  10 0.10 1 0 0 1
+   3 0.00   6 0.00   0 0.00 1 0 0 1
+   4 0.50  60 0.00  60 0.00 1 0 0 1
+   6 0.00   3 1.00   3 1.00 1 0 0 1
+   9 0.00   1 1.00  90 0.00 1 0 0 1
+   9 0.60   4 1.00   2 0.00 1 0 0 1
+  12 0.50  30 0.00  30 0.00 1 0 0 1
+  15 0.10   0 0.00   0 0.00 1 0 0 1
+  30 0.30  40 0.00  40 0.00 1 0 0 1
+  60 0.00  80 0.00  70 0.00 1 0 0 1
+  60 0.00   5 0.00   1 1.00 1 0 0 1
+ 200 0.05  10 0.00   8 0.50 1 0 0 1
+ 200 0.60  10 0.00   8 0.00 1 0 0 1
+ 500 0.00   5 0.00   7 0.30 1 0 0 1
+   1 1.00  30 0.00   1 1.00 1 0 0 0
+   2 0.95  30 0.00   0 0.00 1 0 0 0
+   4 1.00   5 1.00   6 1.00 1 0 0 0
+   5 1.00  50 0.00   5 1.00 1 0 0 0
+   8 0.90  60 0.00   7 1.00 1 0 0 0
+  12 0.85   9 1.00  11 0.90 1 0 0 0
+  40 0.90   2 0.00  60 0.00 1 0 0 0
+   1 0.00  50 0.00  50 0.00 1 1 0 0
+   6 0.00  60 0.00  60 0.00 1 1 0 0
+   9 0.60  90 0.00   8 0.60 1 1 0 0
+  15 0.00   6 0.00   0 0.00 1 1 0 0
+  25 0.10  90 0.00  90 0.00 1 1 0 0
+  60 0.00  80 0.00  70 0.00 1 1 0 0
+ 150 0.00  20 0.00  30 0.00 1 1 0 0
+ 400 0.05  60 0.00  60 0.00 1 1 0 0
+   5 1.00   5 1.00   5 1.00 1 1 0 0
+   1 1.00   1 1.00   1 1.00 0 1 0 0
+   2 0.00   0 0.00   1 1.00 0 1 0 0
+   6 0.30  40 0.00   3 1.00 0 1 0 0
+   8 0.00   1 1.00   9 0.00 0 1 0 0
+  12 0.00  70 0.00   0 0.00 0 1 0 0
+  16 0.00  20 0.00  17 0.00 0 1 0 0
+  18 0.00   0 0.00   0 0.00 0 1 0 0
+  20 0.10  19 0.00   3 1.00 0 1 0 0
+  30 0.00   1 1.00   0 0.00 0 1 0 0
+  40 0.00   8 0.00  30 0.00 0 1 0 0
+  70 0.00   2 1.00   9 0.00 0 1 0 0
+  90 0.20  60 0.00  80 0.00 0 1 0 0
+ 120 0.00  60 0.00  60 0.00 0 1 0 0
+ 400 0.00  30 0.00  30 0.00 0 1 0 0
+   1 1.00   1 1.00   2 1.00 0 0 0 0
+   3 1.00   3 1.00  60 0.00 0 0 0 0
+   4 0.00   0 0.00   1 1.00 0 0 0 0
+   5 0.00   1 1.00   2 1.00 0 0 0 0
+   6 0.00   4 0.00   3 1.00 0 0 0 0
+   7 0.00   8 0.00   0 0.00 0 0 0 0
+   8 0.50   9 0.60   7 0.40 0 0 0 0
+  10 0.20  10 1.00   0 0.00 0 0 0 0
+  11 0.00   3 1.00   2 1.00 0 0 0 0
+  25 0.90  30 0.80  20 1.00 0 0 0 0
+  40 0.70   5 1.00   6 1.00 0 0 0 0
+  90 0.80  60 0.00  60 0.00 0 0 0 0
+   3 0.00  45 0.00  40 0.00 0 0 0 1
+   8 0.00  60 0.00  70 0.00 0 0 0 1
+   9 0.00  20 0.00  19 0.00 0 0 0 1
+  15 0.00  20 0.00  15 0.00 0 0 0 1
+  15 0.00   3 1.00   2 1.00 0 0 0 1
+  16 0.00   0 0.00   0 0.00 0 0 0 1
+  17 0.05   3 1.00  16 0.00 0 0 0 1
+  19 0.00  22 0.00   2 1.00 0 0 0 1
+  20 0.00  35 0.00   8 0.00 0 0 0 1
+  22 0.00   2 1.00  19 0.00 0 0 0 1
+  25 0.10  60 0.00  40 0.10 0 0 0 1
+  30 0.00   1 1.00  45 0.00 0 0 0 1
+  40 0.05   6 0.00  50 0.00 0 0 0 1
+  60 0.00  80 0.00  70 0.00 0 0 0 1
+  90 0.20   9 0.00   5 0.50 0 0 0 1
+ 120 0.00   2 1.00   3 1.00 0 0 0 1
+   8 0.00  40 0.95  30 0.90 0 0 0 0
+  12 0.00  30 0.95  25 1.00 0 0 0 0
+  14 0.00  60 0.90  40 0.95 0 0 0 0
+   7 0.00  25 1.00  20 0.90 0 0 0 0
+  16 0.00  45 0.95  50 0.95 0 0 0 0
+   8 0.00  40 0.00  30 0.00 0 0 0 1
+  12 0.00  30 0.05  25 0.00 0 0 0 1
+  14 0.00  60 0.10  40 0.00 0 0 0 1
+   7 0.00  25 0.00  20 0.00 0 0 0 1
+  16 0.00  45 0.00  50 0.10 0 0 0 1
+   1 0.00  40 0.00  50 0.00 1 0 1 1
+   2 0.00   3 0.00  60 0.00 1 0 1 1
+   9 0.00  60 0.00  30 0.00 1 0 1 1
+  20 0.00   5 0.00  25 0.00 1 0 1 1
+  60 0.05  80 0.00  70 0.00 1 0 1 1
+ 300 0.00  60 0.00  60 0.00 1 0 1 1
+   3 1.00   4 1.00   3 1.00 1 0 1 0
+   6 1.00  60 0.00   5 1.00 1 0 1 0
+  15 0.00  20 0.00  20 0.00 0 0 1 1
+  20 0.00  40 0.00  30 0.00 0 0 1 1
+  25 0.00   0 0.00  30 0.00 0 0 1 1
+  30 0.05  35 0.00   2 1.00 0 0 1 1
+  60 0.00  80 0.00  70 0.00 0 0 1 1
+ 120 0.10  30 0.00  60 0.00 0 0 1 1
+   1 0.00   0 0.00   3 1.00 0 0 1 0
+   3 0.00   4 1.00   2 1.00 0 0 1 0
+   4 1.00   3 1.00   5 1.00 0 0 1 0
+   6 0.00   8 0.00   0 0.00 0 0 1 0
+   9 0.30   5 1.00   7 1.00 0 0 1 0
+  12 0.00   4 1.00   6 1.00 0 0 1 0
+  20 0.80  10 1.00   9 1.00 0 0 1 0
+  18 0.00   9 1.00  40 1.00 0 0 1 0
+  25 0.20  30 1.00  12 1.00 0 0 1 0
+   1 0.00   0 0.00  18 0.00 1 0 0 1
+   2 0.00   5 1.00  18 0.00 1 0 0 1
+   4 0.00   2 1.00  30 0.00 1 0 0 1
+   8 0.00   0 0.00  17 0.00 1 0 0 1
+   8 0.00  18 0.00   3 1.00 1 0 0 1
+   9 0.10  60 0.00   0 0.00 1 0 0 1
+  18 0.00   8 0.00   0 0.00 1 0 0 1
+  18 0.00  18 0.00  18 0.00 1 0 0 1
+  18 0.00   2 1.00   0 0.00 1 0 0 1
+  18 0.05  30 0.00   4 1.00 1 0 0 1
+  19 0.00   1 0.00  19 0.00 1 0 0 1
+  35 0.00   4 1.00   6 1.00 1 0 0 1
+  35 0.20  18 0.00   0 0.00 1 0 0 1
+  80 0.00   0 0.00   0 0.00 1 0 0 1
+  90 0.00   3 0.00   2 1.00 1 0 0 1
+ 150 0.00  60 0.00   1 1.00 1 0 0 1
+   5 0.00   5 0.00   5 0.00 1 0 0 1
+   1 0.00  18 0.00   1 0.00 1 0 0 1
+  10 0.40  18 0.00  18 0.00 1 0 0 1
+  18 0.00   2 1.00  18 0.00 0 0 0 1
+  18 0.00  18 0.00   0 0.00 0 0 0 1
+  18 0.00  18 0.00   2 1.00 0 0 0 1
+  18 0.00  18 0.00  18 0.00 0 0 0 1
+  40 0.00   2 1.00   0 0.00 0 0 0 1
+  60 0.00   3 1.00   4 1.00 0 0 0 1
+  18 0.00   0 0.00  18 0.00 0 0 0 1
+   9 0.00  18 0.00   0 0.00 0 0 0 0
+   2 0.00  18 0.00   0 0.00 0 0 0 0
+   4 0.00  30 0.00   2 1.00 0 0 0 0
+  18 0.00   2 1.00  18 0.00 0 0 1 1
+  18 0.00  18 0.00   0 0.00 0 0 1 1
+  20 0.00  18 0.00  25 1.00 1 0 0 1
+  60 0.00  30 0.00  40 0.95 1 0 0 1
+  25 0.00  20 0.95  30 1.00 1 0 0 1
+  16 0.00  25 1.00  25 1.00 1 0 0 1
+ 120 0.00  60 0.00  20 0.90 1 0 0 1
+  40 0.00  30 0.00  30 0.95 0 0 0 1
+  80 0.05  60 0.00  25 1.00 0 0 0 1
+  30 0.00  25 0.00  20 1.00 0 0 0 1
+  20 0.00  18 0.00  12 1.00 0 0 0 1
+  90 0.00  40 1.00  40 1.00 0 0 0 1
 """
 
 
@@ -304,7 +439,7 @@ def main_text(page: str | None) -> str:
     found, node, kept = blocks(page), tree(), []
     shape = [(0, 0.0), *((b.words, min(1.0, b.linked / b.words)) for b in found), (0, 0.0)]
     for i, block in enumerate(found, 1):
-        if is_main(node, (*shape[i], *shape[i - 1], *shape[i + 1], block.in_article, block.in_aside)):
+        if is_main(node, (*shape[i], *shape[i - 1], *shape[i + 1], block.in_article, block.in_aside, block.mixed)):
             kept.append(block.text)
     return "\n\n".join(kept)
 
