@@ -1,12 +1,16 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 A document is described by two histograms: code points by character class, and words by common word of some language
-(all other words in one bin). Each language's references are the mean histograms of its documents of sufficient length;
-documents of a language with too few of those for a reference are not judged by distance.
+(all other words in one bin). References are made in two fits. The first is the mean class histogram of the documents of
+sufficient length that are no further from the mean of all than the average; documents near it are accepted, however they
+are labelled, so that junk makes no reference by having a label of its own, nor by being up to a third of all. The second are the mean histograms of the accepted documents, by language and over all of them.
+
 A document's distances are the Jensen-Shannon distances (square roots of the divergences to base 2, 0 to 1) to the nearest
-reference, so that a wrong or missing language label costs nothing. The two divergences are added, and the root of the sum
-must not exceed a limit that allows for the sampling error of short texts. Texts too short for a histogram to mean anything
-are not judged by it. Base rules come first: too few words, or too many words in 8-word windows that occur again.
+reference. The two divergences are added, and the root of the sum must not exceed a limit that allows for the sampling error
+of short texts. Languages with a good share of the accepted documents vouch for documents of any label, so that a wrong or
+missing label costs little; rarer ones vouch for their own. A document whose label has no reference is judged by its
+character classes alone, against the mean of all. Texts too short for a histogram to mean anything are not judged by
+distance. Base rules come first: too few words, or too many words in 8-word windows that occur again.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stintlake.functions.joins import join_small
 from stintlake.llm.common import SPACE_CLASS, WORD_CLASS, free_name
 from stintlake.session import stage
 
@@ -30,10 +35,10 @@ GUARD_CHARS = 240
 #: Largest distance to the nearest reference: a constant, and what the histogram of a sample of n words strays by, over sqrt(n).
 MOST_DISTANCE = 0.24
 SAMPLING_DISTANCE = 1.1
-#: A language of fewer documents past the guards gives no reference, and its documents are not compared with others'.
+#: Accepted documents that a language needs for a reference, and their share of all for one that holds for other labels
+#: too. There are at most as many of those as the share goes into the whole.
 LEAST_LANGUAGE_DOCS = 10
-#: Read by the SQL of the query only, which knows no rare languages; no document is left out by it here.
-LEAST_LANGUAGE_SHARE = 0.005
+VOUCHING_SHARE = 0.005
 
 # Frequent function words of the four languages.
 COMMON_WORDS = {
@@ -163,52 +168,71 @@ def _measured(docs: DataFrame, text_col: str, mark: str) -> DataFrame:
     )
 
 
-def references(measured: DataFrame, lang: str, mark: str) -> DataFrame:
-    """One row: ``refs``, an array with a language's mean class and word histograms, over all documents past the guards."""
+def _means(mark: str, names: dict[str, int]) -> list[Column]:
+    return [F.array(*[F.avg(F.col(f"{mark}{name}")[i]) for i in range(bins)]).alias(name) for name, bins in names.items()]
 
-    def mean(name: str, bins: int) -> Column:
-        return F.array(*[F.avg(F.when(_long(mark), F.col(f"{mark}{name}")[i])) for i in range(bins)]).alias(name)
 
-    n = F.count_if(_long(mark)).alias("n")
-    means = measured.groupBy(F.col(lang).alias("lang")).agg(n, mean("classes", N_CLASSES), mean("common", len(COMMON) + 1))
-    means = stage(means.where(F.col("lang").isNotNull() & (F.col("n") >= LEAST_LANGUAGE_DOCS)), "references")
-    return means.agg(F.array_sort(F.collect_list(F.struct("lang", "classes", "common"))).alias("refs"))
+def references(measured: DataFrame, lang: str, mark: str) -> tuple[DataFrame, DataFrame]:
+    """The mean histograms of each language (``lang, classes, common, vouches``), and in one row those of all (``classes``)."""
+    long = measured.where(_long(mark)).select(F.col(lang).alias("lang"), F.col(f"{mark}classes"), F.col(f"{mark}common"))
+    whole = long.agg(*_means(mark, {"classes": N_CLASSES})).scalar()
+    apart = long.withColumn("first", whole).withColumn("d", js_distance(F.col(f"{mark}classes"), F.col("first")))
+    # with a large part of junk the mean lies between; the half that is nearer to it is of the greater kind
+    near = apart.where(F.col("d") <= apart.agg(F.avg("d").alias("d")).scalar())
+    centre = stage(near.agg(*_means(mark, {"classes": N_CLASSES})), "centre").scalar()
+    accepted = long.withColumn("first", centre).where(js_distance(F.col(f"{mark}classes"), F.col("first")) <= MOST_DISTANCE)
+    both = {"classes": N_CLASSES, "common": len(COMMON) + 1}
+    groups = accepted.groupBy("lang").agg(F.count("*").alias("n"), *_means(mark, both))
+    groups = stage(groups, "references")
+    total = groups.agg(F.sum("n").alias("n")).scalar()
+    known = groups.where(F.col("lang").isNotNull() & (F.col("n") >= LEAST_LANGUAGE_DOCS))
+    known = known.select("lang", "classes", "common", (F.col("n") >= VOUCHING_SHARE * total).alias("vouches"))
+    # means of means weighed by their documents: the mean over all of them
+    whole = groups.agg(F.array(*[F.sum(F.col("classes")[i] * F.col("n")) / F.sum("n") for i in range(N_CLASSES)]).alias("classes"))
+    return known, whole
 
 
 def _long(mark: str) -> Column:
     return (F.col(f"{mark}n_words") >= GUARD_WORDS) & (F.col(f"{mark}n_chars") >= GUARD_CHARS)
 
 
-def _judged(measured: DataFrame, refs: DataFrame, lang: str, mark: str) -> DataFrame:
+def _judged(measured: DataFrame, refs: tuple[DataFrame, DataFrame], lang: str, mark: str) -> DataFrame:
     """``measured`` with distances and verdict, in columns whose names begin with ``mark``."""
+    known, whole = refs
     q = lambda name: F.col(f"{mark}{name}")
+    vouching = known.where("vouches").agg(F.array_sort(F.collect_list(F.struct("lang", "classes", "common"))).alias("r"))
+    own = known.select(F.col("lang").alias(f"{mark}lang"), F.struct("lang", "classes", "common").alias(f"{mark}own"))
+    # a table with a row a language, joined as its size allows
+    rows = join_small(measured, own, F.col(lang) == q("lang"))
+    repeats = 100 * q("n_repeat_words") > MOST_REPEATED_PERCENT * q("n_words")
+    rows = rows.withColumns({f"{mark}refs": vouching.scalar(), f"{mark}whole": whole.scalar(), f"{mark}base_failed": (q("n_words") < LEAST_WORDS) | repeats})
+    rows = rows.withColumn(f"{mark}refs", F.when(q("own").isNotNull(), F.array_append(q("refs"), q("own"))).otherwise(q("refs")))
 
     def nearest(name: str) -> Column:
         return F.array_min(F.transform(q("refs"), lambda r: js_distance(q(name), r[name])))
 
-    repeats = 100 * q("n_repeat_words") > MOST_REPEATED_PERCENT * q("n_words")
-    rows = measured.withColumns({f"{mark}refs": refs.scalar(), f"{mark}base_failed": (q("n_words") < LEAST_WORDS) | repeats})
-    known = F.col(lang).isNull() | F.array_contains(F.transform(q("refs"), lambda r: r["lang"]), F.col(lang))
-    compared = ~q("base_failed") & _long(mark) & known
+    compared = ~q("base_failed") & _long(mark)
+    full = F.col(lang).isNull() | q("own").isNotNull()
     rows = rows.withColumns(
         {
-            f"{mark}class_distance": F.when(compared, nearest("classes")),
-            f"{mark}word_distance": F.when(compared, nearest("common")),
+            f"{mark}class_distance": F.when(compared, F.when(full, nearest("classes")).otherwise(js_distance(q("classes"), q("whole")))),
+            f"{mark}word_distance": F.when(compared & full, nearest("common")),
         }
     )
-    distance = F.sqrt(q("class_distance") * q("class_distance") + q("word_distance") * q("word_distance"))
+    words = F.coalesce(q("word_distance"), F.lit(0.0))
+    distance = F.sqrt(q("class_distance") * q("class_distance") + words * words)
     far = distance > MOST_DISTANCE + SAMPLING_DISTANCE / F.sqrt(q("n_words"))
-    # a filter is not pushed below an expression that is not deterministic; pushed down, it would repeat every measure
-    return rows.withColumns({f"{mark}kept": ~q("base_failed") & ~F.coalesce(far, F.lit(False)), f"{mark}row": F.monotonically_increasing_id()})
+    return rows.withColumn(f"{mark}kept", ~q("base_failed") & ~F.coalesce(far, F.lit(False)))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per row: id, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``kept``, and the two distances (null where not compared).
 
-    A null text counts as empty; texts below ``LEAST_WORDS`` words fail. Texts below the guards, or of a language without
-    a reference, are kept when the base rules pass. Rows without a language help no reference but are judged like any other. Repeated
-    rows are judged each; other columns are not looked at.
+    A null text counts as empty; texts below ``LEAST_WORDS`` words fail. Texts below the guards are kept when the base
+    rules pass; those of a language without a reference have no word distance. Rows without a language are compared with
+    the languages that vouch for all. Texts are measured whole, whatever their length, and once: their measures are staged.
+    Repeated rows are judged each; other columns are not looked at. Without documents past the guards nothing is compared.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     measured = stage(_measured(rows, "text", "q_").drop("text", "q_text", "q_words"), "measured")
@@ -217,11 +241,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns.
+    """The rows of ``docs`` that the rules keep, with all their columns, whatever their names; an empty table stays empty.
 
-    Texts are measured twice, once for the references and once for the verdict, so that they need not be moved.
+    Null, empty, short and very long texts and repeated rows are judged as in ``judge``. Texts are measured once and staged
+    with their measures; the references read the measures alone.
     """
     mark = free_name(docs, "q_")
-    refs = references(_measured(docs, text_col, mark), lang_col, mark)
-    rows = _judged(_measured(docs, text_col, mark), refs, lang_col, mark)
-    return rows.where(F.col(f"{mark}kept") & (F.col(f"{mark}row") >= 0)).select(*docs.columns)
+    measured = stage(_measured(docs, text_col, mark).drop(f"{mark}text", f"{mark}words"), "measured")
+    rows = _judged(measured, references(measured, lang_col, mark), lang_col, mark)
+    return rows.where(F.col(f"{mark}kept")).select(*docs.columns)

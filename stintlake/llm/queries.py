@@ -176,15 +176,29 @@ def _quality_sql() -> str:
         SELECT doc_id, lang, 'word', unnest(v) / n_words, unnest(range(len(v)))
         FROM (SELECT *, list_append(list_transform({quoted(quality.COMMON)}, lambda c: len(list_filter(hits, lambda h: h = c))), n_words - len(hits)) AS v
               FROM base WHERE long)
+    ), apart AS (
+        SELECT doc_id, sqrt(greatest(sum({part.format("p", "q")} + {part.format("q", "p")}) / 2, 0)) AS d
+        FROM bins JOIN (SELECT bin, avg(p) AS q FROM bins WHERE kind = 'class' GROUP BY bin) USING (bin) WHERE kind = 'class' GROUP BY doc_id
+    ), near AS (
+        SELECT doc_id FROM apart WHERE d <= (SELECT avg(d) FROM apart)
+    ), centre AS (
+        SELECT bin, avg(p) AS q FROM bins SEMI JOIN near USING (doc_id) WHERE kind = 'class' GROUP BY bin
+    ), accepted AS (
+        SELECT doc_id, any_value(lang) AS lang FROM bins JOIN centre USING (bin) WHERE kind = 'class'
+        GROUP BY doc_id HAVING sqrt(greatest(sum({part.format("p", "q")} + {part.format("q", "p")}) / 2, 0)) <= {quality.MOST_DISTANCE}
     ), known AS (
-        SELECT lang FROM (SELECT lang, count(*) AS n FROM base WHERE long AND lang IS NOT NULL GROUP BY lang)
-        QUALIFY n >= {quality.LEAST_LANGUAGE_SHARE} * sum(n) OVER ()
+        SELECT lang, n >= {quality.VOUCHING_SHARE} * total AS vouches
+        FROM (SELECT lang, count(*) AS n, sum(count(*)) OVER () AS total FROM accepted GROUP BY lang) WHERE lang IS NOT NULL AND n >= {quality.LEAST_LANGUAGE_DOCS}
     ), refs AS (
-        SELECT lang AS ref, kind, bin, avg(p) AS q FROM bins SEMI JOIN known USING (lang) GROUP BY ALL
+        SELECT lang AS ref, vouches, kind, bin, avg(p) AS q FROM bins SEMI JOIN accepted USING (doc_id) JOIN known USING (lang) GROUP BY ALL
+        UNION ALL SELECT NULL, false, 'class', bin, avg(p) FROM bins SEMI JOIN accepted USING (doc_id) WHERE kind = 'class' GROUP BY bin
+    ), asked AS (
+        SELECT doc_id, b.lang, b.lang IS NOT NULL AND known.lang IS NULL AS alone FROM base AS b LEFT JOIN known USING (lang) WHERE long
     ), far AS (
         SELECT doc_id, kind, min(d) AS d FROM (
             SELECT doc_id, kind, ref, greatest(sum({part.format("p", "q")} + {part.format("q", "p")}) / 2, 0) AS d
-            FROM bins JOIN refs USING (kind, bin) GROUP BY ALL)
+            FROM bins JOIN asked USING (doc_id) JOIN refs USING (kind, bin)
+            WHERE CASE WHEN alone THEN ref IS NULL ELSE ref = asked.lang OR vouches END GROUP BY ALL)
         GROUP BY ALL
     ), total AS (SELECT doc_id, sqrt(sum(d)) AS d FROM far GROUP BY doc_id)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
