@@ -67,26 +67,30 @@ def fingerprint(paths: Column) -> Column:
     return F.xxhash64(F.array_join(F.array_sort(F.array_distinct(paths)), "\n"))
 
 
-def json_paths(record: Column) -> Column:
-    """Field paths of a JSON record, per row; those of an array are the paths of all its elements."""
-
-    def below(key: Column) -> Column:
-        place = F.concat(F.lit("$['"), key, F.lit("']"))
-        items = F.from_json(_at(record, place), "array<string>")
-        # an element that is no object is a path of its own, which no layout has
-        item = F.flatten(F.transform(items, lambda x: F.coalesce(F.transform(F.json_object_keys(x), lambda k: F.concat(F.lit("."), k)), F.array(F.lit("")))))
-        inner = F.json_object_keys(_at(record, place))
-        return (
-            F.when(F.exists(item, lambda k: k != ""), F.transform(item, lambda k: F.concat(key, F.lit("[]"), k)))
-            .when(F.size(inner) > 0, F.transform(inner, lambda k: F.concat(key, F.lit("."), k)))
-            .otherwise(F.array(key))
-        )
+#: The kinds of value that a leaf of a JSON record may have; all are texts to a template.
+_LEAF = r"\b(?:STRING|VOID|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\s*\d+\))(?=[,>]|$)"
+
+
+def nested(paths: list[str]) -> str:
+    """The shape of a record with these leaf paths, written as Spark writes the schema of a variant, leaves as ``LEAF``."""
 
-    return F.flatten(F.transform(F.json_object_keys(record), below))
+    def shape(rests: list[str]) -> str:
+        if any(r.startswith("[]") for r in rests):
+            return f"ARRAY<{shape([r[2:].removeprefix('.') for r in rests])}>"
+        if rests == [""]:
+            return "LEAF"
+        groups: dict[str, list[str]] = {}
+        for r in rests:
+            name = r.split(".")[0].split("[")[0]
+            groups.setdefault(name, []).append(r[len(name) :].removeprefix("."))
+        return "OBJECT<" + ", ".join(f"{n}: {shape(groups[n])}" for n in sorted(groups)) + ">"
 
+    return shape(sorted(paths))
 
-def _at(record: Column, path: Column) -> Column:
-    return F.call_function("get_json_object", record, path)
+
+def json_shape(record: Column) -> Column:
+    """The shape of a JSON record to any depth, an array's being that of all its elements; null if it is no JSON."""
+    return F.regexp_replace(F.schema_of_variant(F.try_parse_json(record)), _LEAF, "LEAF")
 
 
 def _text(value: Column) -> Column:
@@ -137,7 +141,11 @@ def canonical(records: DataFrame, id_col: str, fields: list[str] | None = None)
 
 
 def canonical_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """``id``, ``fingerprint`` and ``turns`` of JSON records of mixed layouts; no turns (null) where none is known."""
+    """``id``, ``fingerprint`` and ``turns`` of JSON records of mixed layouts; no turns (null) where none is known.
+
+    The fingerprint is the hash of all field paths down to the leaves, so a record whose fields hold more than a layout's
+    (lists for texts, parts for a turn's content) has another one. What is no JSON, or names a field twice, has no turns.
+    """
     fields: dict[str, str] = {}
     for layout in LAYOUTS:
         for _, names in layout.turns:
@@ -147,11 +155,11 @@ def canonical_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
             fields[array] = f"array<struct<`{role}`: string, `{text}`: string>>"
     schema = ", ".join(f"`{n}` {kind}" for n, kind in fields.items())
     rows = records.select(F.col(id_col).alias("id"), F.col(json_col).alias("json"))
-    rows = rows.select("id", fingerprint(json_paths(F.col("json"))).alias("fingerprint"), F.from_json("json", schema).alias("r"))
+    rows = rows.select("id", F.xxhash64(json_shape(F.col("json"))).alias("fingerprint"), json_shape(F.col("json")).isNotNull().alias("parsed"), F.from_json("json", schema).alias("r"))
     turns = F.lit(None).cast(TURNS)
     for layout in LAYOUTS:
         if not layout.rows:
-            same = F.col("fingerprint") == fingerprint(F.lit(list(layout.paths)))
+            same = F.col("parsed") & (F.col("fingerprint") == F.xxhash64(F.lit(nested(list(layout.paths)))))
             turns = F.when(same, _turns(layout, lambda n: F.col("r")[n]).cast(TURNS)).otherwise(turns)
     return rows.select("id", "fingerprint", turns.alias("turns"))
 
