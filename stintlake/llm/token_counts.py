@@ -30,6 +30,8 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Chunks whose counts a worker keeps; when full it starts anew.
 REMEMBERED = 400_000
+#: Characters from which a chunk is counted without keeping all its positions.
+LONG = 10_000
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -44,6 +46,7 @@ class PieceCounter:
         if any(MARK in piece.lstrip(MARK) for piece in scores):
             raise ValueError("a piece with a mark behind another character crosses the chunks")
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
+        self.longest = max((len(piece) for piece in scores), default=1)
         self.single = {piece for piece in scores if len(piece) == 1}
         self.automaton = ahocorasick.Automaton()
         for piece, score in scores.items():
@@ -81,14 +84,34 @@ class PieceCounter:
                 score[end], count[end] = reached, count[end - 1] + len(c.encode("utf-8", "surrogatepass"))
         return count[n]
 
+    def _best_of_long(self, chunk: str) -> int:
+        """As above, looking back over the longest piece only."""
+        size, lowest, unknown = self.longest + 1, float("-inf"), self.unknown
+        score, count = [lowest] * size, [0] * size
+        score[0] = 0.0
+        matches = self.automaton.iter(chunk) if len(self.automaton) else iter(())
+        match = next(matches, None)
+        for last, c in enumerate(chunk):
+            best, pieces = lowest, 0
+            while match is not None and match[0] == last:
+                n, piece_score = match[1]
+                start = (last + 1 - n) % size
+                if score[start] + piece_score > best:
+                    best, pieces = score[start] + piece_score, count[start] + 1
+                match = next(matches, None)
+            if c not in self.single and score[last % size] + unknown > best:
+                best, pieces = score[last % size] + unknown, count[last % size] + len(c.encode("utf-8", "surrogatepass"))
+            score[(last + 1) % size], count[(last + 1) % size] = best, pieces
+        return count[len(chunk) % size]
+
     def count(self, text: str | None) -> int:
         if not text:
             return 0
         known, total = self.known, 0
-        for chunk in _CHUNK.findall(MARK + text.replace(" ", MARK)):
+        for chunk in (m.group() for m in _CHUNK.finditer(MARK + text.replace(" ", MARK))):
             n = known.get(chunk)
             if n is None:
-                n = self._best(chunk)
+                n = self._best(chunk) if len(chunk) < LONG else self._best_of_long(chunk)
                 if len(known) >= REMEMBERED:
                     known.clear()
                 if len(chunk) < 256:
@@ -115,7 +138,10 @@ def counter(path: str) -> PieceCounter:
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id and ``n_tokens``. Null and empty texts have none; repeated rows are counted each."""
+    """Per row: id and ``n_tokens``. Null and empty texts have none; repeated rows are counted each, equal scores by the
+    library's rules. Texts are counted whole; one without spaces takes no more memory than its characters and the longest
+    piece. Other columns, whatever their names, are not looked at; an empty table has no rows.
+    """
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
