@@ -21,7 +21,10 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.llm.common import small_batches
+from stintlake.functions.joins import join_small
+from stintlake.functions.ordered import OrderedGroups
+from stintlake.llm.common import free_name, small_batches
+from stintlake.session import stage
 
 #: Edits allowed for each character of an item.
 EDIT_RATE = 0.1
@@ -155,17 +158,23 @@ def _clusters(places: list[int], gap: int) -> Iterator[tuple[int, int]]:
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's items in blocks of bounded size, one after the other through the driver."""
-    block, size = [], 0
-    rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
-    for row in rows.where("i is not null and t is not null").toLocalIterator():
-        block.append((row["i"], normalised(row["t"])))
-        size += len(block[-1][1])
-        if size >= block_chars:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+    """The benchmark's items in blocks of about ``block_chars`` characters; one block at a time comes to the driver.
+
+    Tasks normalise the items; those that share an id are in one block.
+    """
+
+    def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"i": batch["i"], "t": [normalised(t).encode("utf-8", "replace").decode() for t in batch["t"]]})
+
+    rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
+    ready = stage(rows.mapInPandas(clean, "i long, t string").where("t <> ''").distinct(), "items")
+    sizes = ready.groupBy("i").agg(F.sum(F.length("t")).alias("n"))
+    numbered = OrderedGroups(sizes, [], ["i"]).running(sums={"upto": F.col("n")}).result()
+    numbered = numbered.select("i", F.floor((F.col("upto") - F.col("n")) / block_chars).alias("block"))
+    ready = stage(join_small(ready, numbered, ["i"], "inner"), "items")
+    for number in [r[0] for r in ready.select("block").distinct().orderBy("block").collect()]:
+        yield [(r["i"], r["t"]) for r in ready.where(F.col("block") == number).orderBy("i", "t").collect()]
 
 
 def _block_hits(text: Column, shared: Broadcast, rate: float) -> Column:
@@ -178,13 +187,21 @@ def _block_hits(text: Column, shared: Broadcast, rate: float) -> Column:
     return run(text)
 
 
-def hits_column(text: Column, items: DataFrame, id_col: str, text_col: str, rate: float, block_chars: int) -> Column:
-    """Array column of the ``HIT`` of every item met in a text column, over all blocks of the benchmark."""
-    context = items.sparkSession.sparkContext
-    blocks = [context.broadcast(sorted(block)) for block in item_blocks(items, id_col, text_col, block_chars)]
-    if not blocks:
-        return F.array().cast(f"array<{HIT}>")
-    return F.concat(*[_block_hits(text, block, rate) for block in blocks])
+def with_hits(docs: DataFrame, text_col: str, name: str, items: DataFrame, id_col: str, text_of_item: str, rate: float, block_chars: int) -> DataFrame:
+    """``docs`` with an array column ``name`` of the ``HIT`` of every item met.
+
+    A benchmark of one block, as nearly all are, is matched as the rows pass by. With more, the rows are matched with one
+    block after the other and staged in between, so that neither a worker nor the driver ever has more than a block.
+    """
+    context, out, held = docs.sparkSession.sparkContext, docs.withColumn(name, F.array().cast(f"array<{HIT}>")), None
+    for block in item_blocks(items, id_col, text_of_item, block_chars):
+        if held is not None:
+            out = stage(out, "hits")
+            held.unpersist()
+        held = context.broadcast(block)
+        found = _block_hits(F.col(text_col), held, rate)
+        out = out.withColumn(name, F.concat(F.col(name), found))
+    return out
 
 
 def contamination(
@@ -200,17 +217,23 @@ def contamination(
     """Per row of ``docs``: id, ``contaminated``, ``item_ids`` (in order) and ``hits`` with place and distance.
 
     Null and empty texts are clean; null and empty items, and items without an id, match nothing. Items of fewer
-    than ``LEAST_CHARS`` characters are met only by a text that is the item. Items that share an id count once. Other columns are not looked at.
+    than ``LEAST_CHARS`` characters are met only by a text that is the item. Items that share an id count once. Whole texts
+    are matched, whatever their length; repeated rows have a row each. Other columns are not looked at.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = rows.select("doc_id", hits_column(F.col("text"), items, item_id_col, item_text_col, rate, block_chars).alias("hits"))
+    found = with_hits(rows, "text", "hits", items, item_id_col, item_text_col, rate, block_chars)
     ids = F.array_sort(F.array_distinct(F.col("hits.item_id")))
     return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"), ids.alias("item_ids"), "hits")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", rate: float = EDIT_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that meet no item, with all their columns."""
+    """The rows of ``docs`` that meet no item, with all their columns, whatever their names.
+
+    Null and empty texts stay; whole texts are matched, whatever their length; repeated rows stay or go together; an empty
+    table or benchmark takes nothing away.
+    """
     small_batches(docs.sparkSession)
-    hits = hits_column(F.col(text_col), items, item_id_col, item_text_col, rate, block_chars)
-    return docs.where(F.size(hits) == 0)
+    name = free_name(docs, "_hits")
+    found = with_hits(docs, text_col, name, items, item_id_col, item_text_col, rate, block_chars)
+    return found.where(F.size(name) == 0).select(*docs.columns)
