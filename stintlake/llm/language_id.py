@@ -176,7 +176,7 @@ def with_language(docs: DataFrame, text_col: str, name: str, models: list[Model]
         lang = F.when(b["best"] > a["best"], b["lang"]).otherwise(a["lang"])
         out = out.withColumn(name, F.struct(lang.alias("lang"), top.alias("best"), rest.alias("rest"))).drop(f"{name}_b")
     found = F.col(f"{name}.lang") if models else F.lit(None).cast("string")
-    score = F.when(found.isNotNull(), 1 / F.col(f"{name}.rest")).otherwise(0.0) if models else F.when(F.lit(True), F.lit(0.0))
+    score = F.when(found.isNotNull(), 1 / F.col(f"{name}.rest")).otherwise(0.0) if models else F.try_divide(F.lit(0.0), F.lit(1.0))  # nullable, as with models
     return out.withColumn(name, F.struct(F.coalesce(found, F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score")))
 
 

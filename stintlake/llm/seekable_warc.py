@@ -42,7 +42,8 @@ RECORD = "page_id long, url string, record_type string, refers_to long, digest s
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a folder URI or plain path."""
+    """The file system and path of a folder URI or plain path; an error where the store is not one that tasks can open."""
+    uri = uri.replace("s3a://", "s3://", 1)
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
@@ -173,8 +174,15 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 def write_archives(records: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
-    """Write ``with_revisits`` rows to bundles in ``folder``; the index, as a staged table in the order written."""
-    small_batches(records.sparkSession)
+    """Write ``with_revisits`` rows to bundles in ``folder``; the index, as a staged table in the order written.
+
+    ``folder`` is where Spark would put it: without a scheme it lies in Spark's default store, not on a task's own disk.
+    """
+    spark = records.sparkSession
+    small_batches(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    file_system(folder)  # fails here rather than in every task
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext

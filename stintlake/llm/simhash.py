@@ -17,7 +17,6 @@ between. That is linear in the bucket, loses no link and needs no cap.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -139,14 +138,12 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps its smallest id, with all their columns.
 
-    Rows that repeat a kept id are reduced to one. Rows without an id cannot be told apart and stay.
+    Rows that repeat a kept id are reduced to one of them. Rows without an id cannot be told apart and stay. Texts, which
+    may be null, empty or of any length, move once, to the kept ids; columns may have any names; an empty table stays empty.
     """
     found = near_duplicates(docs, id_col, **options)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
     mark = free_name(docs, "_kept")
-    kept = kept.select(F.col("doc_id").alias(mark), F.col("n").alias(f"{mark}_n"))
-    whole = docs.where(F.col(id_col).isNull())
-    joined = docs.join(kept, F.col(id_col) == F.col(mark))
-    single = joined.where(F.col(f"{mark}_n") == 1).select(*docs.columns)
-    several = joined.where(F.col(f"{mark}_n") > 1).select(*docs.columns).dropDuplicates([id_col])
-    return reduce(DataFrame.unionByName, [single, several, whole])
+    kept = stage(found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(mark)).distinct(), "kept")
+    # the join leaves rows by id, so that repeats are next to each other
+    joined = docs.join(kept, F.col(id_col) == F.col(mark), "left_semi").dropDuplicates([id_col])
+    return joined.unionByName(docs.where(F.col(id_col).isNull()))
