@@ -3,11 +3,11 @@
 A word's input is its own vector, from a hashed table, beside the mean vector of its hashed character trigrams, so that
 spellings never seen still mean something. Two gated recurrent units read a window of words in either direction,
 attention weighs the states, and a logistic unit gives the window's probability. All windows of a text, each overlapping
-the next by half, are scored; the text has the score of its worst window. A word that follows itself twice or more counts
-twice: no text teaches the network what a window of one strange word is.
+the next by half, are scored; the text has the score of its worst window.
 
-Training sees a bounded sample of labelled texts. Only texts are labelled, so it learns from several instances: first
-every window has its text's label; then, in each later epoch, of a toxic text only the window that now scores highest.
+Training sees all windows of a bounded number of labelled texts. Only texts are labelled, so it learns from several
+instances: first every window has its text's label; then, in each later epoch, of a toxic text only the window that now
+scores highest. Few texts say one word over and over, so the network also gets windows that repeat a word of a clean text.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from stintlake.llm.common import held_out, small_batches
 WINDOW, STRIDE = 24, 12
 WORD_BITS, TRIGRAM_BITS = 17, 13
 WIDTH, HIDDEN = 8, 8
-#: Training sample: texts of either label, and windows of a text (spread over all of it).
-TOXIC_TEXTS, CLEAN_TEXTS, TEXT_WINDOWS = 800, 1600, 64
+#: Training sample: texts of either label, all of their windows, and for each clean one some that repeat one of its words.
+TOXIC_TEXTS, CLEAN_TEXTS, REPEATED = 800, 1600, 8
 EPOCHS, BATCH, RATE, SEED = 4, 512, 0.01, 7
 #: Written words whose gate inputs a worker keeps; when full it starts anew.
 REMEMBERED = 250_000
@@ -40,13 +40,6 @@ def words_of(text: str | None) -> list[str]:
     return [w for w in (x if x.isalnum() else _EDGE.sub("", x) for x in raw) if w]
 
 
-def without_runs(words: np.ndarray) -> np.ndarray:
-    """Words or ids without those that the two before are equal to: said over and over, a word means no more than twice."""
-    again = np.zeros(len(words), bool)
-    again[2:] = (words[2:] == words[1:-1]) & (words[1:-1] == words[:-2])
-    return words[~again]
-
-
 def windows_of(ids: np.ndarray) -> np.ndarray:
     """All windows over a text's word ids, padded with 0; a text without words is one empty window."""
     count = max(1, -(-(len(ids) - WINDOW) // STRIDE) + 1)
@@ -251,7 +244,7 @@ class Scorer:
 
         for i, words in enumerate(raw):
             ids = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-            found = windows_of(without_runs(ids[ids > 0]))
+            found = windows_of(ids[ids > 0])
             for at in range(0, len(found), 4096):
                 held.append(found[at : at + 4096])
                 owners.append(np.full(len(held[-1]), i))
@@ -266,8 +259,8 @@ class Scorer:
 def sample_windows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str, toxic: int, clean: int) -> pd.DataFrame:
     """``id, label, windows`` (each a line of words) of up to ``toxic`` and ``clean`` labelled texts that are not held out.
 
-    Texts are drawn by a hash of their id; an id with several labels has the highest. At most ``TEXT_WINDOWS`` windows of
-    a text, spread evenly over it, come to the driver.
+    Texts are drawn by a hash of their id; an id with several labels has the highest, one with several texts that whose
+    windows come first. All windows of a drawn text come to the driver, one row an id.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -280,17 +273,22 @@ def sample_windows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
         for batch in batches:
             lines = []
             for text in batch["text"]:
-                words = without_runs(np.array(words_of(text), dtype=object)).tolist()
-                begins = list(range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE))
-                if len(begins) > TEXT_WINDOWS:
-                    begins = [begins[k * len(begins) // TEXT_WINDOWS] for k in range(TEXT_WINDOWS)]
+                words = words_of(text)
+                begins = range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE)
                 lines.append("\n".join(" ".join(words[b : b + WINDOW]) for b in begins))
             yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "windows": lines})
 
     ids = drawn[0].unionByName(drawn[1])  # at most toxic + clean rows
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
-    found = texts.mapInPandas(cut, "id long, label int, windows string").toPandas()
-    return found.sort_values(["id", "windows"]).drop_duplicates("id").reset_index(drop=True)
+    found = texts.mapInPandas(cut, "id long, label int, windows string").groupBy("id", "label").agg(F.min("windows").alias("windows"))
+    return found.toPandas().sort_values("id").reset_index(drop=True)
+
+
+def _spans(owner: list[int]) -> Iterator[tuple[int, int, int]]:
+    """``(owner, first, last + 1)`` of each run of equal owners."""
+    ends = [k + 1 for k in range(len(owner)) if k + 1 == len(owner) or owner[k] != owner[k + 1]]
+    for first, last in zip([0, *ends], ends):
+        yield owner[first], first, last
 
 
 def train(sample: pd.DataFrame, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
@@ -307,11 +305,17 @@ def train(sample: pd.DataFrame, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
             ids[: len(words)] = [place.setdefault(w, len(place) + 1) for w in words]
             rows.append(ids)
             owner.append(i)
+    random, adam = np.random.default_rng(SEED), Adam(p, RATE)
+    said = {i: np.concatenate([r[r > 0] for r in rows[a:b]]) for i, a, b in _spans(owner) if sample["label"].iat[i] == 0}
+    clean = np.flatnonzero(sample["label"].to_numpy() == 0)
+    for i in clean:
+        for word in random.choice(said[i], min(REPEATED, len(said[i])), replace=False):
+            rows.append(np.full(WINDOW, word))
+            owner.append(i)
     ids, owner = np.array(rows), np.array(owner)
     label = sample["label"].to_numpy()[owner].astype(np.float32)
     own, trigrams, begins = features(list(place))
     ends = np.append(begins, len(trigrams))
-    random, adam = np.random.default_rng(SEED), Adam(p, RATE)
     for epoch in range(epochs):
         use = np.arange(len(ids))
         if epoch:
@@ -364,8 +368,8 @@ def toxicity(
 ) -> DataFrame:
     """Per row: id, ``held_out``, ``score`` (0 to 1) and ``predicted``.
 
-    Null and empty texts, and texts without a word, are one empty window and have the network's score of that. A null id
-    counts as held out. Labels other than 0 and 1, and labels of unknown texts, are not used; without labels of both kinds
+    All words of a text are scored, whatever its length. Null and empty texts, and texts without a word, are one empty window
+    and have the network's score of that. A null id counts as held out. Labels other than 0 and 1, and labels of unknown texts, are not used; without labels of both kinds
     the network is untrained. Repeated rows are scored each; other columns are not looked at.
     """
     p = train(sample_windows(docs, labels, id_col, text_col, label_id_col, label_col, toxic, clean))
