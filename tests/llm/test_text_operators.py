@@ -320,14 +320,63 @@ def test_scores_do_not_depend_on_company():
     alone = np.array([toxicity.Scorer(toxicity.new_parameters()).texts([t])[0] for t in texts[:8]])
     assert np.allclose(together[:8], alone, atol=2e-6)
     assert together[1] == together[2] == together[3]
-    assert scorer.texts(["so so so so bad", "so, so so. SO bad"])[0] == scorer.texts(["so so bad"])[0]
-    assert scorer.texts(["so, so so. SO bad"])[0] == scorer.texts(["so so bad"])[0]
+    assert scorer.texts(["so, so so. SO bad"])[0] == scorer.texts(["so so so so bad"])[0] != scorer.texts(["so so bad"])[0]
 
 
 def test_held_out_toxicity(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
-    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
-    assert sum((r.predicted == r.toxic) for r in rows) / len(rows) > 0.85
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    toxic = rows["toxic"].to_numpy() == 1
+    assert 0.05 < toxic.mean() < 0.2 and len(rows) > 500
+    order = rows["score"].rank().to_numpy()
+    area = (order[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
+    said = rows["predicted"].to_numpy() == 1
+    # all "clean" would have a recall of 0, all "toxic" a precision of 0.12, chance an area of 0.5
+    assert area > 0.94 and said[toxic].mean() > 0.9 and said[toxic].sum() / said.sum() > 0.88
+
+
+def test_scores_against_a_walk_word_by_word():
+    """The worst window of a text, one word and one unit at a time in plain Python."""
+    p = toxicity.new_parameters(3)
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    n, text = toxicity.HIDDEN, "The quick, brown fox jumps over the lazy dog and " * 4 + "idiot idiot idiot idiot 😀 İstanbul"
+
+    def vector(word):
+        own, trigrams, _ = toxicity.features([word])
+        return [float(v) for v in p["word"][own[0]]] + [sum(float(p["trigram"][t][k]) for t in trigrams) / len(trigrams) for k in range(toxicity.WIDTH)]
+
+    def states(words, side):
+        h, out = [0.0] * n, []
+        for x in words if side == "fore" else words[::-1]:
+            given = [sum(a * float(w) for a, w in zip(x, p[f"{side}_in"][:, j])) + float(p[f"{side}_bias"][j]) for j in range(3 * n)]
+            past = [sum(a * float(w) for a, w in zip(h, p[f"{side}_state"][:, j])) for j in range(3 * n)]
+            z, r = ([sigmoid(given[k * n + j] + past[k * n + j]) for j in range(n)] for k in (0, 1))
+            new = [math.tanh(given[2 * n + j] + r[j] * past[2 * n + j]) for j in range(n)]
+            h = [a + (1 - b) * (c - a) for a, b, c in zip(h, z, new)]
+            out.append(h)
+        return out if side == "fore" else out[::-1]
+
+    words, scores = toxicity.words_of(text), []
+    for at in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE):
+        window = [vector(w) for w in words[at : at + toxicity.WINDOW]]
+        both = [a + b for a, b in zip(states(window, "fore"), states(window, "back"))]
+        weigh = [math.exp(sum(a * float(b) for a, b in zip(s, p["attention"]))) for s in both]
+        pooled = [sum(w * s[k] for w, s in zip(weigh, both)) / sum(weigh) for k in range(2 * n)]
+        scores.append(sigmoid(sum(a * float(b) for a, b in zip(pooled, p["out"])) + float(p["out_bias"][0])))
+    assert toxicity.Scorer(p).texts([text])[0] == pytest.approx(max(scores), abs=2e-5)
+
+
+def test_a_toxic_passage_anywhere_in_a_long_text(spark):
+    """Windows of the whole text are learnt and scored; words said over and over are scored as they stand."""
+    chance = random.Random(12)
+    plain = lambda n: " ".join(chance.choices("river house stone cloud garden market bridge town council green old".split(), k=n))
+    rows = [(i, f"{plain(100)} vile awful scum {plain(100)}" if i % 4 == 0 else plain(chance.choice([40, 400])), int(i % 4 == 0)) for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    asked = [(1000, f"{plain(5000)} vile awful scum {plain(3000)}"), (1001, plain(9000)), (1002, "cloud " * 900), (1003, "zebra " * 900)]
+    found = toxicity.toxicity(spark.createDataFrame(asked, "doc_id long, text string").unionByName(df.select("doc_id", "text")), df.select("doc_id", "toxic"))
+    got = {r.doc_id: r.score for r in found.where("doc_id >= 1000").collect()}
+    assert got[1000] > max(got[i] for i in (1001, 1002, 1003)) + 0.05  # so few texts teach an order, no threshold
+
 
 
 # -- conversations -----------------------------------------------------------
