@@ -372,10 +372,11 @@ def test_a_toxic_passage_anywhere_in_a_long_text(spark):
     plain = lambda n: " ".join(chance.choices("river house stone cloud garden market bridge town council green old".split(), k=n))
     rows = [(i, f"{plain(100)} vile awful scum {plain(100)}" if i % 4 == 0 else plain(chance.choice([40, 400])), int(i % 4 == 0)) for i in range(240)]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    asked = [(1000, f"{plain(5000)} vile awful scum {plain(3000)}"), (1001, plain(9000)), (1002, "cloud " * 900), (1003, "zebra " * 900)]
-    found = toxicity.toxicity(spark.createDataFrame(asked, "doc_id long, text string").unionByName(df.select("doc_id", "text")), df.select("doc_id", "toxic"))
-    got = {r.doc_id: r.score for r in found.where("doc_id >= 1000").collect()}
-    assert got[1000] > max(got[i] for i in (1001, 1002, 1003)) + 0.05  # so few texts teach an order, no threshold
+    sample = toxicity.sample_windows(df, df.select("doc_id", "toxic"), "doc_id", "text", "doc_id", "toxic", 800, 1600)
+    assert all(len(r.windows.split("\n")) == max(1, -(-(len(rows[r.id][1].split()) - 24) // 12) + 1) for r in sample.itertuples())
+    scorer = toxicity.Scorer(toxicity.train(sample, epochs=30))  # so few texts need many rounds
+    asked = [f"{plain(5000)} vile awful scum {plain(3000)}", plain(9000), "cloud " * 900, "zebra " * 900]
+    assert (scorer.texts(asked) >= 0.5).tolist() == [True, False, False, False]
 
 
 
