@@ -599,3 +599,81 @@ def ml_weighted_sample(spark, sf):
 def feature_table(spark, sf):
     """All engineered columns of the lap dataset, through the whole plan."""
     return lap_dataset.features(lap_dataset.dataset(role(spark, sf, "race_laps")))
+
+
+# -- the whole table, step by step in SQL ------------------------------------
+
+_SLOPE = "CASE WHEN count({0}) OVER last3 >= 2 THEN regr_slope({0}, i) OVER last3 END"
+
+
+def _filled_sql() -> str:
+    """Interpolation of the weather columns by row of the race, as in ``_interpolate_sql``, all at once."""
+    known, filled = [], []
+    for c in X.INTERPOLATE:
+        known.append(
+            f"""last_value({c} IGNORE NULLS) OVER b AS pv_{c}, last_value(CASE WHEN {c} IS NOT NULL THEN j END IGNORE NULLS) OVER b AS pi_{c},
+            first_value({c} IGNORE NULLS) OVER a AS nv_{c}, first_value(CASE WHEN {c} IS NOT NULL THEN j END IGNORE NULLS) OVER a AS ni_{c}"""
+        )
+        between = f"pv_{c} + (nv_{c} - pv_{c}) / (ni_{c} - pi_{c}) * (j - pi_{c})"
+        filled.append(f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN pv_{c} IS NULL THEN NULL WHEN nv_{c} IS NULL THEN pv_{c} ELSE {between} END AS {c}")
+    return f"""SELECT * REPLACE ({", ".join(filled)}) FROM (SELECT *, {", ".join(known)}
+        FROM (SELECT *, row_number() OVER (PARTITION BY RaceID ORDER BY DriverRaceID, LapNumber) AS j FROM ff)
+        WINDOW b AS (PARTITION BY RaceID ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+            a AS (PARTITION BY RaceID ORDER BY j ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
+
+_STABLE = ", ".join(f"CASE WHEN count({c}) OVER last5 >= 3 THEN stddev_samp({c}) OVER last5 ELSE 0 END AS {c}_stability" for c in X.INTERPOLATE)
+_ENGINEERED = [
+    "laptime_trend_3", "delta_ahead_trend", "tire_degradation_rate", "log_delta_ahead", "log_delta_behind", "temp_delta", "stint_length_ratio",
+    "lap_progress", "expected_stint_length", "stint_progress", "compound_age_ratio", *[f"{c}_stability" for c in X.INTERPOLATE],
+]
+_MEASURED = ["LapTime", "Time", "TireMeters", "DriverMeters", *MEASURES, *GAPS]
+_HELPERS = "ns, nc, i, v, q75, q90, used, j, " + ", ".join(f"{k}_{c}" for c in X.INTERPOLATE for k in ("pv", "pi", "nv", "ni"))
+
+FEATURE_SQL = f"""c AS (SELECT DISTINCT * FROM race_laps WHERE LapNumber BETWEEN 1 AND 100 AND Position BETWEEN 1 AND 25 AND DriverID IS NOT NULL),
+    ids AS (SELECT *, Year || '_' || upper(replace(GranPrix, ' ', '_')) AS RaceID,
+        Year || '_' || DriverID || '_' || upper(replace(GranPrix, ' ', '_')) AS DriverRaceID,
+        Year || '_' || DriverID || '_' || upper(replace(GranPrix, ' ', '_')) || '_' || LapNumber AS GlobalLapID FROM c),
+    tg AS (SELECT *, CAST(ns IS NOT NULL AND ns IS DISTINCT FROM Stint AS INTEGER) AS tire_change_next_lap,
+        CASE WHEN ns IS NOT NULL AND ns IS DISTINCT FROM Stint THEN nc ELSE 'NO_CHANGE' END AS next_tire_type
+        FROM (SELECT *, lead(Stint) OVER w AS ns, lead(Compound) OVER w AS nc, CAST(row_number() OVER w AS DOUBLE) AS i FROM ids
+            WINDOW w AS (PARTITION BY DriverRaceID ORDER BY LapNumber))),
+    tr AS (SELECT *, {_SLOPE.format("LapTime")} AS laptime_trend_3, {_SLOPE.format("TimeDeltaToDriverAhead")} AS delta_ahead_trend,
+        last_value(LapTime IGNORE NULLS) OVER (PARTITION BY DriverRaceID, Stint ORDER BY LapNumber) AS v FROM tg
+        WINDOW last3 AS (PARTITION BY DriverRaceID ORDER BY LapNumber ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+    dg AS (SELECT *, CASE WHEN Stint IS NULL THEN 0 ELSE coalesce(v / nullif(lag(v) OVER (PARTITION BY DriverRaceID, Stint ORDER BY LapNumber), 0) - 1, 0) END
+            AS tire_degradation_rate,
+        21 - Position AS position_inverted, CAST(Position <= 3 AS INTEGER) AS is_top_3, CAST(Position <= 10 AS INTEGER) AS is_points_position,
+        ln(1 + abs(TimeDeltaToDriverAhead)) AS log_delta_ahead, ln(1 + abs(TimeDeltaToDriverBehind)) AS log_delta_behind,
+        CAST(coalesce(Rainfall, false) OR coalesce(Humidity > 80, false) OR coalesce(WindSpeed > 15, false) AS INTEGER) AS difficult_conditions,
+        TrackTemp - AirTemp AS temp_delta, CAST(LapNumber BETWEEN 10 AND 20 AS INTEGER) AS in_pit_window_early,
+        CAST(LapNumber BETWEEN 35 AND 45 AS INTEGER) AS in_pit_window_mid, CAST(LapNumber BETWEEN 55 AND 65 AS INTEGER) AS in_pit_window_late,
+        CASE Compound WHEN 'SOFT' THEN 15 WHEN 'MEDIUM' THEN 25 WHEN 'HARD' THEN 35 WHEN 'SUPERSOFT' THEN 12 WHEN 'ULTRASOFT' THEN 10
+            WHEN 'INTERMEDIATE' THEN 20 WHEN 'WET' THEN 15 ELSE 20 END AS expected_stint_length_domain FROM tr),
+    dm AS (SELECT *, TyreLife / expected_stint_length_domain AS stint_length_ratio,
+        coalesce(Stint = 1 AND TyreLife / expected_stint_length_domain > 1.5, false) AS likely_one_stop,
+        coalesce(Stint >= 2 AND TyreLife / expected_stint_length_domain < 1.2, false) AS likely_two_stop,
+        CAST(LapNumber - min(LapNumber) OVER r AS DOUBLE) / nullif(max(LapNumber) OVER r - min(LapNumber) OVER r, 0) AS lap_progress
+        FROM dg WINDOW r AS (PARTITION BY RaceID)),
+    by_kind AS (SELECT Compound, quantile_cont(CAST(TyreLife AS DOUBLE), 0.75) AS q75 FROM dm GROUP BY Compound),
+    by_race AS (SELECT RaceID, Compound, quantile_cont(CAST(TyreLife AS DOUBLE), 0.9) AS q90 FROM dm GROUP BY ALL),
+    firsts AS (SELECT DriverRaceID, Compound, min(LapNumber) AS f FROM dm GROUP BY ALL),
+    strategies AS (SELECT DriverRaceID, string_agg(Compound, '_' ORDER BY f, Compound) AS used FROM firsts GROUP BY ALL),
+    st AS (SELECT *, q75 AS expected_stint_length,
+        least(greatest(CASE WHEN q75 = 0 AND TyreLife > 0 THEN 2 ELSE TyreLife / nullif(q75, 0) END, 0), 2) AS stint_progress,
+        CASE WHEN q90 > 0 THEN TyreLife / q90 ELSE TyreLife END AS compound_age_ratio, used AS compound_strategy, {_STABLE}
+        FROM dm LEFT JOIN by_kind USING (Compound) LEFT JOIN by_race USING (RaceID, Compound) JOIN strategies USING (DriverRaceID)
+        WINDOW last5 AS (PARTITION BY RaceID ORDER BY DriverRaceID, LapNumber ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
+    ff AS (SELECT * REPLACE (last_value(TyreLife IGNORE NULLS) OVER w AS TyreLife, last_value(Stint IGNORE NULLS) OVER w AS Stint,
+        last_value(Compound IGNORE NULLS) OVER w AS Compound) FROM st WINDOW w AS (PARTITION BY DriverRaceID ORDER BY LapNumber)),
+    ip AS ({_filled_sql()}),
+    done AS (SELECT * EXCLUDE ({_HELPERS}) REPLACE (
+        {", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM ip)) AS {c}" for c in X.MEDIAN)}, {", ".join(f"coalesce({c}, 0.0) AS {c}" for c in X.ZERO)}) FROM ip)
+    SELECT * REPLACE ({", ".join(R(c) + f" AS {c}" for c in [*_MEASURED, *_ENGINEERED])}) FROM done"""
+
+
+@query("feature_table_rounded", FEATURE_SQL, ("race_laps",))
+def feature_table_rounded(spark, sf):
+    """All engineered columns of the cleaned laps without repeats, to six decimals, next to every step in SQL."""
+    done = lap_dataset.features(lap_dataset.dataset(role(spark, sf, "race_laps")))
+    return done.withColumns({c: r6(c) for c in [*_MEASURED, *_ENGINEERED]})

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = catalog.load().QUERIES, catalog.load().ORACLES
 # needs files of 250 rows, which the smallest tables do not have
 EMPTY_HERE = {"flt_accepted_files"}
-ROWS_ONLY = {"feature_table", "ml_train_baseline"}
+ROWS_ONLY = {"feature_table", "ml_train_baseline", "ml_score_requests"}
 
 
 @pytest.fixture(scope="module")
