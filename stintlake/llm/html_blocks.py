@@ -447,8 +447,9 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row: ``page_id``, ``url``, ``text`` (blocks with a blank line between) and ``n_chars``, its code points.
 
-    Null and empty pages, and pages without main text, give an empty text. Markup that is cut off or badly nested is read
-    as far as it goes. Repeated rows are read each; other columns are not looked at.
+    Null and empty pages, and pages without main text, give an empty text. Pages are read whole, whatever their length;
+    markup that is cut off or badly nested is read as far as it goes. Repeated rows are read each; other columns, whatever
+    their names, are not looked at; an empty table has no rows.
     """
     small_batches(pages.sparkSession)
 

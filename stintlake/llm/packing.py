@@ -109,7 +109,8 @@ def pack(docs: DataFrame, path: str, length: int = 2048, id_col: str = "doc_id",
 
     One row per piece: ``doc_id``, ``start`` (tokens of its document before it), ``length``, ``doc_tokens``,
     ``sequence_id``, ``offset`` (place in the sequence) and ``ids`` (little-endian 32-bit token ids). A null text is empty
-    and gives its end token alone. Repeated rows are documents of their own; a null id stays null.
+    and gives its end token alone; texts are packed whole, whatever their length. Repeated rows are documents of their own;
+    a null id stays null. Other columns, whatever their names, are not looked at; an empty table has no pieces.
     """
     rows = positioned(tokenized(docs, path, id_col, text_col))
     ids, at, n = F.col("ids"), F.col("at"), F.col("n")
