@@ -34,7 +34,7 @@ def join_circuit(
         )
     rows = laps if places is None else places
     places = rows.where(F.col(location).isNotNull()).select(F.col(location).alias("_place")).distinct()
-    missing = places.join(exact, F.col("_place") == F.col("_loc"), "left_anti")
+    missing = stage(places.join(exact, F.col("_place") == F.col("_loc"), "left_anti"), "places")
     fold = F.lower if ignore_case else F.col
     near = circuits.select(fold("Location").alias("_name"), F.col(length).alias("_len"), "file_order")
     asked = missing.select("_place", fold("_place").alias("_name"))
@@ -67,10 +67,9 @@ def containing(parts: DataFrame, wholes: DataFrame, part: str, whole: str) -> Da
 
     An inverted index of the wholes' runs of up to ``GRAM`` characters: a part, whatever its length, is looked up by the
     rarest of its own runs, and what is found there is verified. The index grows with the length of the names, not with
-    its square.
+    its square; it is made twice, so ``wholes`` should be a table that is quick to read.
     """
     index = wholes.where(F.col(whole).isNotNull()).withColumn("_gram", F.explode(F.flatten(F.array(*[grams(whole, n) for n in range(GRAM + 1)]))))
-    index = stage(index, "grams")
     often = index.groupBy("_gram").agg(F.count("*").alias("_often"))
     asked = parts.where(F.col(part).isNotNull()).select(F.col(part).alias("_part")).distinct()
     own = asked.withColumn("_gram", F.explode(grams("_part", F.least(F.length("_part"), F.lit(GRAM)))))
