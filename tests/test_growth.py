@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stintlake.functions import asof, ordered
+from stintlake.operators import mldata as M
 
 
 def test_spans_are_sorted_without_the_totals_of_the_samples(spark, monkeypatch):
@@ -40,3 +41,13 @@ def test_wide_rows_make_smaller_blocks(spark):
     wide = spark.range(1).select(*[F.lit(1.0).alias(f"c{i}") for i in range(100)])
     assert policy.rows(narrow) == 1000
     assert policy.rows(wide) < 100
+
+
+def test_one_hot_rows_do_not_grow_with_the_values(spark):
+    codes = spark.range(1000).select(F.concat(F.lit("D"), F.col("id").cast("string")).alias("value"), F.col("id").cast("int").alias("code"))
+    codes = codes.unionByName(spark.createDataFrame([(M.OTHER, 1000)], "value string, code int"))
+    rows = spark.createDataFrame([("D7",), ("unseen",), (None,)], "Driver string")
+    got = {r.Driver: r for r in M.label_encode_other(rows, "Driver", codes, "code").collect()}
+    assert {k: (r.code, r.code_onehot.size, r.code_onehot.indices, r.code_onehot["values"]) for k, r in got.items()} == {
+        "D7": (7, 1001, [7], [1]), "unseen": (1000, 1001, [1000], [1]), None: (1000, 1001, [1000], [1])
+    }
