@@ -179,21 +179,21 @@ def _short(spark, sf):
 )
 def join_asof_half_second(spark, sf):
     """What is nearest to every half second, summed up by lap and place without making the points."""
-    seen = T.grid_stretches(*_short(spark, sf), HALF, tie="event_id")
-    n = F.col("until") - F.col("from")
-
-    def mean(c):
-        return F.round(F.try_divide(F.sum(F.col(c) * n), F.sum(F.when(F.col(c).isNotNull(), n))) + _OFF, 3)
-
-    return seen.groupBy("Year", "GranPrix", "Driver", "LapNumber", "Compound", "Position").agg(
-        F.sum(n).alias("points"),
-        (F.min("from") * HALF).alias("first_t"),
-        ((F.max("until") - 1) * HALF).alias("last_t"),
-        mean("Speed").alias("speed"),
-        F.max("Distance").alias("distance"),
-        mean("TrackTemp").alias("track_temp"),
-        mean("AirTemp").alias("air_temp"),
-        F.sum(F.col("Rain") * n).alias("rain_points"),
+    seen = T.grid_sums(*_short(spark, sf), HALF, tie="event_id")
+    means = {"speed": "Speed", "track_temp": "TrackTemp", "air_temp": "AirTemp"}
+    return seen.select(
+        "Year",
+        "GranPrix",
+        "Driver",
+        "LapNumber",
+        "Compound",
+        "Position",
+        "points",
+        (F.col("from") * HALF).alias("first_t"),
+        (F.col("upto") * HALF).alias("last_t"),
+        F.col("Distance").alias("distance"),
+        *[F.round(F.col(c) + _OFF, 3).alias(n) for n, c in means.items()],
+        "rain_points",
     )
 
 

@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.functions.asof import Samples
+from stintlake.functions import exact
 from stintlake.functions.exact import finite
-from stintlake.functions.ordered import OrderedGroups, SplitPolicy
+from stintlake.functions.ordered import OrderedGroups, SplitPolicy, join_same
+from stintlake.session import stage
 
 #: Ticks of a bin in which intervals are paired, and of a run of points.
 BIN = 600
@@ -113,6 +115,78 @@ def first_of(stretches: DataFrame, keys: list[str], name: str, policy: SplitPoli
     return met.groupBy(*keys, "from", "until").agg(F.min(name).alias(name))
 
 
+#: Values that no sum of whole numbers holds, by the name of their count.
+ODD = {"nan": float("nan"), "up": float("inf"), "down": float("-inf")}
+
+
+def with_sums(
+    rows: DataFrame, steps: DataFrame, keys: list[str], means: list[str], counts: list[str], policy: SplitPolicy | None = None
+) -> DataFrame:
+    """Stretches ``rows`` with exact sums over their ticks of what ``steps`` have there, as the struct ``_sums``.
+
+    ``steps`` are a group's stretches, which do not overlap. Running totals up to each of them are staged by place; both ends of
+    a row find their place in narrow rows and look the totals up, so a row is never paired with the stretches it spans. Of
+    ``means`` there are values and how many, of ``counts`` (whole numbers) values; ``added`` and ``averaged`` go on from there.
+    """
+    steps = stage(steps, "steps")
+    found = exact.bands(steps, means)
+    length, each = F.col("until") - F.col("from"), {}
+    for c in means:
+        each |= {f"sum_{c}_{b}": exact.part(F.col(f"_of_{c}"), b) for b in found[c]}
+        each[f"cnt_{c}"] = F.col(c).isNotNull().cast("long")
+        each |= {f"{odd}_{c}": F.coalesce(F.col(c).cast("double") == value, F.lit(False)).cast("long") for odd, value in ODD.items()}
+    each |= {f"cnt_{c}": F.coalesce(F.col(c), F.lit(0)).cast("long") for c in counts}
+    cut = steps.withColumns({f"_of_{c}": exact.chunks(c) for c in means})
+    cut = cut.select(*keys, F.col("from").alias("_begin"), F.col("until").alias("_end"), *[(e * length).alias(f"_t_{n}") for n, e in each.items()], *[e.alias(f"_e_{n}") for n, e in each.items()])
+    g = OrderedGroups(cut, keys, ["_begin"], policy)
+    g = g.running(sums={"_place": F.lit(1).cast("long")} | {f"_u_{n}": F.col(f"_t_{n}") for n in each})
+    marks = g.result().select(*keys, "_place", "_begin", "_end", *[F.struct(F.col(f"_u_{n}").alias("upto"), F.col(f"_e_{n}").alias("one")).alias(n) for n in each])
+    marks = stage(marks, "totals")
+    rows = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    ends = F.array(F.struct(F.lit(0).alias("_kind"), F.col("from").alias("_tick")), F.struct(F.lit(2).alias("_kind"), F.col("until").alias("_tick")))
+    left = rows.select(*keys, "_row", F.explode(ends).alias("_e")).select(*keys, "_row", "_e.*")
+    # a place holds from its first tick on
+    right = marks.select(*keys, F.col("_begin").alias("_tick"), F.lit(-1).alias("_kind"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    placed = OrderedGroups(both, keys, ["_tick", "_kind", "_row"], policy).running(sums={"_place": (F.col("_kind") == -1).cast("long")})
+    placed = placed.result().where("_kind >= 0").groupBy("_row").agg(
+        F.max(F.when(F.col("_kind") == 0, F.col("_place"))).alias("_p0"), F.max(F.when(F.col("_kind") == 2, F.col("_place"))).alias("_p2")
+    )
+    done = rows.join(placed, "_row")
+    for place, tick in (("_p0", "from"), ("_p2", "until")):
+        at = marks.withColumnsRenamed({"_place": place, "_begin": f"{place}_begin", "_end": f"{place}_end"} | {n: f"{place}_{n}" for n in each})
+        done = join_same(done, at, [*keys, place], "left")
+        # what the stretch has after the tick is taken off again
+        late = F.greatest(F.col(f"{place}_end") - F.col(tick), F.lit(0))
+        upto = {n: F.coalesce(F.col(f"{place}_{n}.upto") - late * F.col(f"{place}_{n}.one"), F.lit(0)) for n in each}
+        done = done.withColumn(f"{place}_at", F.struct(*[c.alias(n) for n, c in upto.items()]))
+        done = done.drop(f"{place}_begin", f"{place}_end", *[f"{place}_{n}" for n in each])
+    sums = F.struct(*[(F.col(f"_p2_at.{n}") - F.col(f"_p0_at.{n}")).alias(n) for n in each])
+    return done.withColumn("_sums", sums).drop("_row", "_p0", "_p2", "_p0_at", "_p2_at")
+
+
+def added(rows: DataFrame, means: list[str], counts: list[str]) -> list[Column]:
+    """Aggregates of the ``_sums`` of rows: a struct of sums per column of ``means``, a number per column of ``counts``."""
+    names = rows.schema["_sums"].dataType.fieldNames()
+    parts = []
+    for c in means:
+        own = [n for n in names if n.startswith(f"sum_{c}_") or n in (f"cnt_{c}", *[f"{odd}_{c}" for odd in ODD])]
+        parts.append(F.struct(*[F.sum(f"_sums.{n}").alias(n) for n in own]).alias(c))
+    return [*parts, *[F.sum(f"_sums.cnt_{c}").alias(c) for c in counts]]
+
+
+def averaged(parts: DataFrame, means: list[str]) -> DataFrame:
+    """The means out of what ``added`` has made; null without values, and not-a-number or infinite where a value was."""
+    done = {}
+    for c in means:
+        of = lambda n, c=c: F.col(f"{c}.{n}")
+        whole = exact.total({int(n.rsplit("_", 1)[1]): of(n) for n in parts.schema[c].dataType.fieldNames() if n.startswith("sum_")})
+        nan, up, down = (of(f"{odd}_{c}") > 0 for odd in ODD)
+        value = F.when(nan | (up & down), float("nan")).when(up, float("inf")).when(down, float("-inf")).otherwise(F.try_divide(whole, of(f"cnt_{c}")))
+        done[c] = F.when(of(f"cnt_{c}") > 0, value)
+    return parts.withColumns(done)
+
+
 def points(stretches: DataFrame, step: float, name: str = "t") -> DataFrame:
     """Every tick of every stretch as a row with its time, made in runs of ``RUN``."""
     runs = F.sequence(F.col("from"), F.col("until") - 1, F.lit(RUN).cast("long"))

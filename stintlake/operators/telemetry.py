@@ -193,6 +193,45 @@ def grid_stretches(
     )
 
 
+def grid_sums(
+    laps: DataFrame, telemetry: DataFrame, weather: DataFrame, step: float = 0.5, tie: str | None = None
+) -> DataFrame:
+    """``grid_stretches`` summed up by car, lap, compound and place, without a race's weather for each of its cars.
+
+    Gives ``points``, the first and last tick ``from`` and ``upto``, ``Distance`` (the largest), means over the points of
+    ``Speed, TrackTemp, AirTemp``, and ``rain_points``. The weather of a race is one row of stretches with exact running
+    totals, which a car's stretches look up at both ends, so the work grows with samples and cars, not with their product.
+    """
+    base, car = _car_base(laps, weather, step), [*RACE, "Driver"]
+    found = steps.nearest_steps(
+        base,
+        car,
+        {
+            "telemetry": Samples(telemetry, "Time", ["Speed", "Distance"], tie),
+            "lap_end": Samples(laps, "Time", ["Position"], "LapNumber"),
+            "lap_start": Samples(laps, "LapStartTime", ["LapNumber", "Compound"], "LapNumber"),
+        },
+        step,
+    )
+    groups = ["lap_start.LapNumber", "lap_start.Compound", "lap_end.Position", "telemetry.Speed", "telemetry.Distance"]
+    driven = found.select(*car, "from", "until", *groups)
+    races = base.select(*RACE, "last").distinct()
+    sky = {"weather": Samples(weather, "Time", ["TrackTemp", "AirTemp", "Rainfall"], tie)}
+    sky = steps.nearest_steps(races, RACE, sky, step).select(*RACE, "from", "until", "weather.*")
+    sky = sky.withColumn("Rainfall", F.coalesce("Rainfall", F.lit(False)).cast("int"))
+    rows = steps.with_sums(driven, sky, RACE, ["TrackTemp", "AirTemp"], ["Rainfall"])
+    n = F.col("until") - F.col("from")
+    parts = rows.groupBy(*car, "LapNumber", "Compound", "Position").agg(
+        F.sum(n).alias("points"),
+        F.min("from").alias("from"),
+        (F.max("until") - 1).alias("upto"),
+        F.max("Distance").alias("Distance"),
+        F.try_divide(F.sum(F.col("Speed") * n), F.sum(F.when(F.col("Speed").isNotNull(), n))).alias("Speed"),
+        *steps.added(rows, ["TrackTemp", "AirTemp"], ["Rainfall"]),
+    )
+    return steps.averaged(parts, ["TrackTemp", "AirTemp"]).withColumnRenamed("Rainfall", "rain_points")
+
+
 def stretch_view(stretches: DataFrame, step: float = 0.5) -> DataFrame:
     """The points of ``grid_stretches``: the rows of ``grid_view``."""
     made = steps.points(stretches, step)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stintlake.functions import asof, ordered
+from stintlake.functions import asof, ordered, steps
 from stintlake.operators import mldata as M
+from stintlake.operators import telemetry as TE
 
 
 def test_spans_are_sorted_without_the_totals_of_the_samples(spark, monkeypatch):
@@ -51,3 +55,41 @@ def test_one_hot_rows_do_not_grow_with_the_values(spark):
     assert {k: (r.code, r.code_onehot.size, r.code_onehot.indices, r.code_onehot["values"]) for k, r in got.items()} == {
         "D7": (7, 1001, [7], [1]), "unseen": (1000, 1001, [1000], [1]), None: (1000, 1001, [1000], [1])
     }
+
+
+def _race(spark, cars):
+    at = datetime.datetime(2024, 1, 1)
+    laps = [(2020, "A", f"D{c}", n, "SOFT", c, 10.0 * n + c, 10.0 * (n - 1) + c) for c in range(cars) for n in (1, 2, 3)]
+    drive = [(2020, "A", f"D{c}", c * 100 + i, 3.1 * i + c, 80.0 + i, 5.0 * i, at) for c in range(cars) for i in range(9)]
+    sky = [(2020, "A", i, 1.7 * i, None if i == 4 else i / 3, float("nan") if i == 15 else i / 7, i % 3 == 0) for i in range(20)]
+    laps = spark.createDataFrame(laps, "Year int, GranPrix string, Driver string, LapNumber int, Compound string, Position int, Time double, LapStartTime double")
+    drive = spark.createDataFrame(drive, "Year int, GranPrix string, Driver string, event_id int, Time double, Speed double, Distance double, Date timestamp")
+    sky = spark.createDataFrame(sky, "Year int, GranPrix string, event_id int, Time double, TrackTemp double, AirTemp double, Rainfall boolean")
+    return laps, drive, sky
+
+
+def test_sums_of_the_grid_are_those_of_its_stretches(spark, monkeypatch):
+    race = _race(spark, 3)
+    rows = [r.asDict() for r in TE.grid_stretches(*race, 0.5, tie="event_id").collect()]
+    want = {}
+    for r in rows:
+        mine = want.setdefault((r["Driver"], r["LapNumber"], r["Compound"], r["Position"]), {"n": 0, "rain": 0, "TrackTemp": [], "AirTemp": [], "Speed": []})
+        n = r["until"] - r["from"]
+        mine["n"] += n
+        mine["rain"] += n * r["Rain"]
+        for c in ("TrackTemp", "AirTemp", "Speed"):
+            mine[c] += [r[c]] * n if r[c] is not None else []
+
+
+    sizes = []
+    plain = steps.nearest_steps
+    monkeypatch.setattr(steps, "nearest_steps", lambda base, keys, samples, *a, **k: sizes.append((tuple(keys), tuple(samples))) or plain(base, keys, samples, *a, **k))
+    got = {(r.Driver, r.LapNumber, r.Compound, r.Position): r for r in TE.grid_sums(*race, 0.5, tie="event_id").collect()}
+    assert got.keys() == want.keys()
+    for k, w in want.items():
+        r = got[k]
+        assert (r.points, r.rain_points) == (w["n"], w["rain"])
+        for c in ("TrackTemp", "AirTemp", "Speed"):
+            mean = sum(w[c]) / len(w[c]) if w[c] else None
+            assert getattr(r, c) == (pytest.approx(mean, abs=1e-12, nan_ok=True) if w[c] else None)
+    assert all("Driver" not in keys for keys, names in sizes if "weather" in names)
