@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stintlake.functions import asof, ordered, steps
+from stintlake.functions import asof, ordered, quantiles, steps
 from stintlake.operators import mldata as M
 from stintlake.operators import telemetry as TE
 
@@ -47,6 +47,21 @@ def test_wide_rows_make_smaller_blocks(spark):
     assert policy.rows(wide) < 100
 
 
+def test_quantiles_read_the_table_twice(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    plain = spark.range(1000).select(F.col("id").cast("double").alias("a"), (F.col("id") % 7).alias("b"), F.lit(None).cast("double").alias("c"))
+    df = plain.mapInArrow(count, plain.schema)
+    got = {r.column: (r.q0, r.q1) for r in quantiles.column_quantiles(df, ["a", "b", "c"], [0.25, 0.5]).collect()}
+    assert got == {"a": (249.75, 499.5), "b": (1.0, 3.0), "c": (None, None)}
+    assert read.value == 2000
+
+
 def test_one_hot_rows_do_not_grow_with_the_values(spark):
     codes = spark.range(1000).select(F.concat(F.lit("D"), F.col("id").cast("string")).alias("value"), F.col("id").cast("int").alias("code"))
     codes = codes.unionByName(spark.createDataFrame([(M.OTHER, 1000)], "value string, code int"))
