@@ -39,6 +39,31 @@ def test_spans_are_sorted_without_the_totals_of_the_samples(spark, monkeypatch):
     assert with_spans and not any(isinstance(f.dataType, T.StructType) for s in with_spans for f in s.fields)
 
 
+def test_races_that_share_a_task_are_cut_before_they_fill_it(spark, monkeypatch):
+    """Each of a few races had all bytes of a task to itself, though several of them come to one task."""
+    cut = []
+
+    class Watched(asof.OrderedGroups):
+        def __init__(self, *args, **kwargs):
+            super().__init__(*args, **kwargs)
+            cut.append(self.split)
+
+    monkeypatch.setattr(asof, "OrderedGroups", Watched)
+    samples = spark.sql("SELECT id % 3 AS race, double(id div 3) AS t, double(id % 10) AS temp, id AS tie, id % 50 = 0 AS wet FROM range(300)")
+    spans = spark.sql("SELECT id % 3 AS race, id AS lap, double(id div 3) AS s, id div 3 + 2.5D AS e FROM range(300)")
+
+    def found(max_bytes):
+        cut.clear()
+        policy = ordered.SplitPolicy(sample_every=1, max_bytes=max_bytes)
+        stats = asof.interval_stats(spans, samples, ["race"], ["lap"], "s", "e", "t", ["temp"], ["wet"], ["temp"], "tie", policy)
+        return sorted(map(str, stats.collect())), list(cut)
+
+    whole, none_cut = found(1 << 30)
+    assert none_cut == [False, False] and len(whole) == 300
+    # 100 samples of 112 bytes and 300 rows of 32 bytes a race
+    assert found(16_000) == (whole, [True, True])
+
+
 def test_wide_rows_make_smaller_blocks(spark):
     policy = ordered.SplitPolicy(max_rows=1000, max_bytes=80_000)
     narrow = spark.range(1)
