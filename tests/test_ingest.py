@@ -3,11 +3,13 @@
 import json
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from stintlake.schemas import STINT_LIVES
 from stintlake.sources import readers as R
 from stintlake.sources import sinks as W
+from stintlake.sources.folder_csv import write_folder_csv
 from stintlake.sources.incremental import pending, read_manifest, record
 from stintlake.streaming.ingest import file_stream, ingest_available
 
@@ -72,6 +74,73 @@ def test_driver_csv_folders(spark, tmp_path):
     assert (tmp_path / "csv" / "DriverID=1" / "GranPrix=G" / "Year=2023").is_dir()
 
 
+ODD_LAPS = [
+    (1, "G P", 2023, 5, ' "quoted", said ', 1.5),
+    (1, "G P", 2023, None, None, None),
+    (1, "G P", 2022, 6, "", -0.0),
+    (2, "50% a/b=c:d", 2023, 7, "back\\slash", float("nan")),
+    (None, None, None, 8, "é ☃", 1e300),
+    (3, "", 2023, None, "x", None),
+]
+ODD_SCHEMA = "DriverID int, GranPrix string, Year int, LapNumber int, note string, LapTime double"
+ODD_READ = "LapNumber int, note string, LapTime double, DriverID int, GranPrix string, Year int"
+
+
+def _folders(path):
+    """Lines of the files under each folder."""
+    found = {}
+    for file in path.glob("*/*/*/*.csv"):
+        found.setdefault(str(file.parent.relative_to(path)), []).extend(file.read_text().split("\n"))
+    return {k: sorted(v) for k, v in found.items()}
+
+
+def test_driver_csv_is_what_spark_writes_and_reads(spark, tmp_path):
+    rows = spark.createDataFrame(ODD_LAPS, ODD_SCHEMA)
+    own, plain = tmp_path / "own", tmp_path / "plain"
+    (own / "DriverID=9").mkdir(parents=True)  # of an earlier run
+    W.write_driver_csv(rows, str(own))
+    keys = ["DriverID", "GranPrix", "Year"]
+    rows.hint("rebalance", *keys).write.option("header", True).partitionBy(*keys).csv(str(plain))
+    assert _folders(own) == _folders(plain) and len(_folders(own)) == 5
+    assert sorted(p.name for p in own.iterdir()) == ["DriverID=1", "DriverID=2", "DriverID=3", "DriverID=__HIVE_DEFAULT_PARTITION__", "_SUCCESS"]
+    read = spark.read.option("header", True).schema(ODD_READ).csv(str(plain))
+    got = W.read_driver_csv(spark, str(own), ODD_READ)
+    assert got.dtypes == read.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, read.collect()))
+
+
+def test_driver_csv_files_end_at_the_limit_and_tasks_share_folders(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 8).selectExpr("CAST(id % 3 AS INT) DriverID", "'G' GranPrix", "2023 Year", "CAST(id AS INT) LapNumber")
+    for lap_files in (rows, rows.where("LapNumber < 0")):
+        write_folder_csv(lap_files, str(tmp_path / "csv"), W.DRIVER_KEYS, 10)  # dealt anyhow: eight tasks have laps of a car
+        read = W.read_driver_csv(spark, str(tmp_path / "csv"), "LapNumber int, DriverID int, GranPrix string, Year int")
+        assert sorted(r.LapNumber for r in read.collect()) == sorted(r.LapNumber for r in lap_files.collect())
+        assert read.where("DriverID <> LapNumber % 3").count() == 0
+        sizes = [len(f.read_text().splitlines()) - 1 for f in tmp_path.glob("csv/*/*/*/*.csv")]
+        assert sum(sizes) == lap_files.count() and max(sizes, default=10) == 10
+
+
+def test_driver_csv_starts_no_process_per_folder(spark, tmp_path):
+    rows = spark.range(400).selectExpr("CAST(id AS INT) DriverID", "'G' GranPrix", "2023 Year", "1 LapNumber")
+
+    def started():
+        return int(next(line for line in open("/proc/stat") if line.startswith("processes")).split()[1])
+
+    W.write_driver_csv(rows.limit(1), str(tmp_path / "warm"))
+    before = started()
+    W.write_driver_csv(rows, str(tmp_path / "csv"))
+    assert started() - before < 400
+
+
+def test_failed_driver_csv_keeps_the_files_before(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "G", 2023, "5"), (2, "G", 2023, "x")], "DriverID int, GranPrix string, Year int, lap string")
+    W.write_driver_csv(rows, str(tmp_path))
+    before = _folders(tmp_path)
+    with pytest.raises(Exception, match="x"):
+        W.write_driver_csv(rows.withColumn("lap", F.when(F.col("lap") == "x", F.raise_error("x").cast("string")).otherwise("6")), str(tmp_path))
+    assert _folders(tmp_path) == before and not (tmp_path / "_temporary").exists()
+
+
 def test_dry_run_writes_nothing(spark, tmp_path):
     W.dry_run(spark.range(5))
     assert list(tmp_path.iterdir()) == []
